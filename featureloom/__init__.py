@@ -18,7 +18,8 @@ from .operators.fingerprints import (
     circular_fingerprint, fold_bits, ngram_fingerprint, path_fingerprint, path_keys,
 )
 from .operators.graph import (
-    both_directions, circular_signatures, expand_implicit, notation_to_graph, select_nodes,
+    both_directions, circular_signatures, expand_implicit, label_signature, notation_to_graph,
+    select_nodes,
 )
 from .operators.histogram import (
     bucket_rejects, bucket_summary, bucketize, sparse_histogram, vector_long,
@@ -31,7 +32,7 @@ from .plans.matrices import (
     distinct_records, fingerprint_matrix, hybrid_matrix, predict_values, signature_levels,
     spectral_matrix, spectral_vectors, verify_table,
 )
-from .session import build_session
+from .session import build_session, spread, stage
 from .sinks.tables import append_log, write_matrix, write_vectors, write_verified
 from .sources.delimited import (
     detect_delimiter, expected_columns, malformed_records, read_delimited, split_malformed,

@@ -9,6 +9,7 @@ from ..operators import backoff as B
 from ..operators import fingerprints as FP
 from ..operators import graph as G
 from ..operators import quality as Q
+from ..session import spread
 from .common import query, table
 
 # One notation per part: a chain, a branch and a ring, sized by the row's own values.
@@ -16,8 +17,15 @@ _NOTATION = """repeat('C', CAST(1 + p_size % 10 AS INT)) || '(' || repeat('O', C
 _CHAIN, _BRANCH = "(1 + p_size % 10)", "(1 + p_partkey % 3)"
 
 
+def _parts(spark, d, expr):
+    columns = ["p_partkey", "p_size", "p_type"]
+    return spread(table(spark, d, "part").select(*columns)).select(
+        "p_partkey", F.expr(expr).alias("notation")
+    )
+
+
 def _part_graphs(spark, d, expr=_NOTATION):
-    rows = table(spark, d, "part").select("p_partkey", F.expr(expr).alias("notation"))
+    rows = _parts(spark, d, expr)
     return G.notation_to_graph(rows, "p_partkey", "notation")
 
 
@@ -66,7 +74,7 @@ SELECT p_partkey, CASE p_type WHEN 'STANDARD' THEN 'valid' WHEN 'ECONOMY' THEN '
   WHEN 'LARGE' THEN 'unknown token' ELSE 'misplaced branch, bond or ring mark' END AS outcome FROM part
 """)
 def screen_notation(spark, d):
-    rows = table(spark, d, "part").select("p_partkey", F.expr(_MIXED).alias("notation"))
+    rows = _parts(spark, d, _MIXED)
     good, errors = Q.screen_notation(rows, "notation")
     return good.select("p_partkey", F.lit("valid").alias("outcome")).unionByName(
         errors.select("p_partkey", F.col("error").alias("outcome"))
@@ -87,7 +95,7 @@ FROM part
 """)
 def graph_rules(spark, d):
     """Rules over node and edge aggregates of the graphs."""
-    rows = table(spark, d, "part").select("p_partkey", F.expr(_ODD).alias("notation"))
+    rows = _parts(spark, d, _ODD)
     nodes, edges, _ = G.notation_to_graph(rows, "p_partkey", "notation")
     metrics = Q.graph_metrics(nodes, edges).join(rows.withColumnRenamed("p_partkey", "graph_id"), "graph_id")
     flagged = Q.graph_rules(metrics, F.col("notation").contains("."))
@@ -223,7 +231,9 @@ g AS (SELECT doc_id, unnest(flatten([list_transform(range(1, len(words) - n + 2)
 """)
 def ngram_fingerprint(spark, d):
     words = F.filter(F.split(F.lower("text"), "[^a-z0-9]+"), lambda x: x != "")
-    docs = table(spark, d, "documents").select("doc_id", words.alias("words"))
+    docs = spread(table(spark, d, "documents").select("doc_id", "text")).select(
+        "doc_id", words.alias("words")
+    )
     return _bitstring(FP.ngram_fingerprint(docs, "doc_id", "words", 1, 3, dense=False), "doc_id")
 
 

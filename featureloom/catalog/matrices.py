@@ -8,6 +8,7 @@ from ..operators import backoff as B
 from ..operators import graph as G
 from ..operators.assembly import expand_copies
 from ..plans import matrices as M
+from ..session import spread, stage
 from .common import joined, query, table
 from .graphs import _bits_sql, conversation_graph, signature_sql
 
@@ -17,16 +18,20 @@ _AXES = {"user": (0.0, 4000.0, 200), "assistant": (0.0, 8000.0, 200)}
 _SUPPORT = 5
 
 
-def _values(spark, d, role):
+def _lookup(spark, d):
+    """Signatures of all turns and the table fitted on them, both written once."""
     nodes, edges = conversation_graph(spark, d)
-    wanted = nodes.filter(F.col("label") == role)
     known = table(spark, d, "conversations").select(
         F.col("conv_id").alias("graph_id"), F.col("turn").alias("node_id"),
         F.length("text").cast("decimal(18,2)").alias("known"),
     )
-    train = G.circular_signatures(nodes, edges, 2).join(known, ["graph_id", "node_id"])
-    fitted = B.fit_backoff(train, M.signature_levels(2), "known")
-    return M.predict_values(nodes, edges, wanted, fitted, 2, min_support=_SUPPORT)
+    signatures = stage(G.circular_signatures(nodes, edges, 2), "signatures")
+    train = signatures.join(known, ["graph_id", "node_id"])
+    return signatures, stage(B.fit_backoff(train, M.signature_levels(2), "known"), "fit")
+
+
+def _values(lookup, role):
+    return M.predict_values(*lookup, 2, target=role, min_support=_SUPPORT)
 
 
 def _names(spark, d):
@@ -62,7 +67,7 @@ WITH {_ANSWERS}
 SELECT v.name, quality AS label, features FROM ({_vectors_sql('user')}) v JOIN labels ON doc_id = v.name WHERE quality IS NOT NULL
 """)
 def spectral_matrix(spark, d):
-    values = _values(spark, d, "user")
+    values = _values(_lookup(spark, d), "user")
     matrix = M.spectral_matrix(values, _names(spark, d), _labels(spark, d), _AXES["user"], label="quality")
     return matrix.select("name", "label", joined().alias("features"))
 
@@ -74,8 +79,9 @@ JOIN ({_vectors_sql('assistant')}) b ON a.name = b.name JOIN pri x ON x.name = a
 """)
 def hybrid_matrix(spark, d):
     """Both roles fused; repeated labels of a name multiply, as in a join of two matrices."""
+    lookup = _lookup(spark, d)
     sides = [
-        M.spectral_vectors(_values(spark, d, role), _names(spark, d), axis) for role, axis in _AXES.items()
+        M.spectral_vectors(_values(lookup, role), _names(spark, d), axis) for role, axis in _AXES.items()
     ]
     labels = table(spark, d, "orders").select(F.col("o_custkey").alias("name"), "o_orderstatus")
     fused = M.hybrid_matrix(*sides, labels, label="o_orderstatus")
@@ -95,7 +101,7 @@ w AS (SELECT p_partkey, array_to_string(string_split(substr(s, i, len + 1), ''),
 """)
 def fingerprint_matrix(spark, d):
     """Part names spelled as chains of atoms: notation, graph, paths, bits, label."""
-    parts = table(spark, d, "part").select(
+    parts = spread(table(spark, d, "part").select("p_partkey", "p_name", "p_type")).select(
         F.col("p_partkey").alias("name"), "p_type", F.expr(_CHAIN).alias("notation")
     )
     nodes, edges, _ = G.notation_to_graph(parts, "name", "notation")

@@ -33,15 +33,26 @@ def words_to_bitstring(words, n_bits: int) -> Column:
     return F.substring(F.array_join(parts, ""), 1, n_bits)
 
 
+# The eight bits of every byte, lowest first.
+_BYTE_BITS = [[byte >> i & 1 for i in range(8)] for byte in range(256)]
+
+
 def words_to_vector(words, n_bits: int) -> Column:
-    """Dense ``array<int>`` of 0/1 from an array of 64-bit words."""
+    """Dense ``array<int>`` of 0/1 from an array of 64-bit words.
+
+    Works byte by byte through a table of bit patterns, as a lambda call per bit would cost
+    more than everything before it.
+    """
     w = _col(words)
 
-    def bit(i):
-        word = F.get(w, F.floor(i / 64).cast("int"))
-        return F.call_function("shiftrightunsigned", word, i % 64).bitwiseAND(F.lit(1)).cast("int")
+    def byte_bits(i):
+        word = F.get(w, F.shiftright(i, 3))
+        shift = i.bitwiseAND(F.lit(7)) * 8
+        byte = F.call_function("shiftright", word, shift).bitwiseAND(F.lit(255)).cast("int")
+        return F.get(F.lit(_BYTE_BITS), byte)
 
-    return F.transform(F.sequence(F.lit(0), F.lit(n_bits - 1)), bit)
+    bits = F.flatten(F.transform(F.sequence(F.lit(0), F.lit((n_bits + 7) // 8 - 1)), byte_bits))
+    return bits if n_bits % 8 == 0 else F.slice(bits, 1, n_bits)
 
 
 def set_bits(words, n_bits: int) -> Column:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import bit_position
 from ..functions.vectors import words_to_vector
+from ..session import stage
 from .graph import circular_signatures
 
 # Above this many 64-bit words, one aggregate per word would make the generated code long.
@@ -67,9 +68,12 @@ def ngrams(tokens, min_n: int, max_n: int, sep: str = " ") -> Column:
     t = F.col(tokens) if isinstance(tokens, str) else tokens
 
     def runs(n):
-        starts = F.sequence(F.lit(1), F.size(t) - n + 1)
-        grams = F.transform(starts, lambda i: F.array_join(F.slice(t, i, n), sep))
-        return F.when(F.size(t) >= n, grams).otherwise(F.array().cast("array<string>"))
+        if n == 1:
+            return t
+        heads = F.slice(t, 1, F.greatest(F.size(t) - n + 1, F.lit(0)))
+        return F.transform(
+            heads, lambda x, i: F.concat_ws(sep, x, *[F.get(t, i + k) for k in range(1, n)])
+        )
 
     return F.concat(*[runs(n) for n in range(min_n, max_n + 1)])
 
@@ -153,42 +157,36 @@ def _thin(states: DataFrame, room: int) -> DataFrame:
     return local.repartition(*group).sortWithinPartitions(*group).mapInPandas(task, rows.schema)
 
 
-def path_keys(
-    nodes: DataFrame, edges: DataFrame, min_len: int = 1, max_len: int = 7,
-    label: str = "label", typed: bool = False, hub_degree: int = 8,
+def _path_rows(
+    nodes: DataFrame, edges: DataFrame, min_len: int, max_len: int, label: str, typed: bool,
+    hub_degree: int,
 ) -> DataFrame:
-    """``(graph_id, path)``: label texts of the simple paths with ``min_len..max_len`` edges.
-
-    The text is the smaller of both reading directions. A path state holds the visited
-    nodes; each round joins the states with the edges at their end.
-
-    In graphs without hubs the number of states is bounded by the degree. At nodes with more
-    than ``hub_degree`` edges the number of paths through the node would grow with its
-    square; there the states with the same end and text are thinned to a family of bounded
-    size that allows exactly the same continuations, so no path text is lost.
-    """
+    """``(graph_id, path)`` with repeats; see :func:`path_keys`."""
     ids = ["graph_id", "node_id"]
-    degrees = edges.groupBy("graph_id", F.col("src").alias("node_id")).agg(
+    sep = F.col("kind") if typed else F.lit(">")
+    text = F.col(label).cast("string")
+    degrees = edges.groupBy("graph_id", F.col("src").alias("dst")).agg(
         F.count(F.lit(1)).alias("degree")
     )
-    widest = degrees.agg(F.max("degree")).first()[0] or 0
-    sep = F.col("kind") if typed else F.lit(">")
-    ends = nodes.select("graph_id", F.col("node_id").alias("dst"), F.col(label).cast("string").alias("__l"))
-    has_hubs = widest > hub_degree
+    has_hubs = (degrees.agg(F.max("degree")).first()[0] or 0) > hub_degree
+    ends = nodes.select("graph_id", F.col("node_id").alias("dst"), text.alias("__l"))
     if has_hubs:
-        hub = degrees.filter(F.col("degree") > hub_degree).select(
-            "graph_id", F.col("node_id").alias("dst"), F.lit(True).alias("hub")
-        )
-        ends = ends.join(hub, ["graph_id", "dst"], "left")
+        hub = (F.col("degree") > hub_degree).alias("hub")
+        ends = ends.join(degrees.select("graph_id", "dst", hub), ["graph_id", "dst"])
+    else:
+        ends = ends.withColumn("hub", F.lit(False))
+    # One row per directed edge, with what a path gains by taking it.
     steps = edges.select(
         "graph_id", F.col("src").alias("node_id"), "dst", sep.alias("__s")
     ).join(ends, ["graph_id", "dst"])
-    text = F.col(label).cast("string")
+    if has_hubs:
+        steps = stage(steps, "steps")
+
     states = nodes.select(
         *ids, text.alias("fwd"), text.alias("rev"), F.array("node_id").alias("visited")
     )
     found = []
-    for length in range(0, max_len + 1):
+    for length in range(max_len + 1):
         if length:
             grown = states.join(steps, ids).filter(~F.array_contains("visited", F.col("dst")))
             states = grown.select(
@@ -196,14 +194,37 @@ def path_keys(
                 F.concat("fwd", "__s", "__l").alias("fwd"),
                 F.concat("__l", "__s", "rev").alias("rev"),
                 F.concat("visited", F.array("dst")).alias("visited"),
-                *(["hub"] if has_hubs else []),
+                "hub",
             )
             if has_hubs and length < max_len:
-                plain = states.filter("hub IS NULL").drop("hub")
-                states = plain.unionByName(_thin(states.filter("hub"), max_len - length))
+                # Read three times below: as paths of this length, plain ends and hub ends.
+                states = stage(states, f"paths-{length}")
         if length >= min_len:
             found.append(states.select("graph_id", F.least("fwd", "rev").alias("path")))
-    return reduce(lambda x, y: x.unionByName(y), found).distinct()
+        if length and has_hubs and length < max_len:
+            hub = states.filter("hub").drop("hub")
+            states = states.filter("NOT hub").drop("hub").unionByName(_thin(hub, max_len - length))
+        else:
+            states = states.drop("hub")
+    return reduce(lambda x, y: x.unionByName(y), found)
+
+
+def path_keys(
+    nodes: DataFrame, edges: DataFrame, min_len: int = 1, max_len: int = 7,
+    label: str = "label", typed: bool = False, hub_degree: int = 8,
+) -> DataFrame:
+    """``(graph_id, path)``: label texts of the simple paths with ``min_len..max_len`` edges.
+
+    The text is the smaller of both reading directions. A path state holds the visited
+    nodes; each round joins the states with the edges at their end. The rounds share their
+    exchanges: what one round shuffles is read by the next one and not computed again.
+
+    In graphs without hubs the number of states is bounded by the degree. At nodes with more
+    than ``hub_degree`` edges the number of paths through the node would grow with its
+    square; there the states with the same end and text are thinned to a family of bounded
+    size that allows exactly the same continuations, so no path text is lost.
+    """
+    return _path_rows(nodes, edges, min_len, max_len, label, typed, hub_degree).distinct()
 
 
 def path_fingerprint(
@@ -211,6 +232,9 @@ def path_fingerprint(
     n_bits: int = 2048, bits_per_path: int = 2, label: str = "label", typed: bool = False,
     hub_degree: int = 8, dense: bool = True,
 ) -> DataFrame:
-    """Fingerprint of the linear paths of each graph."""
-    keys = path_keys(nodes, edges, min_len, max_len, label, typed, hub_degree)
-    return fold_bits(keys, "graph_id", "path", n_bits, bits_per_path, dense)
+    """Fingerprint of the linear paths of each graph.
+
+    Repeated paths set the same bits, so they are not made distinct first.
+    """
+    rows = _path_rows(nodes, edges, min_len, max_len, label, typed, hub_degree)
+    return fold_bits(rows, "graph_id", "path", n_bits, bits_per_path, dense)

@@ -128,6 +128,11 @@ def _halves(text: Column) -> tuple[Column, Column]:
     return hex_number(digest, 1, 15), hex_number(digest, 16, 15)
 
 
+def label_signature(label: str) -> Column:
+    """``sig_0`` of every node with this label."""
+    return F.substring(F.md5(F.lit(label).cast("binary")), 1, 30)
+
+
 def circular_signatures(
     nodes: DataFrame, edges: DataFrame, radius: int = 2, label: str = "label",
     typed: bool = False,

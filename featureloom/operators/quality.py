@@ -90,10 +90,11 @@ def graph_metrics(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         | ((F.col("label") == "N") & (total < 3))
         | ((F.col("label") == "O") & (total < 2))
     )
+    metals = [N.ELEMENTS[z - 1] for z in TRANSITION_METALS]
     return n.groupBy("graph_id").agg(
         F.count_if(F.col("label") != "H").alias("heavy_atoms"),
         F.count_if(total > limit).alias("hypervalent"),
-        F.count_if(N.atomic_number("label").isin(*TRANSITION_METALS)).alias("metals"),
+        F.count_if(F.col("label").isin(*metals)).alias("metals"),
         F.count_if(open_shell).alias("radicals"),
     )
 

@@ -16,7 +16,7 @@ from ..operators.cleaning import (
     clean_keys, drop_incomplete, drop_null_features, fix_decimal_commas, null_tokens, take_columns,
 )
 from ..operators.fingerprints import circular_fingerprint, path_fingerprint
-from ..operators.graph import circular_signatures
+from ..operators.graph import label_signature
 from ..operators.histogram import bucketize
 from ..operators.quality import dedup_keep_first
 from ..sources.delimited import detect_delimiter, read_delimited, split_malformed
@@ -60,17 +60,18 @@ def distinct_records(verified: DataFrame) -> DataFrame:
 
 
 def predict_values(
-    nodes: DataFrame, edges: DataFrame, targets: DataFrame, table: DataFrame,
-    radius: int = 2, min_support: int = 1, conditions: dict[str, str] | None = None,
-    label: str = "label", typed: bool = False, digits: int = 2,
+    signatures: DataFrame, table: DataFrame, radius: int = 2, target: str | None = None,
+    min_support: int = 1, conditions: dict[str, str] | None = None, digits: int = 2,
 ) -> DataFrame:
-    """``(name, value)`` of the target nodes, looked up by their surroundings.
+    """``(name, value)`` of the nodes labelled ``target``, looked up by their surroundings.
 
-    ``targets`` holds ``(graph_id, node_id)``. The signatures need the whole graphs; only the
-    target nodes go through the lookup. Nodes no level knows have no value.
+    ``signatures`` comes from :func:`circular_signatures` over the whole graphs and serves
+    several targets. The label is recognised by its own hash ``sig_0``, so no join with the
+    nodes is needed. Nodes no level knows have no value.
     """
-    sigs = circular_signatures(nodes, edges, radius, label, typed)
-    wanted = sigs.join(targets.select("graph_id", "node_id"), ["graph_id", "node_id"], "left_semi")
+    wanted = signatures
+    if target is not None:
+        wanted = signatures.filter(F.col("sig_0") == label_signature(target))
     answered = predict_backoff(wanted, table, signature_levels(radius), min_support, conditions)
     return answered.filter("predicted IS NOT NULL").select(
         F.col("graph_id").alias("name"), format_shift("predicted", digits).alias("value")

@@ -17,6 +17,8 @@ DEFAULTS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Joins on (graph, node) may reuse a partitioning on a subset of these columns.
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    # Where every shuffled partition is measured to be small, hash instead of sorting both sides.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.session.timeZone": "UTC",
 }
 
@@ -55,3 +57,14 @@ def stage(df: DataFrame, purpose: str = "stage") -> DataFrame:
     path = scratch_dir(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Deal a plain scan out over all cores if it has fewer splits than there are cores.
+
+    Meant in front of work that is heavy per row (parsing, token runs). A large input has
+    many splits and is returned as it is, without a shuffle. Only for scans: counting the
+    splits of a plan with shuffles would run them.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan

@@ -77,7 +77,9 @@ def read_delimited(
     rows = (
         spark.read.schema(schema)
         .options(sep=sep, header=True, mode="PERMISSIVE", quote='"', escape='"',
-                 columnNameOfCorruptRecord=BAD, multiLine=multi_line, maxCharsPerColumn=-1)
+                 columnNameOfCorruptRecord=BAD, multiLine=multi_line, maxCharsPerColumn=-1,
+                 # With pruning, the width of a record would be judged by the columns in use.
+                 columnPruning=False)
         .csv(path)
     )
     return rows.select(
