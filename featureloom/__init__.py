@@ -28,6 +28,7 @@ from .operators.quality import (
     dedup_keep_first, degenerate_keys, duplicate_report, failed_keys, flag_rules,
     graph_metrics, graph_rules, reject_degenerate, route, run_summary, screen_notation, warnings,
 )
+from .operators.rowgraphs import notation_paths
 from .plans.matrices import (
     distinct_records, fingerprint_matrix, hybrid_matrix, predict_values, signature_levels,
     spectral_matrix, spectral_vectors, verify_table,

@@ -152,7 +152,7 @@ def _bits_sql(signatures: str, key: str, k: int = 1, n_bits: int = 2048) -> str:
         f"SELECT {key}, ('0x' || substr(md5(sig), {1 + 8 * j}, 8))::BIGINT % {n_bits} AS bit FROM sigs" for j in range(k)
     )
     return f"""sigs AS ({signatures}), bits AS ({each})
-SELECT {key}, bitstring_agg(bit, 0, {n_bits - 1})::VARCHAR AS bits FROM bits GROUP BY {key}"""
+SELECT {key}, coalesce(bitstring_agg(bit, 0, {n_bits - 1})::VARCHAR, repeat('0', {n_bits})) AS bits FROM bits GROUP BY {key}"""
 
 
 def _bitstring(words, key, n_bits=2048):
@@ -176,7 +176,7 @@ p AS (SELECT g, n, label AS fwd, label AS rev, [n] AS seen, 0 AS len FROM t
 
 
 @query(f"""
-WITH RECURSIVE {_PATHS}, {_bits_sql("SELECT DISTINCT g AS graph_id, least(fwd, rev) AS sig FROM p WHERE len >= 1", "graph_id", 2)}
+WITH RECURSIVE {_PATHS}, {_bits_sql("SELECT DISTINCT g AS graph_id, CASE WHEN len >= 1 THEN least(fwd, rev) END AS sig FROM p", "graph_id", 2)}
 """)
 def path_fingerprint(spark, d):
     nodes, edges = conversation_graph(spark, d)
@@ -227,7 +227,7 @@ def path_keys_hubs(spark, d):
 WITH w AS (SELECT doc_id, list_filter(string_split_regex(lower(text), '[^a-z0-9]+'), lambda x: x <> '') AS words FROM documents),
 g AS (SELECT doc_id, unnest(flatten([list_transform(range(1, len(words) - n + 2), lambda i: array_to_string(words[i:i + n - 1], ' '))
         for n in [1, 2, 3]])) AS sig FROM w),
-{_bits_sql("SELECT DISTINCT doc_id, sig FROM g", "doc_id")}
+{_bits_sql("SELECT DISTINCT doc_id, sig FROM g UNION SELECT doc_id, NULL FROM documents", "doc_id")}
 """)
 def ngram_fingerprint(spark, d):
     words = F.filter(F.split(F.lower("text"), "[^a-z0-9]+"), lambda x: x != "")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import backoff as B
 from ..operators import graph as G
 from ..operators.assembly import expand_copies
+from ..operators.rowgraphs import notation_paths
 from ..plans import matrices as M
 from ..session import spread, stage
 from .common import joined, query, table
@@ -100,11 +101,11 @@ w AS (SELECT p_partkey, array_to_string(string_split(substr(s, i, len + 1), ''),
 {_bits_sql("SELECT DISTINCT p_partkey, least(fwd, reverse(fwd)) AS sig FROM w", "p_partkey", 2).replace("SELECT p_partkey, bitstring_agg", "SELECT p_partkey AS name, p_type AS label, bitstring_agg", 1).replace("FROM bits GROUP BY p_partkey", "FROM bits JOIN part USING (p_partkey) GROUP BY ALL")}
 """)
 def fingerprint_matrix(spark, d):
-    """Part names spelled as chains of atoms: notation, graph, paths, bits, label."""
+    """Part names spelled as chains of atoms: notation, paths, bits, label."""
     parts = spread(table(spark, d, "part").select("p_partkey", "p_name", "p_type")).select(
         F.col("p_partkey").alias("name"), "p_type", F.expr(_CHAIN).alias("notation")
     )
-    nodes, edges, _ = G.notation_to_graph(parts, "name", "notation")
-    matrix = M.fingerprint_matrix(nodes, edges, parts.select("name", "p_type"), label="p_type", typed=True)
+    words, _ = notation_paths(parts, "name", "notation", dense=False)
+    matrix = M.fingerprint_matrix(words, parts.select("name", "p_type"), label="p_type")
     return matrix.select("name", "label", F.array_join(
         F.transform("features", lambda x: x.cast("string")), "").alias("bits"))

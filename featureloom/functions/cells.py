@@ -28,6 +28,11 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def named(name: str) -> Column:
+    """Column of exactly this name, which may hold dots."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def is_decimal_comma(c) -> Column:
     """True where the cell is a number written with one comma and no dot."""
     return F.coalesce(_col(c).rlike(DECIMAL_COMMA_PATTERN), F.lit(False))

@@ -8,6 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.cells import named
 from .quality import dedup_keep_first
 
 META = ("MOLECULE_NAME", "LABEL")
@@ -86,7 +87,7 @@ def attach_labels(
 def split_meta(df: DataFrame, meta: list[str] = META, into: str = "features") -> DataFrame:
     """Pack every column outside ``meta`` of a wide table into one array."""
     rest = [c for c in df.columns if c not in meta]
-    return df.select(*meta, F.array(*[F.col(f"`{c}`") for c in rest]).alias(into))
+    return df.select(*meta, F.array(*[named(c) for c in rest]).alias(into))
 
 
 def fuse(

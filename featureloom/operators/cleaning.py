@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.cells import clean_key, fix_decimal_comma, is_decimal_comma, null_token
+from ..functions.cells import clean_key, fix_decimal_comma, is_decimal_comma, named, null_token
 
 
 def require_columns(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -19,7 +21,7 @@ def require_columns(df: DataFrame, cols: list[str]) -> DataFrame:
 
 def take_columns(df: DataFrame, n: int = 3) -> DataFrame:
     """The first ``n`` columns."""
-    return df.select(*[F.col(f"`{c}`") for c in df.columns[:n]])
+    return df.select(*[named(c) for c in df.columns[:n]])
 
 
 def _strings(df: DataFrame, cols: list[str] | None) -> list[str]:
@@ -29,8 +31,8 @@ def _strings(df: DataFrame, cols: list[str] | None) -> list[str]:
 
 
 def _rewrite(df: DataFrame, cols: list[str], fn) -> DataFrame:
-    changed = {c: fn(F.col(f"`{c}`")) for c in cols}
-    return df.select(*[changed.get(c, F.col(f"`{c}`")).alias(c) for c in df.columns])
+    changed = {c: fn(named(c)) for c in cols}
+    return df.select(*[changed.get(c, named(c)).alias(c) for c in df.columns])
 
 
 def fix_decimal_commas(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
@@ -41,7 +43,7 @@ def fix_decimal_commas(df: DataFrame, cols: list[str] | None = None) -> DataFram
 def decimal_comma_report(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """``(column, n)``: cells with a decimal comma, counted in one pass."""
     names = _strings(df, cols)
-    return _per_column(df, {c: F.count_if(is_decimal_comma(F.col(f"`{c}`"))) for c in names})
+    return _per_column(df, {c: F.count_if(is_decimal_comma(named(c))) for c in names})
 
 
 def _per_column(df: DataFrame, aggregates: dict) -> DataFrame:
@@ -65,12 +67,13 @@ def clean_keys(df: DataFrame, col: str) -> DataFrame:
 
 def null_counts(df: DataFrame) -> DataFrame:
     """``(column, n)``: nulls per column, counted in one pass."""
-    return _per_column(df, {c: F.count_if(F.col(f"`{c}`").isNull()) for c in df.columns})
+    return _per_column(df, {c: F.count_if(named(c).isNull()) for c in df.columns})
 
 
 def drop_incomplete(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``(complete rows, null counts per column)``."""
-    return df.dropna("any"), null_counts(df)
+    whole = reduce(lambda a, b: a & b, [named(c).isNotNull() for c in df.columns])
+    return df.filter(whole), null_counts(df)
 
 
 def drop_null_features(

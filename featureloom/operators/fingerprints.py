@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.families import thin_task
 from ..functions.hashing import bit_position
 from ..functions.vectors import words_to_vector
 from ..session import stage
@@ -24,6 +23,7 @@ def fold_bits(
 ) -> DataFrame:
     """One bit vector per key: the bits all its signatures set.
 
+    A null signature sets no bit but keeps its key, with a zero vector if there is no other.
     The vector is built as 64-bit words with ``bit_or``. That is a partial, fixed-size
     aggregate, so a key of any size reaches the final task as one short row per map task.
     ``dense=False`` returns the words, which are 16 times smaller than an ``array<int>``.
@@ -83,68 +83,10 @@ def ngram_fingerprint(
     n_bits: int = 2048, bits_per_signature: int = 1, dense: bool = True,
 ) -> DataFrame:
     """Fingerprint of the token runs of each key; works on any text or token column."""
-    grams = df.select(key, F.explode(ngrams(tokens, min_n, max_n)).alias("gram"))
+    grams = df.select(key, F.explode_outer(ngrams(tokens, min_n, max_n)).alias("gram"))
     return fold_bits(grams, key, "gram", n_bits, bits_per_signature, dense)
 
 
-def representatives(families: list[frozenset], room: int) -> list[int]:
-    """Indices of sets that stand for all: whatever ``room`` nodes are still to come, if one
-    of ``families`` avoids them, then one of the chosen sets does.
-
-    Take any set; a continuation that it blocks must use one of its nodes, so for each of
-    them look among the sets without that node, with one node less to come.
-    """
-    chosen: set[int] = set()
-
-    def pick(candidates: list[int], left: int) -> None:
-        if not candidates:
-            return
-        head = candidates[0]
-        chosen.add(head)
-        if left:
-            for node in families[head]:
-                pick([c for c in candidates if node not in families[c]], left - 1)
-
-    pick(list(range(len(families))), room)
-    return sorted(chosen)
-
-
-_BUFFER = 2_000
-
-
-def _thin_partition(room: int):
-    """Task function: rows sorted by group in, representative rows of each group out.
-
-    Only the rows of the current group are held, and no more than a fixed number of them.
-    """
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        group, held = None, []
-
-        def thin():
-            keep = representatives([frozenset(r[-1]) for r in held], room)
-            return [held[i] for i in keep]
-
-        for batch in batches:
-            done = []
-            for row in batch.itertuples(index=False, name=None):
-                if row[:3] != group:
-                    done += thin() if held else []
-                    group, held = row[:3], []
-                held.append(row)
-                if len(held) >= _BUFFER:
-                    reduced = thin()
-                    # Past the bound on representatives nothing more can be dropped yet.
-                    held = reduced
-            if done:
-                yield pd.DataFrame(done, columns=batch.columns)
-            columns = batch.columns
-        if held:
-            yield pd.DataFrame(thin(), columns=columns)
-
-    return run
-
-
 def _thin(states: DataFrame, room: int) -> DataFrame:
     """Per (graph, end, path text), keep the paths that stand for all others.
 
@@ -152,7 +94,7 @@ def _thin(states: DataFrame, room: int) -> DataFrame:
     """
     group = ["graph_id", "node_id", "fwd"]
     rows = states.select(*group, "rev", "visited")
-    task = _thin_partition(room)
+    task = thin_task(room, len(group))
     local = rows.sortWithinPartitions(*group).mapInPandas(task, rows.schema)
     return local.repartition(*group).sortWithinPartitions(*group).mapInPandas(task, rows.schema)
 
@@ -234,7 +176,10 @@ def path_fingerprint(
 ) -> DataFrame:
     """Fingerprint of the linear paths of each graph.
 
-    Repeated paths set the same bits, so they are not made distinct first.
+    Repeated paths set the same bits, so they are not made distinct first. A graph without
+    any path has a zero vector.
     """
-    rows = _path_rows(nodes, edges, min_len, max_len, label, typed, hub_degree)
+    rows = _path_rows(nodes, edges, min_len, max_len, label, typed, hub_degree).unionByName(
+        nodes.select("graph_id", F.lit(None).cast("string").alias("path"))
+    )
     return fold_bits(rows, "graph_id", "path", n_bits, bits_per_path, dense)

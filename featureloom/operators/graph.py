@@ -27,6 +27,15 @@ def notation_to_graph(
     parsed = N.with_graph(rows, "notation")
     if staged:
         parsed = stage(parsed, "graphs")
+    nodes, edges = graph_tables(parsed)
+    errors = parsed.filter("error IS NOT NULL").select(
+        F.col("graph_id").alias("name"), "notation", "error"
+    )
+    return nodes, edges, errors
+
+
+def graph_tables(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(nodes, edges)`` of parsed rows ``(graph_id, atoms, bonds, …)``."""
     # The outer form keeps the optimizer from testing the arrays before it builds them.
     atoms = parsed.select("graph_id", F.posexplode_outer("atoms").alias("pos", "token"))
     fields = N.atom_fields("token")
@@ -43,11 +52,7 @@ def notation_to_graph(
         .select("graph_id", ends[0].alias("a"), ends[1].alias("b"),
                 F.get(part, F.lit(2)).alias("kind"))
     )
-    edges = both_directions(one_way)
-    errors = parsed.filter("error IS NOT NULL").select(
-        F.col("graph_id").alias("name"), "notation", "error"
-    )
-    return nodes, edges, errors
+    return nodes, both_directions(one_way)
 
 
 def both_directions(one_way: DataFrame) -> DataFrame:

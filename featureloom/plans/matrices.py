@@ -8,14 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.buckets import preset
-from ..functions.cells import format_shift, to_double
+from ..functions.cells import format_shift, named, to_double
 from ..functions.vectors import words_to_vector
 from ..operators.assembly import attach_labels, fuse, label_column
 from ..operators.backoff import predict_backoff
 from ..operators.cleaning import (
     clean_keys, drop_incomplete, drop_null_features, fix_decimal_commas, null_tokens, take_columns,
 )
-from ..operators.fingerprints import circular_fingerprint, path_fingerprint
 from ..operators.graph import label_signature
 from ..operators.histogram import bucketize
 from ..operators.quality import dedup_keep_first
@@ -41,15 +40,15 @@ def verify_table(
     raw = read_delimited(spark, path, sep, multi_line=multi_line)
     good, rejects = split_malformed(raw, sep, short_rows)
     data = take_columns(good.drop("ord"), 3).columns
-    table = null_tokens(good.select(*data, "ord"))
+    table = null_tokens(good.select(*map(named, data), "ord"))
     if sep == ";":
         table = fix_decimal_commas(table, data)
     table = clean_keys(table, data[0])
-    target = label_column(table.select(*data), label)
+    target = label_column(take_columns(table, len(data)), label)
     full, nulls = drop_incomplete(table)
     rows = full.select(
-        F.col(f"`{data[0]}`").alias("name"), F.col(f"`{data[1]}`").alias("notation"),
-        to_double(F.col(f"`{target}`")).alias("label"), "ord",
+        named(data[0]).alias("name"), named(data[1]).alias("notation"),
+        to_double(named(target)).alias("label"), "ord",
     )
     return Verified(rows, rejects, nulls.filter("column <> 'ord'"), sep)
 
@@ -107,21 +106,20 @@ def spectral_matrix(
 
 
 def fingerprint_matrix(
-    nodes: DataFrame, edges: DataFrame, labels: DataFrame, kind: str = "path",
-    n_bits: int = 2048, label: str = "label", **options,
+    words: DataFrame, labels: DataFrame, n_bits: int = 2048, *, key: str = "graph_id",
+    label: str = "label", labels_mode: str = "all", order: list[str] | None = None,
+    keep_unlabelled: bool = False,
 ) -> DataFrame:
     """``(name, label, features)`` of the fingerprint mode.
 
-    Labels are joined to the compact words; the dense vector is built last.
+    ``words`` is any fingerprint made with ``dense=False``. Labels are joined to the compact
+    words; the dense vector is built last.
     """
-    makers = {"path": path_fingerprint, "circular": circular_fingerprint}
-    if kind not in makers:
-        raise ValueError(f"kind must be one of {sorted(makers)}, not {kind!r}")
-    words = makers[kind](nodes, edges, n_bits=n_bits, dense=False, **options)
-    named = words.withColumnRenamed("graph_id", "name")
-    return attach_labels(named, labels, "name", label).select(
-        "name", "label", words_to_vector("words", n_bits).alias("features")
+    joined = attach_labels(
+        words.withColumnRenamed(key, "name"), labels, "name", label, labels_mode=labels_mode,
+        order=order, keep_unlabelled=keep_unlabelled,
     )
+    return joined.select("name", "label", words_to_vector("words", n_bits).alias("features"))
 
 
 def hybrid_matrix(

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.cells import named
 from .lines import number_lines
 
 # Candidate separators; a tie goes to the earlier one.
@@ -82,9 +83,11 @@ def read_delimited(
                  columnPruning=False)
         .csv(path)
     )
+    # A scan that asks for the raw text alone is refused, so a data column stands behind it.
+    raw = F.when(F.col(BAD).isNotNull(), F.coalesce(F.col(BAD), named(names[0])))
     return rows.select(
-        *[F.col(f"`{n}`") for n in names],
-        BAD,
+        *[named(n) for n in names],
+        raw.alias(BAD),
         F.struct(
             F.col("_metadata.file_path").alias("path"),
             F.col("_metadata.file_block_start").alias("start"),
@@ -109,10 +112,8 @@ def split_malformed(
     if short_rows == "pad":
         bad = bad & (found > len(names))
     good = df.filter(~bad).drop(BAD)
-    # A scan that asks for the raw text alone is refused, so a data column stands behind it.
-    raw = F.coalesce(F.col(BAD), F.col(f"`{names[0]}`"))
     rejects = df.filter(bad).select(
-        F.col("ord")["path"].alias("file"), raw.alias("raw"),
+        F.col("ord")["path"].alias("file"), F.col(BAD).alias("raw"),
         F.lit(len(names)).alias("expected"), found.alias("found"),
     )
     return good, rejects
