@@ -147,12 +147,13 @@ def circular_signatures(spark, d):
     return G.circular_signatures(nodes, edges, 2)
 
 
-def _bits_sql(signatures: str, key: str, k: int = 1, n_bits: int = 2048) -> str:
+def bits_sql(signatures: str, key: str, k: int = 1, n_bits: int = 2048) -> str:
+    """CTEs ``sigs``, ``bits`` and ``prints(key, bits)`` from a query for ``(key, sig)``."""
     each = " UNION ALL ".join(
         f"SELECT {key}, ('0x' || substr(md5(sig), {1 + 8 * j}, 8))::BIGINT % {n_bits} AS bit FROM sigs" for j in range(k)
     )
-    return f"""sigs AS ({signatures}), bits AS ({each})
-SELECT {key}, coalesce(bitstring_agg(bit, 0, {n_bits - 1})::VARCHAR, repeat('0', {n_bits})) AS bits FROM bits GROUP BY {key}"""
+    return f"""sigs AS ({signatures}), bits AS ({each}),
+prints AS (SELECT {key}, coalesce(bitstring_agg(bit, 0, {n_bits - 1})::VARCHAR, repeat('0', {n_bits})) AS bits FROM bits GROUP BY {key})"""
 
 
 def _bitstring(words, key, n_bits=2048):
@@ -161,7 +162,8 @@ def _bitstring(words, key, n_bits=2048):
 
 @query(f"""
 WITH {signature_sql(2, typed=True)},
-{_bits_sql(" UNION ALL ".join(f"SELECT g AS graph_id, substr(h, 1, 30) AS sig FROM s{i}" for i in range(3)), "graph_id")}
+{bits_sql(" UNION ALL ".join(f"SELECT g AS graph_id, substr(h, 1, 30) AS sig FROM s{i}" for i in range(3)), "graph_id")}
+SELECT * FROM prints
 """)
 def circular_fingerprint(spark, d):
     nodes, edges = conversation_graph(spark, d)
@@ -176,7 +178,8 @@ p AS (SELECT g, n, label AS fwd, label AS rev, [n] AS seen, 0 AS len FROM t
 
 
 @query(f"""
-WITH RECURSIVE {_PATHS}, {_bits_sql("SELECT DISTINCT g AS graph_id, CASE WHEN len >= 1 THEN least(fwd, rev) END AS sig FROM p", "graph_id", 2)}
+WITH RECURSIVE {_PATHS}, {bits_sql("SELECT DISTINCT g AS graph_id, CASE WHEN len >= 1 THEN least(fwd, rev) END AS sig FROM p", "graph_id", 2)}
+SELECT * FROM prints
 """)
 def path_fingerprint(spark, d):
     nodes, edges = conversation_graph(spark, d)
@@ -224,10 +227,12 @@ def path_keys_hubs(spark, d):
 
 
 @query(f"""
-WITH w AS (SELECT doc_id, list_filter(string_split_regex(lower(text), '[^a-z0-9]+'), lambda x: x <> '') AS words FROM documents),
-g AS (SELECT doc_id, unnest(flatten([list_transform(range(1, len(words) - n + 2), lambda i: array_to_string(words[i:i + n - 1], ' '))
-        for n in [1, 2, 3]])) AS sig FROM w),
-{_bits_sql("SELECT DISTINCT doc_id, sig FROM g UNION SELECT doc_id, NULL FROM documents", "doc_id")}
+WITH l AS (SELECT doc_id, list_filter(string_split_regex(lower(text), '[^a-z0-9]+'), lambda x: x <> '') AS words FROM documents),
+w AS (SELECT doc_id, unnest(words) AS a, generate_subscripts(words, 1) AS i FROM l),
+g AS (SELECT doc_id, a, lead(a, 1) OVER o AS b, lead(a, 2) OVER o AS c FROM w WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+{bits_sql("""SELECT doc_id, a AS sig FROM g UNION SELECT doc_id, a || ' ' || b FROM g
+  UNION SELECT doc_id, a || ' ' || b || ' ' || c FROM g UNION SELECT doc_id, NULL FROM documents""", "doc_id")}
+SELECT * FROM prints
 """)
 def ngram_fingerprint(spark, d):
     words = F.filter(F.split(F.lower("text"), "[^a-z0-9]+"), lambda x: x != "")

@@ -11,7 +11,7 @@ from ..operators.rowgraphs import notation_paths
 from ..plans import matrices as M
 from ..session import spread, stage
 from .common import joined, query, table
-from .graphs import _bits_sql, conversation_graph, signature_sql
+from .graphs import bits_sql, conversation_graph, signature_sql
 
 # Turns of one role play the part of one nucleus: the text length is looked up by the
 # surroundings of the turn, and the answers of a conversation become a 200-bucket vector.
@@ -98,7 +98,8 @@ ok AS (SELECT * FROM c WHERE length(s) > 0),
 k AS (SELECT p_partkey, label, s, unnest(range(1, 8)) AS len FROM ok),
 w AS (SELECT p_partkey, array_to_string(string_split(substr(s, i, len + 1), ''), '-') AS fwd
       FROM (SELECT *, unnest(range(1, length(s) - len + 1)) AS i FROM k)),
-{_bits_sql("SELECT DISTINCT p_partkey, least(fwd, reverse(fwd)) AS sig FROM w", "p_partkey", 2).replace("SELECT p_partkey, bitstring_agg", "SELECT p_partkey AS name, p_type AS label, bitstring_agg", 1).replace("FROM bits GROUP BY p_partkey", "FROM bits JOIN part USING (p_partkey) GROUP BY ALL")}
+{bits_sql("SELECT DISTINCT p_partkey, least(fwd, reverse(fwd)) AS sig FROM w", "p_partkey", 2)}
+SELECT p_partkey AS name, p_type AS label, bits FROM prints JOIN part USING (p_partkey)
 """)
 def fingerprint_matrix(spark, d):
     """Part names spelled as chains of atoms: notation, paths, bits, label."""
