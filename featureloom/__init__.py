@@ -33,6 +33,7 @@ from .plans.matrices import (
     distinct_records, fingerprint_matrix, hybrid_matrix, predict_values, signature_levels,
     spectral_matrix, spectral_vectors, verify_table,
 )
+from .plans.modes import MODES, build_matrix, run_mode
 from .session import build_session, spread, stage
 from .sinks.tables import append_log, write_matrix, write_vectors, write_verified
 from .sources.delimited import (

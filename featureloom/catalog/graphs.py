@@ -9,7 +9,7 @@ from ..operators import backoff as B
 from ..operators import fingerprints as FP
 from ..operators import graph as G
 from ..operators import quality as Q
-from ..session import spread
+from ..session import spread, stage
 from .common import query, table
 
 # One notation per part: a chain, a branch and a ring, sized by the row's own values.
@@ -276,7 +276,7 @@ LEFT JOIN fit c ON c.level = 3 AND c.n >= 3 AND c.key = p_brand || chr(31) || p_
 """)
 def backoff_predict(spark, d):
     parts = _priced_parts(spark, d)
-    fitted = B.fit_backoff(parts, _LEVELS, "price")
+    fitted = stage(B.fit_backoff(parts, _LEVELS, "price"), "fit")
     answers = B.predict_backoff(parts, fitted, _LEVELS, min_support=3)
     return answers.select("p_partkey", "predicted", "lo", "hi", "support", "level")
 
@@ -294,6 +294,6 @@ def backoff_conditions(spark, d):
     """The table is fitted per condition; the lookup uses the part for one of them."""
     levels = [["l_quantity"], ["l_quantity", "l_discount"]]
     items = table(spark, d, "lineitem").withColumn("v", F.col("l_extendedprice").cast("decimal(18,2)"))
-    fitted = B.fit_backoff(items, levels, "v", conditions=["l_returnflag"])
+    fitted = stage(B.fit_backoff(items, levels, "v", conditions=["l_returnflag"]), "fit")
     answers = B.predict_backoff(items, fitted, levels, 10, {"l_returnflag": "R"})
     return answers.select("l_orderkey", "l_linenumber", "l_partkey", "predicted", "support", "level")

@@ -55,15 +55,17 @@ def label_column(df: DataFrame, k: int) -> str:
 def attach_labels(
     matrix: DataFrame, labels: DataFrame, key: str, label: str, *,
     labels_mode: str = "all", order: list[str] | None = None, keep_unlabelled: bool = False,
+    keys: DataFrame | None = None,
 ) -> DataFrame:
-    """``(key, label, …rest of matrix)`` by equality of ``key``.
+    """``(key, label, …rest of matrix)`` by equality of ``key``, which is never null.
 
     Repeated keys on the label side give one row each (``labels_mode="all"``) or only the
     first by ``order`` (``"first"``). Rows without a label are dropped, or kept with a null.
 
     The main join is an inner one, because adaptive execution may then split a hot key on
-    either side; a left join would pin the label side. Unlabelled rows come from an
-    anti-join against the distinct label keys.
+    either side; a left join would pin the label side. For ``keep_unlabelled`` the keys no
+    label knows are found first, by an anti-join of keys alone, and enter the label side
+    with a null. They are taken from ``keys`` if a cheaper table of them is at hand.
     """
     if labels_mode not in ("all", "first"):
         raise ValueError(f"labels_mode must be 'all' or 'first', not {labels_mode!r}")
@@ -73,15 +75,16 @@ def attach_labels(
             raise ValueError("labels_mode='first' needs the order columns")
         side = dedup_keep_first(labels.select(key, label, *order), [key], order)
     side = side.select(key, F.col(label).alias("label"))
-    rest = [c for c in matrix.columns if c != key]
-    if not keep_unlabelled:
+    if keep_unlabelled:
+        known = side.select(key).distinct()
+        every = (matrix if keys is None else keys).select(key).distinct()
+        kind = side.schema["label"].dataType
+        bare = every.join(known, key, "left_anti")
+        side = side.unionByName(bare.select(key, F.lit(None).cast(kind).alias("label")))
+    else:
         side = side.filter("label IS NOT NULL")
-    joined = matrix.join(side, key, "inner").select(key, "label", *rest)
-    if not keep_unlabelled:
-        return joined
-    bare = matrix.join(side.select(key).distinct(), key, "left_anti")
-    kind = side.schema["label"].dataType
-    return joined.unionByName(bare.select(key, F.lit(None).cast(kind).alias("label"), *rest))
+    rest = [c for c in matrix.columns if c != key]
+    return matrix.join(side, key, "inner").select(key, "label", *rest)
 
 
 def split_meta(df: DataFrame, meta: list[str] = META, into: str = "features") -> DataFrame:
@@ -94,7 +97,10 @@ def fuse(
     first: DataFrame, second: DataFrame, on: list[str] = ("name", "label"),
     features: str = "features", unique: bool = False,
 ) -> DataFrame:
-    """Inner join on ``on`` (null equals null); the vectors of both sides are concatenated.
+    """Inner join on ``on``; the vectors of both sides are concatenated.
+
+    The first column is the key and never null; in the others null equals null. A plain
+    equality on the key lets the join use the partitioning both sides usually have already.
 
     Repeated rows multiply. They are counted on each side before the join and the product
     is returned as ``copies``, so that ``n`` equal rows on both sides never become ``n * n``
@@ -111,7 +117,9 @@ def fuse(
 
     a = side(first, "__a", "__na").alias("a")
     b = side(second, "__b", "__nb").alias("b")
-    same = reduce(lambda x, y: x & y, [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in on])
+    same = F.col(f"a.{on[0]}") == F.col(f"b.{on[0]}")
+    for c in on[1:]:
+        same = same & F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}"))
     return a.join(b, same, "inner").select(
         *[F.col(f"a.{c}").alias(c) for c in on],
         F.concat("__a", "__b").alias(features),

@@ -99,7 +99,7 @@ def spectral_matrix(
     vectors = spectral_vectors(values, names, axis)
     matrix = attach_labels(
         vectors, labels, "name", label, labels_mode=labels_mode, order=order,
-        keep_unlabelled=keep_unlabelled,
+        keep_unlabelled=keep_unlabelled, keys=names,
     )
     n = (preset(axis) if isinstance(axis, str) else axis)[2]
     return matrix if keep_unlabelled else drop_null_features(matrix, n)
