@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 from ..functions import cells as C
 from ..operators import cleaning as P
 from ..operators import quality as Q
+from ..operators.assembly import as_dataframe
+from ..session import scratch_dir
+from ..sinks.tables import append_log, write_verified
 from .common import query, table
 
 
@@ -194,6 +197,29 @@ def route_warnings(spark, d):
     return Q.warnings(_part_reasons(spark, d), "p_partkey")
 
 
+@query(f"""
+SELECT p_partkey, array_to_string({_REASONS}, ', ') AS reasons FROM part WHERE len({_REASONS}) > 0 UNION ALL
+SELECT p_partkey, array_to_string({_REASONS}, ', ') FROM part WHERE len({_REASONS}) = 0
+""")
+def warning_log(spark, d):
+    """Both routes appended to one log table, one after the other."""
+    path = scratch_dir(spark, "log")
+    direct, other = Q.route(_part_reasons(spark, d))
+    for branch in (other, direct):
+        append_log(branch.select("p_partkey", "reasons"), path)
+    return spark.read.parquet(path)
+
+
+@query("""
+SELECT c_custkey::VARCHAR AS c_custkey, replace(c_name, '#', '_') AS c_name, c_acctbal::VARCHAR AS c_acctbal FROM customer
+""")
+def verified_sink(spark, d):
+    """A cleaned table written as comma text and read back by its path."""
+    customers = table(spark, d, "customer").select("c_custkey", "c_name", "c_acctbal")
+    path = write_verified(P.clean_keys(customers, "c_name"), scratch_dir(spark, "verified"))
+    return as_dataframe(spark, path)
+
+
 def _points(spark, d):
     """Embedding components taken two by two as points of the plane."""
     pair = lambda i: F.array(

@@ -29,4 +29,4 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def joined(features: str = "features") -> Column:
     """Vector as comma text, so that both engines compare the same value."""
-    return F.array_join(F.transform(features, lambda x: x.cast("string")), ",")
+    return F.array_join(F.col(features).cast("array<string>"), ",")

@@ -9,6 +9,7 @@ from ..operators import backoff as B
 from ..operators import fingerprints as FP
 from ..operators import graph as G
 from ..operators import quality as Q
+from ..plans.matrices import fingerprint_matrix
 from ..session import spread, stage
 from .common import query, table
 
@@ -188,58 +189,82 @@ def path_fingerprint(spark, d):
 
 @query("""
 WITH RECURSIVE t AS (
-  SELECT n_regionkey AS g, 'n' || n_nationkey AS n, n_name AS label FROM nation UNION ALL
+  SELECT r_regionkey AS g, 'r' || r_regionkey AS n, r_name AS label FROM region UNION ALL
+  SELECT n_regionkey, 'n' || n_nationkey, n_name FROM nation UNION ALL
   SELECT n_regionkey, 'c' || c_custkey, c_mktsegment FROM customer JOIN nation ON c_nationkey = n_nationkey UNION ALL
   SELECT n_regionkey, 's' || s_suppkey, 'SUPPLIER' FROM supplier JOIN nation ON s_nationkey = n_nationkey),
 l1 AS (
-  SELECT n_regionkey AS g, 'n' || n_nationkey AS a, 'c' || c_custkey AS b FROM customer JOIN nation ON c_nationkey = n_nationkey UNION ALL
-  SELECT n_regionkey, 'n' || n_nationkey, 's' || s_suppkey FROM supplier JOIN nation ON s_nationkey = n_nationkey UNION ALL
-  SELECT x.n_regionkey, 'n' || x.n_nationkey, 'n' || y.n_nationkey FROM nation x JOIN nation y
-  ON x.n_regionkey = y.n_regionkey AND x.n_nationkey < y.n_nationkey),
+  SELECT n_regionkey AS g, 'r' || n_regionkey AS a, 'n' || n_nationkey AS b FROM nation UNION ALL
+  SELECT n_regionkey, 'n' || n_nationkey, 'c' || c_custkey FROM customer JOIN nation ON c_nationkey = n_nationkey UNION ALL
+  SELECT n_regionkey, 'n' || n_nationkey, 's' || s_suppkey FROM supplier JOIN nation ON s_nationkey = n_nationkey),
 links AS (SELECT e.g, e.src, e.dst, t.label FROM (SELECT g, a AS src, b AS dst FROM l1 UNION ALL SELECT g, b, a FROM l1) e
   JOIN t ON t.g = e.g AND t.n = e.dst),
 p AS (SELECT g, n, label AS fwd, label AS rev, [n] AS seen, 0 AS len FROM t
   UNION ALL SELECT p.g, l.dst, p.fwd || '>' || l.label, l.label || '>' || p.rev, list_append(p.seen, l.dst), p.len + 1
-  FROM p JOIN links l ON l.g = p.g AND l.src = p.n WHERE p.len < 3 AND NOT list_contains(p.seen, l.dst))
+  FROM p JOIN links l ON l.g = p.g AND l.src = p.n WHERE p.len < 4 AND NOT list_contains(p.seen, l.dst))
 SELECT DISTINCT g AS graph_id, least(fwd, rev) AS path FROM p WHERE len >= 1
 """)
 def path_keys_hubs(spark, d):
-    """Label paths in graphs with hubs: nations of a region, their customers and suppliers."""
-    nation = table(spark, d, "nation")
-    here = nation.select(F.col("n_regionkey").alias("graph_id"), "n_nationkey", "n_name")
+    """Label paths in graphs with hubs: a region, its nations, their customers and suppliers."""
+    nation = table(spark, d, "nation").select(
+        F.col("n_regionkey").alias("graph_id"), "n_nationkey", "n_name"
+    )
     tag = lambda p, c: F.concat(F.lit(p), F.col(c).cast("string"))
-    c = table(spark, d, "customer").join(here, F.col("c_nationkey") == F.col("n_nationkey"))
-    s = table(spark, d, "supplier").join(here, F.col("s_nationkey") == F.col("n_nationkey"))
+    c = table(spark, d, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    s = table(spark, d, "supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+    root = table(spark, d, "region").select(F.col("r_regionkey").alias("graph_id"), "r_name")
+
+    def node(df, node_id, label):
+        return df.select("graph_id", node_id.alias("node_id"), label.alias("label"))
+
+    def link(df, a, b):
+        return df.select("graph_id", a.alias("a"), b.alias("b"), F.lit("-").alias("kind"))
+
+    at = {"r": tag("r", "graph_id"), "n": tag("n", "n_nationkey"),
+          "c": tag("c", "c_custkey"), "s": tag("s", "s_suppkey")}
     nodes = (
-        here.select("graph_id", tag("n", "n_nationkey").alias("node_id"), F.col("n_name").alias("label"))
-        .unionByName(c.select("graph_id", tag("c", "c_custkey").alias("node_id"), F.col("c_mktsegment").alias("label")))
-        .unionByName(s.select("graph_id", tag("s", "s_suppkey").alias("node_id"), F.lit("SUPPLIER").alias("label")))
+        node(root, at["r"], F.col("r_name"))
+        .unionByName(node(nation, at["n"], F.col("n_name")))
+        .unionByName(node(c, at["c"], F.col("c_mktsegment")))
+        .unionByName(node(s, at["s"], F.lit("SUPPLIER")))
     )
-    kind = F.lit("-").alias("kind")
-    other = here.select("graph_id", F.col("n_nationkey").alias("m"))
-    near = here.join(other, "graph_id").filter("n_nationkey < m")
     one_way = (
-        c.select("graph_id", tag("n", "n_nationkey").alias("a"), tag("c", "c_custkey").alias("b"), kind)
-        .unionByName(s.select("graph_id", tag("n", "n_nationkey").alias("a"), tag("s", "s_suppkey").alias("b"), kind))
-        .unionByName(near.select("graph_id", tag("n", "n_nationkey").alias("a"), tag("n", "m").alias("b"), kind))
+        link(nation, at["r"], at["n"])
+        .unionByName(link(c, at["n"], at["c"]))
+        .unionByName(link(s, at["n"], at["s"]))
     )
-    return FP.path_keys(nodes, G.both_directions(one_way), 1, 3)
+    return FP.path_keys(nodes, G.both_directions(one_way), 1, 4)
 
 
-@query(f"""
-WITH l AS (SELECT doc_id, list_filter(string_split_regex(lower(text), '[^a-z0-9]+'), lambda x: x <> '') AS words FROM documents),
+_NGRAMS = f"""l AS (SELECT doc_id, list_filter(string_split_regex(lower(text), '[^a-z0-9]+'), lambda x: x <> '') AS words FROM documents),
 w AS (SELECT doc_id, unnest(words) AS a, generate_subscripts(words, 1) AS i FROM l),
 g AS (SELECT doc_id, a, lead(a, 1) OVER o AS b, lead(a, 2) OVER o AS c FROM w WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
 {bits_sql("""SELECT doc_id, a AS sig FROM g UNION SELECT doc_id, a || ' ' || b FROM g
-  UNION SELECT doc_id, a || ' ' || b || ' ' || c FROM g UNION SELECT doc_id, NULL FROM documents""", "doc_id")}
-SELECT * FROM prints
-""")
-def ngram_fingerprint(spark, d):
+  UNION SELECT doc_id, a || ' ' || b || ' ' || c FROM g UNION SELECT doc_id, NULL FROM documents""", "doc_id")}"""
+
+
+def _ngram_words(spark, d):
     words = F.filter(F.split(F.lower("text"), "[^a-z0-9]+"), lambda x: x != "")
     docs = spread(table(spark, d, "documents").select("doc_id", "text")).select(
         "doc_id", words.alias("words")
     )
-    return _bitstring(FP.ngram_fingerprint(docs, "doc_id", "words", 1, 3, dense=False), "doc_id")
+    return FP.ngram_fingerprint(docs, "doc_id", "words", 1, 3, dense=False)
+
+
+@query(f"WITH {_NGRAMS} SELECT * FROM prints")
+def ngram_fingerprint(spark, d):
+    return _bitstring(_ngram_words(spark, d), "doc_id")
+
+
+@query(f"""
+WITH {_NGRAMS} SELECT p.doc_id AS name, quality AS label, bits FROM prints p JOIN labels USING (doc_id) WHERE quality IS NOT NULL
+""")
+def fingerprint_labeled(spark, d):
+    """Word runs of the documents as a labelled matrix."""
+    labels = table(spark, d, "labels").select(F.col("doc_id").alias("name"), "quality")
+    matrix = fingerprint_matrix(_ngram_words(spark, d), labels, key="doc_id", label="quality")
+    bits = F.array_join(F.col("features").cast("array<string>"), "")
+    return matrix.select("name", "label", bits.alias("bits"))
 
 
 _LEVELS = [["p_brand"], ["p_brand", "p_size"], ["p_brand", "p_size", "p_type"]]

@@ -108,5 +108,5 @@ def fingerprint_matrix(spark, d):
     )
     words, _ = notation_paths(parts, "name", "notation", dense=False)
     matrix = M.fingerprint_matrix(words, parts.select("name", "p_type"), label="p_type")
-    return matrix.select("name", "label", F.array_join(
-        F.transform("features", lambda x: x.cast("string")), "").alias("bits"))
+    bits = F.array_join(F.col("features").cast("array<string>"), "")
+    return matrix.select("name", "label", bits.alias("bits"))

@@ -19,6 +19,8 @@ DEFAULTS = {
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
     # Where every shuffled partition is measured to be small, hash instead of sorting both sides.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
+    # Nested column expressions are built from many small calls; do not record where each began.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.session.timeZone": "UTC",
 }
 
