@@ -57,15 +57,17 @@ def attach_labels(
     labels_mode: str = "all", order: list[str] | None = None, keep_unlabelled: bool = False,
     keys: DataFrame | None = None,
 ) -> DataFrame:
-    """``(key, label, …rest of matrix)`` by equality of ``key``, which is never null.
+    """``(key, label, …rest of matrix)`` by equality of ``key``; a null key equals a null one.
 
     Repeated keys on the label side give one row each (``labels_mode="all"``) or only the
     first by ``order`` (``"first"``). Rows without a label are dropped, or kept with a null.
 
     The main join is an inner one, because adaptive execution may then split a hot key on
-    either side; a left join would pin the label side. For ``keep_unlabelled`` the keys no
-    label knows are found first, by an anti-join of keys alone, and enter the label side
-    with a null. They are taken from ``keys`` if a cheaper table of them is at hand.
+    either side; a left join would pin the label side. It splits only sides that come
+    straight from an exchange: the null-safe key brings one in above the matrix as well. For
+    ``keep_unlabelled`` the keys no label knows are found first, by an anti-join of keys
+    alone, and enter the label side with a null. They are taken from ``keys`` if a cheaper
+    table of them is at hand.
     """
     if labels_mode not in ("all", "first"):
         raise ValueError(f"labels_mode must be 'all' or 'first', not {labels_mode!r}")
@@ -76,15 +78,18 @@ def attach_labels(
         side = dedup_keep_first(labels.select(key, label, *order), [key], order)
     side = side.select(key, F.col(label).alias("label"))
     if keep_unlabelled:
-        known = side.select(key).distinct()
-        every = (matrix if keys is None else keys).select(key).distinct()
+        known = side.select(key).distinct().alias("k")
+        every = (matrix if keys is None else keys).select(key).distinct().alias("e")
         kind = side.schema["label"].dataType
-        bare = every.join(known, key, "left_anti")
+        bare = every.join(known, F.col(f"e.{key}").eqNullSafe(F.col(f"k.{key}")), "left_anti")
         side = side.unionByName(bare.select(key, F.lit(None).cast(kind).alias("label")))
     else:
         side = side.filter("label IS NOT NULL")
     rest = [c for c in matrix.columns if c != key]
-    return matrix.join(side, key, "inner").select(key, "label", *rest)
+    same = F.col(f"m.{key}").eqNullSafe(F.col(f"s.{key}"))
+    return matrix.alias("m").join(side.alias("s"), same, "inner").select(
+        F.col(f"m.{key}").alias(key), "s.label", *[f"m.{c}" for c in rest]
+    )
 
 
 def split_meta(df: DataFrame, meta: list[str] = META, into: str = "features") -> DataFrame:
@@ -97,10 +102,11 @@ def fuse(
     first: DataFrame, second: DataFrame, on: list[str] = ("name", "label"),
     features: str = "features", unique: bool = False,
 ) -> DataFrame:
-    """Inner join on ``on``; the vectors of both sides are concatenated.
+    """Inner join on ``on`` (null equals null); the vectors of both sides are concatenated.
 
-    The first column is the key and never null; in the others null equals null. A plain
-    equality on the key lets the join use the partitioning both sides usually have already.
+    One column is a key without nulls, and a plain equality lets the join use the
+    partitioning by key that both sides usually have. With more columns a key may repeat, and
+    the null-safe equality spreads its rows by all of them.
 
     Repeated rows multiply. They are counted on each side before the join and the product
     is returned as ``copies``, so that ``n`` equal rows on both sides never become ``n * n``
@@ -117,9 +123,10 @@ def fuse(
 
     a = side(first, "__a", "__na").alias("a")
     b = side(second, "__b", "__nb").alias("b")
-    same = F.col(f"a.{on[0]}") == F.col(f"b.{on[0]}")
-    for c in on[1:]:
-        same = same & F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}"))
+    ends = [(F.col(f"a.{c}"), F.col(f"b.{c}")) for c in on]
+    same = ends[0][0] == ends[0][1]
+    if len(on) > 1:
+        same = reduce(lambda x, y: x & y, [x.eqNullSafe(y) for x, y in ends])
     return a.join(b, same, "inner").select(
         *[F.col(f"a.{c}").alias(c) for c in on],
         F.concat("__a", "__b").alias(features),

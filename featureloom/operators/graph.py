@@ -170,8 +170,13 @@ def circular_signatures(
         sent = _halves(F.concat_ws(":", "kind", *[c.cast("string") for c in cur])) if typed else cur
         carried = [f"{x}{i}" for i in range(r + 1) for x in "ab"]
         # A node hears itself over its own link, so its earlier hashes need no second join.
-        heard = links.join(state, ids).select(
-            "graph_id", "dst", "own", *[F.when(own, F.col(c)).alias(c) for c in carried],
+        # Null-safe, so that the state is exchanged too: adaptive execution splits the links of
+        # a hub only if both sides come straight from an exchange.
+        same = (F.col("l.graph_id") == F.col("s.graph_id")) & F.col("l.node_id").eqNullSafe(
+            F.col("s.node_id")
+        )
+        heard = links.alias("l").join(state.alias("s"), same).select(
+            "l.graph_id", "dst", "own", *[F.when(own, F.col(c)).alias(c) for c in carried],
             *[F.when(~own, s).cast("decimal(20,0)").alias(f"__{x}") for s, x in zip(sent, "ab")],
         )
         grouped = heard.groupBy("graph_id", F.col("dst").alias("node_id")).agg(

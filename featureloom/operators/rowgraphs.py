@@ -17,7 +17,7 @@ from .graph import graph_tables
 
 # Walks a row may have before its graph is handed to the joins. A state takes some hundred
 # bytes, so this keeps a row within tens of megabytes.
-MAX_WALKS = 200_000
+MAX_WALKS = 50_000
 
 
 def _adjacency(bonds: Column, labels: Column, typed: bool) -> Column:
@@ -47,7 +47,11 @@ def _by_atom(links: Column, sources: Column, n: Column) -> Column:
 
 
 def _walks(adjacency: Column, max_len: int) -> Column:
-    """Number of walks with up to ``max_len`` steps, an upper bound on the paths."""
+    """Number of walks with ``max_len`` steps.
+
+    There are at least as many of them as paths of any length up to that, because a walk can
+    always turn back.
+    """
     ones = F.transform(adjacency, lambda _: F.lit(1.0))
 
     def longer(counts, _):

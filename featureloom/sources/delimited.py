@@ -20,35 +20,36 @@ SAMPLE_CHARS = 2048
 BAD = "_bad"
 
 
-def _head(spark: SparkSession, path: str) -> str:
-    """The first characters of the first file (by name); this is all the driver reads."""
+def _first_file(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of the start of the first file (by name)."""
     try:
         files = sorted(spark.read.text(path).inputFiles())
     except AnalysisException as e:
         raise ValueError(f"cannot read {path}: {e}") from e
     if not files:
         raise ValueError(f"no file at {path}")
-    first = spark.read.text(files[0]).select(
-        F.substring("value", 1, 65536).alias("value"), F.col("_metadata.file_block_start").alias("s")
-    )
-    # Every line has at least its line end, so this many lines cover the sample.
-    lines = [r.value for r in first.filter("s = 0").limit(SAMPLE_CHARS).collect()]
-    text = "\n".join(lines).lstrip("﻿")
-    if not text.strip():
-        raise ValueError(f"{path} is empty")
-    return text
+    return spark.read.text(files[0]).filter("_metadata.file_block_start = 0").select("value")
 
 
 def detect_delimiter(spark: SparkSession, path: str) -> str:
-    """The separator that occurs most often in the first 2048 characters."""
-    sample = _head(spark, path)[:SAMPLE_CHARS]
+    """The separator that occurs most often in the first 2048 characters.
+
+    Every line has at least its line end, so as many lines cover the sample.
+    """
+    cut = F.substring("value", 1, SAMPLE_CHARS).alias("value")
+    lines = _first_file(spark, path).select(cut).limit(SAMPLE_CHARS).collect()
+    sample = "\n".join(r.value for r in lines)[:SAMPLE_CHARS]
+    if not sample.strip():
+        raise ValueError(f"{path} is empty")
     return max(SEPARATORS, key=sample.count)
 
 
 def expected_columns(spark: SparkSession, path: str, sep: str) -> list[str]:
     """Header names; their number is the width every record must have."""
-    header = _head(spark, path).split("\n", 1)[0]
-    return next(csv.reader([header], delimiter=sep))
+    header = _first_file(spark, path).first()
+    if header is None:
+        raise ValueError(f"{path} is empty")
+    return next(csv.reader([header.value.lstrip("\ufeff")], delimiter=sep))
 
 
 def field_count(raw, sep: str) -> Column:
