@@ -41,18 +41,17 @@ def words_to_vector(words, n_bits: int) -> Column:
     """Dense ``array<int>`` of 0/1 from an array of 64-bit words.
 
     Works byte by byte through a table of bit patterns, as a lambda call per bit would cost
-    more than everything before it.
+    more than everything before it. The words are only the argument of the outer call: an
+    array read inside a lambda may be built anew for every element.
     """
-    w = _col(words)
+    table = F.lit(_BYTE_BITS)
 
-    def byte_bits(i):
-        word = F.get(w, F.shiftright(i, 3))
-        shift = i.bitwiseAND(F.lit(7)) * 8
-        byte = F.call_function("shiftright", word, shift).bitwiseAND(F.lit(255)).cast("int")
-        return F.get(F.lit(_BYTE_BITS), byte)
+    def word_bits(word):
+        byte = lambda i: F.shiftright(word, 8 * i).bitwiseAND(F.lit(255)).cast("int")
+        return F.concat(*[F.get(table, byte(i)) for i in range(8)])
 
-    bits = F.flatten(F.transform(F.sequence(F.lit(0), F.lit((n_bits + 7) // 8 - 1)), byte_bits))
-    return bits if n_bits % 8 == 0 else F.slice(bits, 1, n_bits)
+    bits = F.flatten(F.transform(_col(words), word_bits))
+    return bits if n_bits % 64 == 0 else F.slice(bits, 1, n_bits)
 
 
 def set_bits(words, n_bits: int) -> Column:
