@@ -177,7 +177,7 @@ class WordCache:
     text. A batch that finds over ``limit`` words lets the cache start again.
     """
 
-    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], limit: int = 500_000):
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], limit: int = 1_500_000):
         self.encode, self.limit = encode, limit
         self.clear()
 
