@@ -44,7 +44,7 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if spark.sparkContext.master.split("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         base = os.path.join(tempfile.gettempdir(), f"featureloom-{os.getuid()}")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
