@@ -29,3 +29,15 @@ def plan_bytes(df: DataFrame) -> int:
 def whole_text(col: str | Column = "text") -> Column:
     """The text, a null one as an empty one."""
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
+
+
+def crc_fold(id_col: str, folds: int) -> Column:
+    """crc32 of the id as text, modulo ``folds`` (null for a null id)."""
+    return F.crc32(F.col(id_col).cast("string")) % folds
+
+
+def hash_share(total: int, wanted: int, *cols: str) -> Column:
+    """Whether a row belongs to a repeatable sample of about ``wanted`` of ``total`` rows."""
+    steps = 1 << 30
+    bound = steps if total <= wanted else max(1, steps * wanted // total)
+    return F.pmod(F.xxhash64(*cols), F.lit(steps)) < bound
