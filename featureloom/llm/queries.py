@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featureloom.llm import bpe, packing, simhash
+from featureloom.llm import bpe, langid, packing, quality, simhash, suffixes
+from featureloom.llm.shared import crc_fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -30,17 +31,59 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+@query("""
+WITH t AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+w AS (SELECT doc_id, unnest(range(CAST(length(x) // 2 - 49 AS BIGINT))) AS p, x FROM t WHERE length(x) >= 100),
+s AS (SELECT doc_id, p, md5_number(substr(x, 2 * p + 1, 100)) AS s FROM w),
+r AS (SELECT s.doc_id, p FROM s JOIN (SELECT s, min(doc_id) AS low FROM s GROUP BY s HAVING min(doc_id) < max(doc_id)) m USING (s) WHERE s.doc_id > low),
+g AS (SELECT doc_id, p, p > coalesce(lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 50, -1) AS new FROM r),
+n AS (SELECT doc_id, p, sum(CAST(new AS INT)) OVER (PARTITION BY doc_id ORDER BY p) AS k FROM g),
+z AS (SELECT doc_id, k, min(p) AS a, max(p) + 50 AS b FROM n GROUP BY 1, 2),
+e AS (SELECT doc_id, k, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY k), 0) AS before FROM z),
+f AS (SELECT t.doc_id, any_value(x) AS x, sum(b - a) AS gone, count(k) AS spans, max(b) AS last,
+        string_agg(substr(x, 2 * before + 1, 2 * (a - before)), '' ORDER BY k) AS kept
+      FROM t LEFT JOIN e USING (doc_id) GROUP BY t.doc_id)
+SELECT doc_id, CAST(length(x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed, CAST(spans AS BIGINT) AS n_spans,
+  sha256(unhex(coalesce(kept, '') || substr(x, 2 * coalesce(last, 0) + 1))) AS kept_sha256 FROM f
+""")
+def op2_suffixes(spark, sf_dir):
+    return suffixes.repeat_digests(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op3_simhash(spark, sf_dir):
     found = simhash.simhash_components(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.fingerprint_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+@query()
+def op4_langid(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    fold = crc_fold("doc_id", 5)
+    model = langid.fit_languages(docs.where(fold != 0))
+    out = langid.predict_languages(docs.select("doc_id", "text"), model)
+    return out.select("doc_id", F.coalesce(fold == 0, F.lit(True)).alias("held_out"), "lang_pred", "score", "lang_cosine", "lang_rejected")
+
+
 @query()
 def op7_bpe(spark, sf_dir):
     return bpe.token_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def quality_labels(spark, sf_dir):
+    """Labelled rows of the documents that may be learned from."""
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality").dropDuplicates(["doc_id"])
+    docs = table(spark, sf_dir, "documents").where(crc_fold("doc_id", 3) != 1)
+    return docs.select("doc_id", "text").join(labels, "doc_id")
+
+
+@query()
+def op8_quality(spark, sf_dir):
+    model = quality.fit_quality(quality_labels(spark, sf_dir))
+    out = quality.score_quality(table(spark, sf_dir, "documents").select("doc_id", "text"), model)
+    return out.select("doc_id", F.coalesce(crc_fold("doc_id", 3) == 1, F.lit(True)).alias("held_out"), "score", "predicted")
+
+
 @query()
 def op10_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))

@@ -21,11 +21,6 @@ def partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def plan_bytes(df: DataFrame) -> int:
-    """Catalyst's estimate of the size of ``df`` (for a scan: the bytes of its files)."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-
-
 def whole_text(col: str | Column = "text") -> Column:
     """The text, a null one as an empty one."""
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
