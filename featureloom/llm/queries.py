@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featureloom.llm import bpe, langid, packing, quality, simhash, suffixes
+from featureloom.llm import ann, bpe, htmltext, langid, packing, quality, simhash, suffixes, syncmers, warc
 from featureloom.llm.shared import crc_fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +31,62 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def warc_records(pages):
+    """Web archive records of the pages: each as a full response, and a later 304 for the same page.
+
+    The revisit asks for another spelling of the URL. Its ETag agrees, weakly, except where the page number
+    divides by 5 (the page had changed) or 7 (no ETag; Last-Modified decides).
+    """
+    page, etag = F.col("page_id"), F.concat(F.lit('"'), F.md5("html"), F.lit('"'))
+    at = lambda seconds: F.timestamp_seconds(F.lit(1_700_000_000) + seconds)
+    modified = F.concat(F.lit("day "), (page % 365).cast("string"))
+    header = lambda *pairs: F.map_filter(F.create_map(*[x for n, v in pairs for x in (F.lit(n), v)]), lambda k, v: v.isNotNull())
+    full = pages.select(
+        (page * 2).alias("record_id"), "url", at(page * 7).alias("date"), F.lit(200).alias("status"),
+        header(("Content-Type", F.lit("text/html")), ("Content-Length", F.octet_length("html").cast("string")), ("ETag", etag),
+               ("Last-Modified", modified), ("Cache-Control", F.lit("max-age=60"))).alias("headers"),
+        F.sha2("html", 256).alias("digest"),
+    )
+    again = pages.select(
+        (page * 2 + 1).alias("record_id"), F.concat(F.regexp_replace("url", "^https?", "HTTP"), F.lit("#again")).alias("url"),
+        at(page * 7 + 40_000 * (page % 3 + 1)).alias("date"), F.lit(304).alias("status"),
+        header(("etag", F.when(page % 5 == 0, '"new"').when(page % 7 != 0, F.concat(F.lit("W/"), etag))), ("last-modified", F.when(page % 11 != 0, modified)),
+               ("CACHE-CONTROL", F.when(page % 2 == 0, "no-cache")), ("Connection", F.lit("close")), ("content-length", F.lit("0"))).alias("headers"),
+        F.lit(None).cast("string").alias("digest"),
+    )
+    return full.union(again)
+
+
+@query(r"""
+WITH c AS (SELECT page_id AS p, html, regexp_extract(regexp_replace(trim(url), '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://(.*)$', 1) AS rest FROM pages),
+q AS (SELECT p, html,
+    regexp_replace(regexp_replace(regexp_replace(lower(regexp_extract(rest, '^([^/?]*)', 1)), '^.*@', ''), ':(80|443)?$', ''), '^www[0-9]*\.', '')
+    || regexp_replace(regexp_extract(rest, '^[^/?]*([^?]*)', 1), '/+$', '') AS base,
+    list_sort(list_filter(string_split(regexp_extract(rest, '\?(.*)$', 1), '&'),
+      x -> x <> '' AND NOT regexp_matches(x, '^(utm_[^=]*|fbclid|gclid|msclkid|ref)(=|$)'))) AS params FROM c),
+u AS (SELECT p, html, base || CASE WHEN len(params) > 0 THEN '?' || array_to_string(params, '&') ELSE '' END AS u FROM q),
+full_ AS (SELECT u, 1700000000 + p * 7 AS t, p * 2 AS id, '"' || md5(html) || '"' AS etag, 'day ' || (p % 365) AS modified,
+    strlen(html) AS size, sha256(html) AS digest FROM u),
+again AS (SELECT u, 1700000000 + p * 7 + 40000 * (p % 3 + 1) AS t, p * 2 + 1 AS id, p,
+    CASE WHEN p % 5 = 0 THEN '"new"' WHEN p % 7 <> 0 THEN 'W/"' || md5(html) || '"' END AS etag,
+    CASE WHEN p % 11 <> 0 THEN 'day ' || (p % 365) END AS modified, CASE WHEN p % 2 = 0 THEN 'no-cache' END AS cache FROM u),
+m AS (SELECT a.*, f.id AS fid, f.t AS ft, f.etag AS fetag, f.modified AS fmodified, f.size, f.digest,
+    row_number() OVER (PARTITION BY a.id ORDER BY f.t DESC NULLS LAST, f.id DESC) AS k
+  FROM again a LEFT JOIN full_ f ON a.u = f.u AND (f.t < a.t OR (f.t = a.t AND f.id < a.id))),
+o AS (SELECT *, CASE WHEN fid IS NULL THEN 'no_response' WHEN coalesce(regexp_replace(etag, '^W/', '') = fetag, modified = fmodified) THEN 'resolved'
+    WHEN coalesce(regexp_replace(etag, '^W/', '') = fetag, modified = fmodified) IS NULL THEN 'unvalidated' ELSE 'changed' END AS outcome FROM m WHERE k = 1)
+SELECT id AS record_id, u AS canonical_url, CAST(t AS BIGINT) AS date, outcome, fid AS refers_to, CAST(ft AS BIGINT) AS refers_to_date,
+  CASE WHEN outcome IN ('resolved', 'unvalidated') THEN 200 END AS status,
+  CASE WHEN outcome IN ('resolved', 'unvalidated') THEN 'cache-control: ' || coalesce(cache, 'max-age=60') || chr(10) || 'content-length: ' || size || chr(10)
+    || 'content-type: text/html' || chr(10) || 'etag: ' || coalesce(etag, fetag) || chr(10) || 'last-modified: ' || coalesce(modified, fmodified) END AS headers,
+  CASE WHEN outcome IN ('resolved', 'unvalidated') THEN digest END AS digest FROM o
+""")
+def op1_warc(spark, sf_dir):
+    found = warc.resolve_revisits(warc_records(table(spark, sf_dir, "pages").select("page_id", "url", "html")))
+    lines = F.array_join(F.array_sort(F.transform(F.map_entries("headers"), lambda e: F.concat_ws(": ", e["key"], e["value"]))), "\n")
+    return found.withColumns({"headers": lines, "date": F.unix_seconds("date"), "refers_to_date": F.unix_seconds("refers_to_date")})
+
+
 @query("""
 WITH t AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
 w AS (SELECT doc_id, unnest(range(CAST(length(x) // 2 - 49 AS BIGINT))) AS p, x FROM t WHERE length(x) >= 100),
@@ -65,6 +121,16 @@ def op4_langid(spark, sf_dir):
     return out.select("doc_id", F.coalesce(fold == 0, F.lit(True)).alias("held_out"), "lang_pred", "score", "lang_cosine", "lang_rejected")
 
 
+@query()
+def op5_ann(spark, sf_dir):
+    return ann.nearest(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), lambda i: i % 20 == 0)
+
+
+@query()
+def op6_syncmers(spark, sf_dir):
+    return syncmers.edited_fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query()
 def op7_bpe(spark, sf_dir):
     return bpe.token_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
@@ -84,6 +150,11 @@ def op8_quality(spark, sf_dir):
     return out.select("doc_id", F.coalesce(crc_fold("doc_id", 3) == 1, F.lit(True)).alias("held_out"), "score", "predicted")
 
 
+@query()
+def op9_htmltext(spark, sf_dir):
+    return htmltext.extract_text(table(spark, sf_dir, "pages"))
+
+
 @query()
 def op10_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from featureloom.llm.components import connected_components
-from featureloom.llm.shared import partitions, staged, whole_text
+from featureloom.llm.shared import LAST, partitions, staged, whole_text
 
 BLOCK = 4096
 NEAR = 8  # longest list whose pairs are compared without a loop
@@ -183,3 +183,16 @@ def simhash_components(
 
 def fingerprint_hex(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
+
+
+def one_of_each(docs: DataFrame, distance: int = 4, words: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each component of :func:`simhash_components`, all columns kept.
+
+    The row with the smallest id (a null id comes last), of those the one with the least text hash;
+    of rows that agree in both one is left.
+    """
+    found = simhash_components(docs, distance, words, id_col, text_col)
+    order = F.struct(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("o"), F.col("text_hash").alias("h"))
+    keep = found.groupBy("root").agg(F.min(order).alias("k")).select(F.col("k.o").alias("__o"), F.col("k.h").alias("__h"))
+    keyed = docs.withColumn("__o", F.coalesce(F.col(id_col).cast("long"), F.lit(LAST))).withColumn("__h", F.xxhash64(whole_text(text_col)))
+    return keyed.join(keep, ["__o", "__h"], "left_semi").dropDuplicates(["__o", "__h"]).drop("__o", "__h")
