@@ -319,6 +319,8 @@ def rebuilt(content: list[str], rest: list[str], rng: np.random.Generator) -> tu
     escape = lambda t: entities.escape(t)
 
     def add(place: str, texts: list[str], tag: str, good: bool, link: float = 0.0) -> None:
+        if few and not good:
+            return
         layout = LAYOUTS[place][rng.integers(len(LAYOUTS[place]))]
         out.append(f"<{layout}>")
         listed = layout.split()[0] in ("ul", "ol")
@@ -329,6 +331,7 @@ def rebuilt(content: list[str], rest: list[str], rng: np.random.Generator) -> tu
             inside.append(good)
         out.append(f"</{layout.split()[0]}>")
 
+    few = rng.random() < 0.1  # nothing but the content
     words = " ".join(rest or content).split() or ["text"]
     short = lambda n, size: [" ".join(words[i : i + size]) for i in rng.integers(0, len(words), n)]
     longer = lambda n: short(n, int(rng.integers(6, 40)))
@@ -344,15 +347,18 @@ def rebuilt(content: list[str], rest: list[str], rng: np.random.Generator) -> tu
     out += ['<div class="wrapper">'] * wrapped
     if rng.random() < 0.3:
         add("side", longer(int(rng.integers(1, 4))), "p", False, 0.5)
+    bare = rng.random() < 0.15
     place = LAYOUTS["content"][rng.integers(len(LAYOUTS["content"]))]
-    out.append(f"<{place}>")
+    out += [f"<{place}>"] * (not bare)
+    if rng.random() < 0.15:  # a note of few words
+        content = [" ".join(t.split()[: rng.integers(1, 8)]) for t in content[: rng.integers(1, 4)]]
     for k, t in enumerate(content):
-        each = "h1" if not k and rng.random() < 0.6 else "h2" if len(t) < 60 and rng.random() < 0.3 else "p" if rng.random() < 0.9 else ("li", "blockquote", "div")[rng.integers(3)]
+        each = "h1" if not k and rng.random() < 0.6 else "h2" if len(t) < 60 and rng.random() < 0.3 else "p" if rng.random() < 0.88 else ("li", "blockquote", "div", "pre", "h3")[rng.integers(5)]
         out.append(f"<ul><li>{escape(t)}</li></ul>" if each == "li" else f"<{each}>{escape(t)}</{each}>")
         inside.append(True)
         if rng.random() < 0.06:
             add("advert", longer(1), "p", False)
-    out.append(f"</{place.split()[0]}>")
+    out += [f"</{place.split()[0]}>"] * (not bare)
     if rng.random() < 0.4:
         add("side", longer(int(rng.integers(1, 4))), "p" if rng.random() < 0.5 else "li", False, 0.6)
     if rng.random() < 0.45:

@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,7 +31,7 @@ from featureloom.llm.text import mix, prefix_hashes, span_hashes
 
 SEED = 20
 PART = 1 << 20  # bytes hashed at once
-FLUSH = 24 << 20  # bytes of text that a task looks at before it sends
+FLUSH, ROWS = 24 << 20, 1 << 16  # bytes and texts that a task looks at before it sends
 KEY = np.uint64((1 << 48) - 1)  # of an anchor's hash travels; more bits only spare false candidates
 
 
@@ -104,13 +105,13 @@ def _flushes(parts: Iterator[pd.DataFrame], columns: list[str]) -> Iterator[dict
         for values in zip(*[part[c] for c in columns]):
             values = list(values)
             values[0] = values[0].encode("utf-8", "surrogatepass")
-            if size and size + len(values[0]) > FLUSH:
+            if held[columns[0]] and (size + len(values[0]) > FLUSH or len(held[columns[0]]) == ROWS):
                 yield held
                 held, size = {c: [] for c in columns}, 0
             size += len(values[0])
             for c, v in zip(columns, values):
                 held[c].append(v)
-    if size or held[columns[0]]:
+    if held[columns[0]]:
         yield held
 
 
@@ -137,18 +138,15 @@ ASKED = "b int, o long, h long, keys binary, docs binary, own binary, tell binar
 def _ask(parts: Iterator[pd.DataFrame], width: int, buckets: int) -> Iterator[pd.DataFrame]:
     """The anchors of each task for their buckets; anchors seen in several documents answer at once."""
     for held in _flushes(parts, ["t", "o", "h"]):
-        found = [(d, k & KEY) for d, *_, k in text_chunks(held["t"], width)]
+        found = [k << np.uint64(16) | d.astype(np.uint64) for d, *_, k in text_chunks(held["t"], width)]
         if not found:
             continue
-        doc, key = (np.concatenate(x) for x in zip(*found))
-        order = np.lexsort((doc, key))
-        doc, key = doc[order], key[order]
-        new = np.ones(len(key), bool)
-        new[1:] = (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])
-        doc, key = doc[new], key[new]
-        head = np.ones(len(key), bool)
-        head[1:] = key[1:] != key[:-1]
-        size = np.bincount(np.cumsum(head) - 1)[np.cumsum(head) - 1]
+        both = np.sort(np.concatenate(found))  # 48 bits of the key, 16 of the text number
+        both = both[np.concatenate([[True], both[1:] != both[:-1]])]
+        key, doc = both >> np.uint64(16), (both & np.uint64(ROWS - 1)).astype(np.int64)
+        head = np.concatenate([[True], key[1:] != key[:-1]])
+        group = np.cumsum(head) - 1
+        size = np.bincount(group)[group]
         o, h = np.array(held["o"], np.int64), np.array(held["h"], np.int64)
         rows = []
         known = np.flatnonzero(size > 1)
@@ -159,14 +157,14 @@ def _ask(parts: Iterator[pd.DataFrame], width: int, buckets: int) -> Iterator[pd
                 rows.append((int(h[d]) % buckets, o[d], h[d], _pack(key[known[lo:hi]]), None, None, None))
         sent = np.flatnonzero(head)
         bucket = (key[sent] % np.uint64(buckets)).astype(np.int64)
-        sent = sent[np.lexsort((doc[sent], bucket))]
-        bucket = (key[sent] % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(bucket * ROWS + doc[sent])
+        sent, bucket = sent[order], bucket[order]
         for lo, hi in zip(*_runs(bucket)):
             at = sent[lo:hi]
             table, own = np.unique(doc[at], return_inverse=True)
             rows.append((
                 int(bucket[lo]), 0, 0, _pack(key[at]), np.stack([o[table], h[table]]).astype("<i8").tobytes(),
-                np.diff(own, prepend=0).astype("<u4").tobytes(), np.packbits(size[at] == 1).tobytes(),
+                np.diff(own, prepend=0).astype("<u2").tobytes(), np.packbits(size[at] == 1).tobytes(),
             ))
         yield _frame(rows, ASKED)
 
@@ -202,7 +200,7 @@ def _answer(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for k, d, w, t in rows.loc[~ready, ["keys", "docs", "own", "tell"]].itertuples(index=False):
             keys.append(_unpack(k))
             docs.append(np.frombuffer(d, "<i8").reshape(2, -1))
-            own.append(np.cumsum(np.frombuffer(w, "<u4").astype(np.int64)) + base)
+            own.append(np.cumsum(np.frombuffer(w, "<u2").astype(np.int64)) + base)
             tell.append(np.unpackbits(np.frombuffer(t, np.uint8), count=len(keys[-1])).astype(bool))
             base += docs[-1].shape[1]
         if keys:
@@ -227,6 +225,7 @@ CHUNKS = "b int, o long, h long, spans binary, size binary, place binary, docs b
 
 def _send_chunks(parts: Iterator[pd.DataFrame], width: int, buckets: int) -> Iterator[pd.DataFrame]:
     """Chunks at shared anchors for their buckets; of equal ones in a task only the smallest document's."""
+    pack = zstandard.ZstdCompressor(level=1)
     for held in _flushes(parts, ["t", "o", "h", "shared"]):
         shared = [np.sort(np.concatenate([_unpack(x) for x in s])) for s in held["shared"]]
         # the first by (id, hash) comes first, so that the first holder of a chunk has the smallest id
@@ -252,7 +251,7 @@ def _send_chunks(parts: Iterator[pd.DataFrame], width: int, buckets: int) -> Ite
                     gone.setdefault(d, []).append((s, e + width))
                 else:
                     send.append((b, d, s, p, data))
-        rows = [(int(h[d]) % buckets, o[d], h[d], np.array(x, "<i8").tobytes(), *[None] * 6) for d, x in gone.items()]
+        rows = [(int(h[d]) % buckets, o[d], h[d], _join_spans(np.array(x, np.int64)).astype("<i8").tobytes(), *[None] * 6) for d, x in gone.items()]
         send.sort(key=lambda x: x[0])
         if send:
             bucket = np.array([x[0] for x in send])
@@ -262,7 +261,7 @@ def _send_chunks(parts: Iterator[pd.DataFrame], width: int, buckets: int) -> Ite
                 column = lambda i, kind, some=some: np.array([x[i] for x in some], kind).tobytes()
                 rows.append((
                     some[0][0], 0, 0, None, np.array([len(x[4]) for x in some], "<u2").tobytes(), column(3, "<u2"),
-                    np.stack([o[table], h[table]]).astype("<i8").tobytes(), own.astype("<u4").tobytes(), column(2, "<u8"), b"".join(x[4] for x in some),
+                    np.stack([o[table], h[table]]).astype("<i8").tobytes(), own.astype("<u2").tobytes(), column(2, "<u4"), pack.compress(b"".join(x[4] for x in some)),
                 ))
         yield _frame(rows, CHUNKS)
 
@@ -329,8 +328,8 @@ def merge_sort(order: SuffixOrder, at: np.ndarray, group: np.ndarray) -> np.ndar
     return at
 
 
-def repeated_windows(texts: list[bytes], anchor: np.ndarray, place: np.ndarray, least: np.ndarray, width: int) -> list[np.ndarray]:
-    """For each distinct chunk of one bucket the windows that a chunk with a smaller ``least`` has too."""
+def repeated_windows(texts: list[bytes], anchor: np.ndarray, place: np.ndarray, least: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(chunk, first, last)``: runs of windows of distinct chunks that a chunk with a smaller ``least`` has too."""
     size = np.array([len(t) for t in texts], np.int64)
     offset = np.cumsum(size) - size
     data = np.frombuffer(b"".join(texts), np.uint8)
@@ -369,7 +368,12 @@ def repeated_windows(texts: list[bytes], anchor: np.ndarray, place: np.ndarray,
         low = np.full(number[-1] + 1, LAST)
         np.minimum.at(low, number, least[chunk[element]])
         out[element] = least[chunk[element]] > low[number]
-    return np.split(out, np.cumsum(windows)[:-1]) if len(texts) else []
+    at = np.flatnonzero(out)
+    if not len(at):
+        return at, at, at
+    new = np.concatenate([[True], (np.diff(at) > 1) | (np.diff(chunk[at]) > 0)])
+    last = np.append(np.flatnonzero(new)[1:] - 1, len(at) - 1)
+    return chunk[at[new]], j[at[new]], j[at[last]]
 
 
 def _join_spans(spans: np.ndarray) -> np.ndarray:
@@ -384,6 +388,7 @@ def _join_spans(spans: np.ndarray) -> np.ndarray:
 
 def _settle(parts: Iterator[pd.DataFrame], width: int) -> Iterator[pd.DataFrame]:
     """The spans that go, by document, from the chunks of whole buckets."""
+    unpack = zstandard.ZstdDecompressor()
     for rows in _whole_buckets(parts):
         ready = rows["bytes"].isna()
         out = [(o, h, x) for o, h, x in zip(rows["o"][ready], rows["h"][ready], rows["spans"][ready])]
@@ -391,14 +396,15 @@ def _settle(parts: Iterator[pd.DataFrame], width: int) -> Iterator[pd.DataFrame]
         place, number, doc, start, tables, base = [], [], [], [], [], 0
         for size, p, d, own, s, data in rows.loc[~ready, ["size", "place", "docs", "own", "start", "bytes"]].itertuples(index=False):
             end = np.cumsum(np.frombuffer(size, "<u2"), dtype=np.int64)
+            data = unpack.decompress(data)
             for a, z, q in zip(np.concatenate([[0], end[:-1]]).tolist(), end.tolist(), np.frombuffer(p, "<u2").tolist()):
                 n = texts.setdefault(data[a:z], len(texts))
                 if n == len(place):
                     place.append(q)
                 number.append(n)
             tables.append(np.frombuffer(d, "<i8").reshape(2, -1))
-            doc.append(np.frombuffer(own, "<u4").astype(np.int64) + base)
-            start.append(np.frombuffer(s, "<u8").astype(np.int64))
+            doc.append(np.frombuffer(own, "<u2").astype(np.int64) + base)
+            start.append(np.frombuffer(s, "<u4").astype(np.int64))
             base += tables[-1].shape[1]
         if texts:
             table, doc, start, number, place = np.concatenate(tables, axis=1), np.concatenate(doc), np.concatenate(start), np.array(number), np.array(place)
@@ -407,29 +413,38 @@ def _settle(parts: Iterator[pd.DataFrame], width: int) -> Iterator[pd.DataFrame]
             np.minimum.at(least, number, table[0, doc])
             seeds: dict[bytes, int] = {}
             anchor = np.array([seeds.setdefault(t[q : q + SEED], len(seeds)) for t, q in zip(pure, place.tolist())])
-            gone: list[np.ndarray | None] = [None] * len(pure)
+            size = np.array([len(t) for t in pure])
             group = np.argsort(anchor, kind="stable")
-            lo = 0
             edges = np.append(np.flatnonzero(np.diff(anchor[group])) + 1, len(group))
-            weight = np.cumsum([len(pure[i]) for i in group])
+            weight = np.concatenate([[0], np.cumsum(size[group])])
+            runs: list[tuple[np.ndarray, ...]] = []
+            lo = 0
             while lo < len(group):  # whole anchors, about PART bytes at a time
-                done = weight[lo - 1] if lo else 0
-                fit = edges[(edges > lo) & (weight[edges - 1] - done <= PART)]
+                fit = edges[(edges > lo) & (weight[edges] - weight[lo] <= PART)]
                 hi = int(fit[-1]) if len(fit) else int(edges[edges > lo][0])
                 some = group[lo:hi]
-                for i, w in zip(some.tolist(), repeated_windows([pure[i] for i in some], anchor[some], place[some], least[some], width)):
-                    gone[i] = np.flatnonzero(w)
+                c, first, last = repeated_windows([pure[i] for i in some], anchor[some], place[some], least[some], width)
+                runs.append((some[c], first, last + width))
                 lo = hi
-            found: dict[int, list[np.ndarray]] = {}
+            chunk, first, end = (np.concatenate(x) for x in zip(*runs))
+            order = np.argsort(chunk, kind="stable")
+            first, end = first[order], end[order]
+            many = np.bincount(chunk, minlength=len(pure))
+            at = np.cumsum(many) - many
             late = table[0, doc] > least[number]
-            size = np.array([len(t) for t in pure])
-            for k in range(len(number)):
-                d, n = int(doc[k]), int(number[k])
-                if late[k]:
-                    found.setdefault(d, []).append(np.array([[start[k], start[k] + size[n]]]))
-                elif len(gone[n]):
-                    found.setdefault(d, []).append(np.stack([gone[n], gone[n] + width], axis=1) + start[k])
-            out += [(int(table[0, d]), int(table[1, d]), _join_spans(np.concatenate(x)).astype("<i8").tobytes()) for d, x in found.items()]
+            here = np.flatnonzero(~late & (many[number] > 0))
+            each = many[number[here]]
+            which = np.repeat(at[number[here]] - np.cumsum(each) + each, each) + np.arange(each.sum())
+            here = np.repeat(here, each)
+            late = np.flatnonzero(late)
+            owner = np.concatenate([doc[late], doc[here]])
+            spans = np.stack([np.concatenate([start[late], start[here] + first[which]]), np.concatenate([start[late] + size[number[late]], start[here] + end[which]])], axis=1)
+            order = np.argsort(owner, kind="stable")
+            owner, spans = owner[order], spans[order]
+            if len(owner):
+                for lo, hi in zip(*_runs(owner)):
+                    o, h = table[:, owner[lo]]
+                    out.append((int(o), int(h), _join_spans(spans[lo:hi]).astype("<i8").tobytes()))
         yield _frame(out, TOLD)
 
 
@@ -454,14 +469,13 @@ def with_repeats(docs: DataFrame, width: int = 50, id_col: str = "doc_id", text_
         F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LAST)).alias("o"),
     ).withColumn("h", F.xxhash64("t"))
     parts = partitions(docs)
-    buckets = 4 * parts  # what a task holds at once is a quarter of a partition
     texts = base.repartition(parts, "o", "h")
-    asked = base.select("t", "o", "h").mapInPandas(lambda p: _ask(p, width, buckets), ASKED)
+    asked = base.select("t", "o", "h").mapInPandas(lambda rows: _ask(rows, width, parts), ASKED)
     told = asked.repartition(parts, "b").sortWithinPartitions("b").mapInPandas(_answer, TOLD)
     shared = told.groupBy("o", "h").agg(F.collect_list("x").alias("shared"))
     met = texts.join(shared.hint("shuffle_hash"), ["o", "h"])
-    sent = met.mapInPandas(lambda p: _send_chunks(p, width, buckets), CHUNKS)
-    spans = sent.repartition(parts, "b").sortWithinPartitions("b").mapInPandas(lambda p: _settle(p, width), TOLD)
+    sent = met.mapInPandas(lambda rows: _send_chunks(rows, width, parts), CHUNKS)
+    spans = sent.repartition(parts, "b").sortWithinPartitions("b").mapInPandas(lambda rows: _settle(rows, width), TOLD)
     spans = spans.groupBy("o", "h").agg(F.collect_list("x").alias("gone"))
     return texts.join(spans.hint("shuffle_hash"), ["o", "h"], "left"), names
 
