@@ -63,7 +63,7 @@ q AS (SELECT p, html,
     regexp_replace(regexp_replace(regexp_replace(lower(regexp_extract(rest, '^([^/?]*)', 1)), '^.*@', ''), ':(80|443)?$', ''), '^www[0-9]*\.', '')
     || regexp_replace(regexp_extract(rest, '^[^/?]*([^?]*)', 1), '/+$', '') AS base,
     list_sort(list_filter(string_split(regexp_extract(rest, '\?(.*)$', 1), '&'),
-      x -> x <> '' AND NOT regexp_matches(x, '^(utm_[^=]*|fbclid|gclid|msclkid|ref)(=|$)'))) AS params FROM c),
+      lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_[^=]*|fbclid|gclid|msclkid|ref)(=|$)'))) AS params FROM c),
 u AS (SELECT p, html, base || CASE WHEN len(params) > 0 THEN '?' || array_to_string(params, '&') ELSE '' END AS u FROM q),
 full_ AS (SELECT u, 1700000000 + p * 7 AS t, p * 2 AS id, '"' || md5(html) || '"' AS etag, 'day ' || (p % 365) AS modified,
     strlen(html) AS size, sha256(html) AS digest FROM u),

@@ -98,6 +98,8 @@ def neighbours(ids: DataFrame) -> DataFrame:
 def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Fingerprints of every text, of its edited text, and the likeness to that and to the next document.
 
+    ``text_hash`` (xxhash64 of the text) tells the rows of a repeated id apart.
+
     The edited text has its last floor(n / 2) code points replaced by the first as many, or all, of the
     next document by id (after the last: the first). Null texts are empty; a null id comes first
     and stays null (the least long is reserved for it). The rows of a repeated id all have the next
@@ -116,9 +118,9 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     half = F.floor(F.col("n") / 2).cast("int")
     rows = texts.join(given, "o")
     edited = F.concat(F.substring("t", F.lit(1), F.col("n") - half), F.substring("head", F.lit(1), half))
-    rows = with_sketch(rows.select("o", "n", "f", "next_f", edited.alias("e")), "e", "g")
+    rows = with_sketch(rows.select("o", "th", "n", "f", "next_f", edited.alias("e")), "e", "g")
     return rows.select(
         F.when(F.col("o") != FIRST, F.col("o")).alias(id_col), F.col("n").cast("long").alias("n_chars"), F.sha2("e", 256).alias("edited_sha256"),
         sketch_text("f").alias("fingerprint"), sketch_text("g").alias("edited_fingerprint"),
-        likeness("f", "g").alias("near_edited"), likeness("f", "next_f").alias("near_next"),
+        likeness("f", "g").alias("near_edited"), likeness("f", "next_f").alias("near_next"), F.col("th").alias("text_hash"),
     )
