@@ -188,10 +188,33 @@ def _whole_buckets(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.concat(held, ignore_index=True)
 
 
-TOLD = "o long, h long, x binary"
+TOLD = "b int, docs binary, size binary, x binary"
+MERGED = "o long, h long, x binary"
 
 
-def _answer(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _deal(rows: list[tuple[int, int, bytes]], buckets: int) -> pd.DataFrame:
+    """What is found for documents, one row for each bucket of documents."""
+    dealt: dict[int, list[tuple[int, int, bytes]]] = {}
+    for row in rows:
+        dealt.setdefault((row[0] ^ row[1]) % buckets, []).append(row)
+    return _frame([
+        (b, np.array([(o, h) for o, h, _ in some], "<i8").tobytes(), np.array([len(x) for *_, x in some], "<u4").tobytes(), b"".join(x for *_, x in some))
+        for b, some in dealt.items()
+    ], TOLD)
+
+
+def _merge_documents(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """One row for each document of a bucket, with all that was found for it."""
+    for rows in _whole_buckets(parts):
+        found: dict[tuple[int, int], list[bytes]] = {}
+        for docs, size, data in zip(rows["docs"], rows["size"], rows["x"]):
+            end = np.cumsum(np.frombuffer(size, "<u4"), dtype=np.int64)
+            for (o, h), lo, hi in zip(np.frombuffer(docs, "<i8").reshape(-1, 2).tolist(), [0, *end[:-1].tolist()], end.tolist()):
+                found.setdefault((o, h), []).append(data[lo:hi])
+        yield _frame([(o, h, b"".join(x)) for (o, h), x in found.items()], MERGED)
+
+
+def _answer(parts: Iterator[pd.DataFrame], buckets: int) -> Iterator[pd.DataFrame]:
     """For each document the anchors that another document has too."""
     for rows in _whole_buckets(parts):
         ready = rows["own"].isna()
@@ -217,7 +240,7 @@ def _answer(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 for lo, hi in zip(*_runs(doc[at])):
                     o, h = table[:, doc[at[lo]]]
                     out.append((int(o), int(h), _pack(key[at[lo:hi]])))
-        yield _frame(out, TOLD)
+        yield _deal(out, buckets)
 
 
 CHUNKS = "b int, o long, h long, spans binary, size binary, place binary, docs binary, own binary, start binary, bytes binary"
@@ -227,7 +250,7 @@ def _send_chunks(parts: Iterator[pd.DataFrame], width: int, buckets: int) -> Ite
     """Chunks at shared anchors for their buckets; of equal ones in a task only the smallest document's."""
     pack = zstandard.ZstdCompressor(level=1)
     for held in _flushes(parts, ["t", "o", "h", "shared"]):
-        shared = [np.sort(np.concatenate([_unpack(x) for x in s])) for s in held["shared"]]
+        shared = [np.sort(_unpack(x)) for x in held["shared"]]
         # the first by (id, hash) comes first, so that the first holder of a chunk has the smallest id
         rank = sorted(range(len(shared)), key=lambda i: (held["o"][i], held["h"][i]))
         texts = [held["t"][i] for i in rank]
@@ -386,7 +409,7 @@ def _join_spans(spans: np.ndarray) -> np.ndarray:
     return np.stack([spans[new, 0], reach[last]], axis=1)
 
 
-def _settle(parts: Iterator[pd.DataFrame], width: int) -> Iterator[pd.DataFrame]:
+def _settle(parts: Iterator[pd.DataFrame], width: int, buckets: int) -> Iterator[pd.DataFrame]:
     """The spans that go, by document, from the chunks of whole buckets."""
     unpack = zstandard.ZstdDecompressor()
     for rows in _whole_buckets(parts):
@@ -445,17 +468,16 @@ def _settle(parts: Iterator[pd.DataFrame], width: int) -> Iterator[pd.DataFrame]
                 for lo, hi in zip(*_runs(owner)):
                     o, h = table[:, owner[lo]]
                     out.append((int(o), int(h), _join_spans(spans[lo:hi]).astype("<i8").tobytes()))
-        yield _frame(out, TOLD)
+        yield _deal(out, buckets)
 
 
-def _spans(blobs) -> np.ndarray:
-    if blobs is None or not len(blobs):
-        return np.zeros((0, 2), np.int64)
-    return _join_spans(np.concatenate([np.frombuffer(x, "<i8").reshape(-1, 2) for x in blobs]))
+def _spans(data: bytes | None) -> np.ndarray:
+    spans = np.frombuffer(data or b"", "<i8").reshape(-1, 2)
+    return _join_spans(spans) if len(spans) else spans
 
 
 def with_repeats(docs: DataFrame, width: int = 50, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, list[str]]:
-    """The rows of ``docs`` with ``t`` (text), ``o`` (id), ``h`` and ``gone`` (lists of spans), other columns renamed.
+    """The rows of ``docs`` with ``t`` (text), ``o`` (id), ``h`` and ``gone`` (pairs of 64-bit places), other columns renamed.
 
     Returns the frame and its names of the original columns but the text. Texts are shuffled once, by
     (id, hash), and both joins read that one exchange.
@@ -470,13 +492,14 @@ def with_repeats(docs: DataFrame, width: int = 50, id_col: str = "doc_id", text_
     ).withColumn("h", F.xxhash64("t"))
     parts = partitions(docs)
     texts = base.repartition(parts, "o", "h")
+    gather = lambda rows: rows.repartition(parts, "b").sortWithinPartitions("b")
     asked = base.select("t", "o", "h").mapInPandas(lambda rows: _ask(rows, width, parts), ASKED)
-    told = asked.repartition(parts, "b").sortWithinPartitions("b").mapInPandas(_answer, TOLD)
-    shared = told.groupBy("o", "h").agg(F.collect_list("x").alias("shared"))
+    told = gather(asked).mapInPandas(lambda rows: _answer(rows, parts), TOLD)
+    shared = gather(told).mapInPandas(_merge_documents, MERGED).withColumnRenamed("x", "shared")
     met = texts.join(shared.hint("shuffle_hash"), ["o", "h"])
     sent = met.mapInPandas(lambda rows: _send_chunks(rows, width, parts), CHUNKS)
-    spans = sent.repartition(parts, "b").sortWithinPartitions("b").mapInPandas(lambda rows: _settle(rows, width), TOLD)
-    spans = spans.groupBy("o", "h").agg(F.collect_list("x").alias("gone"))
+    spans = gather(sent).mapInPandas(lambda rows: _settle(rows, width, parts), TOLD)
+    spans = gather(spans).mapInPandas(_merge_documents, MERGED).withColumnRenamed("x", "gone")
     return texts.join(spans.hint("shuffle_hash"), ["o", "h"], "left"), names
 
 
@@ -492,8 +515,8 @@ def repeat_digests(docs: DataFrame, width: int = 50, id_col: str = "doc_id", tex
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             rows = []
-            for text, o, blobs in zip(part["t"], part["o"], part["gone"]):
-                data, spans = text.encode("utf-8", "surrogatepass"), _spans(blobs)
+            for text, o, found in zip(part["t"], part["o"], part["gone"]):
+                data, spans = text.encode("utf-8", "surrogatepass"), _spans(found)
                 keep, at = hashlib.sha256(), 0
                 for s, e in spans.tolist():
                     keep.update(data[at:s])
@@ -518,8 +541,8 @@ def cut_repeats(docs: DataFrame, width: int = 50, id_col: str = "doc_id", text_c
     def cut(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         for texts, gone in parts:
             out = []
-            for text, blobs in zip(texts, gone):
-                spans = _spans(blobs)
+            for text, found in zip(texts, gone):
+                spans = _spans(found)
                 if len(spans):
                     data = text.encode("utf-8", "surrogatepass")
                     raw = np.frombuffer(data, np.uint8)
