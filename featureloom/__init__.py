@@ -34,7 +34,7 @@ from .plans.matrices import (
     spectral_matrix, spectral_vectors, verify_table,
 )
 from .plans.modes import MODES, build_matrix, run_mode
-from .session import build_session, spread, stage
+from .session import build_session, drop_staged, spread, stage
 from .sinks.tables import append_log, write_matrix, write_vectors, write_verified
 from .sources.delimited import (
     detect_delimiter, expected_columns, malformed_records, read_delimited, split_malformed,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import assembly as J
@@ -9,7 +10,7 @@ from ..operators import cleaning as P
 from ..operators import histogram as H
 from ..functions.cells import clean_key
 from ..plans.matrices import spectral_matrix
-from ..session import scratch_dir
+from ..session import scratch_dir, stage
 from ..sinks.tables import write_matrix
 from .buckets import HI, IN_RANGE, LO, N, RANGES
 from .common import joined, query, table
@@ -183,9 +184,20 @@ def ragged_vectors(spark, d):
 
 
 @query("""
-SELECT page_id, translate(replace(url, ' ', ''), '*&^%$@!~#()[]{}?/\\', '__________________') AS name FROM pages
+WITH n AS (SELECT page_id, translate(replace(url, ' ', ''), '*&^%$@!~#()[]{}?/\\', '__________________') AS name FROM pages)
+SELECT page_id, name, dense_rank() OVER (ORDER BY name || '.csv') AS rank FROM n
 """)
 def file_order(spark, d):
-    """Rows in file name order; the comparison itself ignores order."""
+    """Rows in file name order, with the rank that their place in the output gives."""
     names = table(spark, d, "pages").select("page_id", clean_key("url").alias("name"))
-    return J.order_like_files(names, "name")
+    placed = J.order_like_files(names, "name").withColumn("at", F.monotonically_increasing_id())
+    placed = stage(placed, "ordered")
+    # The place of a name is that of its first row; only names are ranked, in no single task.
+    first = placed.groupBy("name").agg(F.min("at").alias("at"))
+    part = F.shiftright("at", 33)
+    inside = Window.partitionBy(part).orderBy("at")
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = first.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n"))
+    sizes = sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    ranks = first.select("name", part.alias("part"), F.row_number().over(inside).alias("k")).join(sizes, "part")
+    return placed.join(ranks, "name").select("page_id", "name", (F.col("before") + F.col("k")).alias("rank"))

@@ -148,6 +148,17 @@ def circular_signatures(spark, d):
     return G.circular_signatures(nodes, edges, 2)
 
 
+@query("""
+SELECT conv_id AS graph_id, turn AS node_id, substr(md5(CASE WHEN turn % 3 = 1 THEN '\\N' ELSE role END), 1, 30) AS sig_0, true AS around FROM conversations
+""")
+def null_labels_graph(spark, d):
+    """Nodes without a label keep their place: each has a signature of every layer."""
+    nodes, edges = conversation_graph(spark, d)
+    nodes = nodes.withColumn("label", F.when(F.col("node_id") % 3 != 1, F.col("label")))
+    found = G.circular_signatures(nodes, edges, 2)
+    return found.select("graph_id", "node_id", "sig_0", (F.length("sig_1") + F.length("sig_2") == 60).alias("around"))
+
+
 def bits_sql(signatures: str, key: str, k: int = 1, n_bits: int = 2048) -> str:
     """CTEs ``sigs``, ``bits`` and ``prints(key, bits)`` from a query for ``(key, sig)``."""
     each = " UNION ALL ".join(
@@ -201,7 +212,7 @@ links AS (SELECT e.g, e.src, e.dst, t.label FROM (SELECT g, a AS src, b AS dst F
   JOIN t ON t.g = e.g AND t.n = e.dst),
 p AS (SELECT g, n, label AS fwd, label AS rev, [n] AS seen, 0 AS len FROM t
   UNION ALL SELECT p.g, l.dst, p.fwd || '>' || l.label, l.label || '>' || p.rev, list_append(p.seen, l.dst), p.len + 1
-  FROM p JOIN links l ON l.g = p.g AND l.src = p.n WHERE p.len < 4 AND NOT list_contains(p.seen, l.dst))
+  FROM p JOIN links l ON l.g = p.g AND l.src = p.n WHERE p.len < 7 AND NOT list_contains(p.seen, l.dst))
 SELECT DISTINCT g AS graph_id, least(fwd, rev) AS path FROM p WHERE len >= 1
 """)
 def path_keys_hubs(spark, d):
@@ -233,22 +244,22 @@ def path_keys_hubs(spark, d):
         .unionByName(link(c, at["n"], at["c"]))
         .unionByName(link(s, at["n"], at["s"]))
     )
-    return FP.path_keys(nodes, G.both_directions(one_way), 1, 4)
+    return FP.path_keys(nodes, G.both_directions(one_way), 1, 7)
 
 
-_NGRAMS = f"""l AS (SELECT doc_id, list_filter(string_split_regex(lower(text), '[^a-z0-9]+'), lambda x: x <> '') AS words FROM documents),
-w AS (SELECT doc_id, unnest(words) AS a, generate_subscripts(words, 1) AS i FROM l),
-g AS (SELECT doc_id, a, lead(a, 1) OVER o AS b, lead(a, 2) OVER o AS c FROM w WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
-{bits_sql("""SELECT doc_id, a AS sig FROM g UNION SELECT doc_id, a || ' ' || b FROM g
-  UNION SELECT doc_id, a || ' ' || b || ' ' || c FROM g UNION SELECT doc_id, NULL FROM documents""", "doc_id")}"""
+_RUNS = " UNION ".join("SELECT doc_id, " + " || ' ' || ".join(f"a{k}" for k in range(n)) + " AS sig FROM g" for n in range(1, 8))
+_NGRAMS = f"""l AS (SELECT doc_id, list_filter(string_split_regex(lower(text), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '') AS words FROM documents),
+w AS (SELECT doc_id, unnest(words) AS a0, generate_subscripts(words, 1) AS i FROM l),
+g AS (SELECT doc_id, a0, {", ".join(f"lead(a0, {k}) OVER o AS a{k}" for k in range(1, 7))} FROM w WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+{bits_sql(_RUNS + " UNION SELECT doc_id, NULL FROM documents", "doc_id")}"""
 
 
 def _ngram_words(spark, d):
-    words = F.filter(F.split(F.lower("text"), "[^a-z0-9]+"), lambda x: x != "")
+    words = F.filter(F.split(F.lower("text"), r"[^\p{L}\p{N}]+"), lambda x: x != "")
     docs = spread(table(spark, d, "documents").select("doc_id", "text")).select(
         "doc_id", words.alias("words")
     )
-    return FP.ngram_fingerprint(docs, "doc_id", "words", 1, 3, dense=False)
+    return FP.ngram_fingerprint(docs, "doc_id", "words", 1, 7, dense=False)
 
 
 @query(f"WITH {_NGRAMS} SELECT * FROM prints")

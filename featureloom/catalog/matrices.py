@@ -92,7 +92,7 @@ def hybrid_matrix(spark, d):
 _CHAIN = "translate(p_name, ' abcdefghijklmnopqrstuvwxyz', 'OCNCCCNCCCCCCCCCCCCSCCCCCPC')"
 
 
-@query(f"""
+FINGERPRINTS = f"""
 WITH c AS (SELECT p_partkey, p_type AS label, {_CHAIN} AS s FROM part),
 ok AS (SELECT * FROM c WHERE length(s) > 0),
 k AS (SELECT p_partkey, label, s, unnest(range(1, 8)) AS len FROM ok),
@@ -100,7 +100,10 @@ w AS (SELECT p_partkey, array_to_string(string_split(substr(s, i, len + 1), ''),
       FROM (SELECT *, unnest(range(1, length(s) - len + 1)) AS i FROM k)),
 {bits_sql("SELECT DISTINCT p_partkey, least(fwd, reverse(fwd)) AS sig FROM w", "p_partkey", 2)}
 SELECT p_partkey AS name, p_type AS label, bits FROM prints JOIN part USING (p_partkey)
-""")
+"""
+
+
+@query(FINGERPRINTS)
 def fingerprint_matrix(spark, d):
     """Part names spelled as chains of atoms: notation, paths, bits, label."""
     parts = spread(table(spark, d, "part").select("p_partkey", "p_name", "p_type")).select(

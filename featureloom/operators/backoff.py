@@ -48,12 +48,16 @@ def predict_backoff(
     """``df`` with ``predicted``, ``lo``, ``hi``, ``support`` and ``level``.
 
     The finest level that has at least ``min_support`` known values answers; all five are
-    null where none has. ``conditions`` picks the part of the table fitted for them.
+    null where none has. ``conditions`` picks the part of the table fitted for them; a table
+    fitted with conditions must have all of them pinned, or a row would have several answers.
 
     The answer depends only on the level columns. Their distinct combinations are looked up,
     level by level, and the result is joined back once; a hot combination is looked up once
     and its rows sit on the outer side of a left join, which adaptive execution can split.
     """
+    fitted = [c for c in table.columns if c not in ("level", "key", "min", "mean", "max", "n")]
+    if set(fitted) != set(conditions or {}):
+        raise ValueError(f"the table was fitted for the conditions {fitted}, given are {sorted(conditions or {})}")
     usable = table.filter(F.col("n") >= min_support)
     for name, wanted in (conditions or {}).items():
         usable = usable.filter(F.col(name) == F.lit(wanted))

@@ -88,12 +88,14 @@ def ngram_fingerprint(
 
 
 def _thin(states: DataFrame, room: int) -> DataFrame:
-    """Per (graph, end, path text), keep the paths that stand for all others.
+    """Per (graph, end, path text in both directions), keep the paths that stand for all others.
+
+    Both directions are needed: labels may hold the separator, so one does not give the other.
 
     Runs on the map side first and once more after the shuffle, like a partial aggregate.
     """
-    group = ["graph_id", "node_id", "fwd"]
-    rows = states.select(*group, "rev", "visited")
+    group = ["graph_id", "node_id", "fwd", "rev"]
+    rows = states.select(*group, "visited")
     task = thin_task(room, len(group))
     local = rows.sortWithinPartitions(*group).mapInPandas(task, rows.schema)
     return local.repartition(*group).sortWithinPartitions(*group).mapInPandas(task, rows.schema)
@@ -106,7 +108,7 @@ def _path_rows(
     """``(graph_id, path)`` with repeats; see :func:`path_keys`."""
     ids = ["graph_id", "node_id"]
     sep = F.col("kind") if typed else F.lit(">")
-    text = F.col(label).cast("string")
+    text = F.coalesce(F.col(label).cast("string"), F.lit(""))
     degrees = edges.groupBy("graph_id", F.col("src").alias("dst")).agg(
         F.count(F.lit(1)).alias("degree")
     )
@@ -157,14 +159,15 @@ def path_keys(
 ) -> DataFrame:
     """``(graph_id, path)``: label texts of the simple paths with ``min_len..max_len`` edges.
 
-    The text is the smaller of both reading directions. A path state holds the visited
+    The text is the smaller of both reading directions; a null label reads as an empty one. A path state holds the visited
     nodes; each round joins the states with the edges at their end. The rounds share their
     exchanges: what one round shuffles is read by the next one and not computed again.
 
     In graphs without hubs the number of states is bounded by the degree. At nodes with more
     than ``hub_degree`` edges the number of paths through the node would grow with its
     square; there the states with the same end and text are thinned to a family of bounded
-    size that allows exactly the same continuations, so no path text is lost.
+    size that allows exactly the same continuations, so no path text is lost. A hub with ``n``
+    different labels still has about ``n * n / 2`` different texts, all of which are returned.
     """
     return _path_rows(nodes, edges, min_len, max_len, label, typed, hub_degree).distinct()
 

@@ -15,6 +15,12 @@ from ..functions.hashing import hex_number
 from ..session import stage
 
 
+# Room for the ids of the hydrogens of one node.
+HYDROGENS = 1 << 20
+# Stands for a null label, which is no element and no empty text.
+NO_LABEL = "\\N"
+
+
 def notation_to_graph(
     df: DataFrame, key: str, col: str, staged: bool = True
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -97,17 +103,19 @@ def implicit_count() -> Column:
 def expand_implicit(nodes: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Nodes and edges with every hydrogen as a node of its own.
 
-    Hydrogen ``k`` of node ``p`` gets the id ``-(16 * p + k + 1)``, so ids need no counting
-    over the graph.
+    Hydrogen ``k`` of node ``p`` gets the id ``-(HYDROGENS * p + k + 1)``, so ids need no counting
+    over the graph. More hydrogens than that at one node are refused.
     """
     n = with_bond_order(nodes, edges)
     count = F.coalesce(F.col("explicit_h"), implicit_count())
+    refuse = F.raise_error(F.lit(f"{HYDROGENS} or more hydrogens at one node")).cast("int")
+    count = F.when(count >= HYDROGENS, refuse).otherwise(count)
     added = n.filter(count > 0).select(
         "graph_id", F.col("node_id").alias("parent"),
         F.explode(F.sequence(F.lit(0), count - 1)).alias("k"),
     )
     hydrogens = added.select(
-        "graph_id", "parent", (-(F.col("parent") * 16 + F.col("k") + 1)).alias("node_id")
+        "graph_id", "parent", (-(F.col("parent") * HYDROGENS + F.col("k") + 1)).alias("node_id")
     )
     more_nodes = hydrogens.select(
         "graph_id", "node_id", F.lit("H").alias("label"), F.lit(0).alias("charge"),
@@ -144,7 +152,8 @@ def circular_signatures(
 ) -> DataFrame:
     """``(graph_id, node_id, sig_0 … sig_radius)``: hashes of the layers around a node.
 
-    ``sig_0`` hashes the label. ``sig_{r+1}`` hashes ``sig_r`` of the node together with the
+    ``sig_0`` hashes the label; a null label is one of its own. Links to ids that are no nodes
+    are left out. ``sig_{r+1}`` hashes ``sig_r`` of the node together with the
     number of its neighbours and the sums of their hashes, a form that does not depend on
     the order of the neighbours and adds up partially before the shuffle: a hub node with
     any number of edges is never gathered. With ``typed`` the kind of the edge is hashed
@@ -155,7 +164,7 @@ def circular_signatures(
     every round and is reused.
     """
     ids = ["graph_id", "node_id"]
-    a, b = _halves(F.col(label).cast("string"))
+    a, b = _halves(F.coalesce(F.col(label).cast("string"), F.lit(NO_LABEL)))
     state = nodes.select(*ids, a.alias("a0"), b.alias("b0"))
     kind = F.col("kind") if typed else F.lit("")
     links = edges.select(

@@ -33,9 +33,15 @@ class Verified:
 
 def verify_table(
     spark: SparkSession, path: str, label: int = 3, short_rows: str = "pad",
-    multi_line: bool = False,
+    multi_line: bool = False, label_kind: str = "auto",
 ) -> Verified:
-    """Read, repair and clean a delimited table of name, notation and label."""
+    """Read, repair and clean a delimited table of name, notation and label.
+
+    Labels may be numbers or words. ``label_kind`` is ``number``, ``text`` or ``auto``: numbers if every
+    label is one, which takes a look at all labels.
+    """
+    if label_kind not in ("auto", "number", "text"):
+        raise ValueError(f"label_kind must be 'auto', 'number' or 'text', not {label_kind!r}")
     sep = detect_delimiter(spark, path)
     raw = read_delimited(spark, path, sep, multi_line=multi_line)
     good, rejects = split_malformed(raw, sep, short_rows)
@@ -46,9 +52,12 @@ def verify_table(
     table = clean_keys(table, data[0])
     target = label_column(take_columns(table, len(data)), label)
     full, nulls = drop_incomplete(table)
+    value = to_double(named(target))
+    if label_kind == "auto":
+        label_kind = "number" if full.filter(value.isNull()).isEmpty() else "text"
     rows = full.select(
         named(data[0]).alias("name"), named(data[1]).alias("notation"),
-        to_double(named(target)).alias("label"), "ord",
+        (value if label_kind == "number" else named(target)).alias("label"), "ord",
     )
     return Verified(rows, rejects, nulls.filter("column <> 'ord'"), sep)
 
@@ -58,6 +67,20 @@ def distinct_records(verified: DataFrame) -> DataFrame:
     return dedup_keep_first(verified, ["name"], ["ord"])
 
 
+def unanswered(
+    signatures: DataFrame, table: DataFrame, radius: int = 2, target: str | None = None,
+    min_support: int = 1, conditions: dict[str, str] | None = None,
+) -> DataFrame:
+    """``(name, nodes)``: nodes labelled ``target`` that no level of the table knows, counted by name."""
+    wanted = signatures
+    if target is not None:
+        wanted = signatures.filter(F.col("sig_0") == label_signature(target))
+    answered = predict_backoff(wanted, table, signature_levels(radius), min_support, conditions)
+    return answered.filter("predicted IS NULL").groupBy(F.col("graph_id").alias("name")).agg(
+        F.count(F.lit(1)).alias("nodes")
+    )
+
+
 def predict_values(
     signatures: DataFrame, table: DataFrame, radius: int = 2, target: str | None = None,
     min_support: int = 1, conditions: dict[str, str] | None = None, digits: int = 2,
@@ -108,23 +131,24 @@ def spectral_matrix(
 def fingerprint_matrix(
     words: DataFrame, labels: DataFrame, n_bits: int = 2048, *, key: str = "graph_id",
     label: str = "label", labels_mode: str = "all", order: list[str] | None = None,
-    keep_unlabelled: bool = False,
+    keep_unlabelled: bool = False, keys: DataFrame | None = None,
 ) -> DataFrame:
     """``(name, label, features)`` of the fingerprint mode.
 
     ``words`` is any fingerprint made with ``dense=False``. Labels are joined to the compact
-    words; the dense vector is built last.
+    words; the dense vector is built last. ``keys`` is a cheaper table of the names, if there is one.
     """
     joined = attach_labels(
         words.withColumnRenamed(key, "name"), labels, "name", label, labels_mode=labels_mode,
-        order=order, keep_unlabelled=keep_unlabelled,
+        order=order, keep_unlabelled=keep_unlabelled, keys=keys,
     )
     return joined.select("name", "label", words_to_vector("words", n_bits).alias("features"))
 
 
 def hybrid_matrix(
     first: DataFrame, second: DataFrame, labels: DataFrame, *, label: str = "label",
-    keep_unlabelled: bool = False,
+    keep_unlabelled: bool = False, keys: DataFrame | None = None, labels_mode: str = "all",
+    order: list[str] | None = None,
 ) -> DataFrame:
     """``(name, label, features, copies)`` from the vectors ``(name, features)`` of two modes.
 
@@ -133,6 +157,10 @@ def hybrid_matrix(
     and counting each label, with ``copies = k * k``.
     """
     fused = fuse(first, second, on=["name"], unique=True).drop("copies")
+    if labels_mode == "first":
+        if not order:
+            raise ValueError("labels_mode='first' needs the order columns")
+        labels = dedup_keep_first(labels.select("name", label, *order), ["name"], order)
     counted = labels.groupBy("name", F.col(label).alias("label")).agg(
         F.count(F.lit(1)).alias("k")
     )
@@ -141,7 +169,7 @@ def hybrid_matrix(
     # Names without any label row behave like one null label on both sides.
     joined = attach_labels(
         fused, counted.select("name", F.struct("label", "k").alias("__l")), "name", "__l",
-        keep_unlabelled=keep_unlabelled,
+        keep_unlabelled=keep_unlabelled, keys=keys,
     )
     one = F.lit(1).cast("bigint")
     return joined.select(

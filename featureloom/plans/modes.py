@@ -3,19 +3,21 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.buckets import preset
 from ..operators.graph import circular_signatures, expand_implicit, notation_to_graph
+from ..operators.histogram import bucket_rejects
 from ..operators.quality import duplicate_report, graph_metrics, graph_rules, run_summary, warnings
 from ..operators.rowgraphs import notation_paths
 from ..session import spread, stage
-from ..sinks.tables import append_log, matrix_path, write_matrix
+from ..sinks.tables import append_log, matrix_path, write_matrix, write_verified
 from .matrices import (
     distinct_records, fingerprint_matrix, hybrid_matrix, predict_values, spectral_matrix,
-    spectral_vectors, verify_table,
+    spectral_vectors, unanswered, verify_table,
 )
 
 # The element whose atoms give the values of a spectral mode.
@@ -33,17 +35,20 @@ class ModeResult:
     errors: DataFrame                  # name, notation, error
     warnings: DataFrame | None         # name, warning (graph modes only)
     summary: DataFrame = field(repr=False, default=None)
+    verified: DataFrame = field(repr=False, default=None)  # name, notation, label, ord
+    dropped: DataFrame = field(repr=False, default=None)   # mode, name, reason, values
 
 
 def build_matrix(
     spark: SparkSession, path: str, mode: str, label: int = 3, *,
     shifts: dict[str, DataFrame] | None = None, radius: int = 2, min_support: int = 1,
     conditions: dict[str, str] | None = None, n_bits: int = 2048, short_rows: str = "pad",
-    keep_unlabelled: bool = False,
+    keep_unlabelled: bool = False, labels_mode: str = "all", label_kind: str = "auto",
+    multi_line: bool = False,
 ) -> ModeResult:
     """Run one of the modes ``1H``, ``13C``, ``FP`` and ``hybrid`` on a delimited file.
 
-    ``label`` is the 1-based label column. The spectral modes need ``shifts``: per mode the
+    ``label`` is the 1-based label column; its labels are numbers or words. The spectral modes need ``shifts``: per mode the
     reference table of :func:`fit_backoff` over :func:`signature_levels` of typed signatures.
     """
     if mode not in MODES:
@@ -53,14 +58,16 @@ def build_matrix(
     if lacking:
         raise ValueError(f"mode {mode!r} needs reference tables for {lacking}")
 
-    verified = verify_table(spark, path, label, short_rows)
+    verified = verify_table(spark, path, label, short_rows, multi_line, label_kind)
     rows = stage(verified.rows, "verified")
     records = spread(stage(distinct_records(rows), "records"))
-    labels = rows.select("name", "label")
-    notes = None
+    labels = rows.select("name", "label", "ord")
+    choice = {"labels_mode": labels_mode, "order": ["ord"], "keep_unlabelled": keep_unlabelled}
+    notes = dropped = None
     if mode == "FP":
         words, errors = notation_paths(records, "name", "notation", n_bits=n_bits, dense=False)
-        matrix = fingerprint_matrix(words, labels, n_bits, keep_unlabelled=keep_unlabelled)
+        valid = records.select("name").join(errors.select("name"), "name", "left_anti")
+        matrix = fingerprint_matrix(words, labels, n_bits, keys=valid, **choice)
         width = n_bits
     else:
         nodes, edges, errors = notation_to_graph(records, "name", "notation")
@@ -77,13 +84,14 @@ def build_matrix(
             m: predict_values(signatures, shifts[m], radius, TARGETS[m], min_support, conditions)
             for m in spectral
         }
+        dropped = _dropped(values, signatures, shifts, radius, min_support, conditions)
         width = sum(preset(m)[2] for m in spectral)
         if mode == "hybrid":
             sides = [spectral_vectors(values[m], names, m) for m in spectral]
-            matrix = hybrid_matrix(*sides, labels, keep_unlabelled=keep_unlabelled)
+            matrix = hybrid_matrix(*sides, labels, keys=names, **choice)
         else:
             matrix = spectral_matrix(
-                values[mode], names, labels, mode, keep_unlabelled=keep_unlabelled
+                values[mode], names, labels, mode, **choice
             )
     count = F.count(F.lit(1))
     duplicates = duplicate_report(rows, ["name"])
@@ -92,23 +100,48 @@ def build_matrix(
         "rejects": (verified.rejects.select("raw", "found"), {"rows": count}),
         "duplicates": (duplicates, {"removed": F.max("duplicates")}),
         "errors": (errors, {"rows": count}),
+        "nulls": (verified.nulls, {"cells": F.coalesce(F.sum("n"), F.lit(0))}),
     }
     if notes is not None:
         stages["warnings"] = (notes, {"rows": count})
-    return ModeResult(matrix, width, verified.rejects, errors, notes, run_summary(stages))
+        of = lambda reason: F.coalesce(F.sum(F.when(F.col("reason") == reason, F.col("values"))), F.lit(0))
+        stages["dropped"] = (dropped, {"outside_axis": of("outside axis"), "without_answer": of("without answer")})
+    return ModeResult(matrix, width, verified.rejects, errors, notes, run_summary(stages), rows, dropped)
+
+
+def _dropped(values, signatures, shifts, radius, min_support, conditions) -> DataFrame:
+    """``(mode, name, reason, values)``: what a spectral mode leaves out of its vectors."""
+    parts = []
+    for mode, found in values.items():
+        lo, hi, n = preset(mode)
+        outside = bucket_rejects(found, "name", "value", lo, hi, n).groupBy("name").agg(F.sum("n").alias("values"))
+        unknown = unanswered(signatures, shifts[mode], radius, TARGETS[mode], min_support, conditions)
+        for table, reason in ((outside, "outside axis"), (unknown.withColumnRenamed("nodes", "values"), "without answer")):
+            parts.append(table.select(F.lit(mode).alias("mode"), "name", F.lit(reason).alias("reason"), "values"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def run_mode(
     spark: SparkSession, path: str, mode: str, folder: str, label: int = 3, *,
     ordered: bool = True, fmt: str = "csv", write_mode: str = "errorifexists", **options,
 ) -> str:
-    """Build a matrix and write it with its error and warning tables below ``folder``."""
+    """Build a matrix and write it with its side tables below ``folder``.
+
+    ``<base>_<mode>_verified``, ``…_rejects``, ``…_dropped`` and ``…_summary`` belong to one run;
+    ``errors`` and ``warnings`` collect those of all runs, with their source and mode.
+    """
     result = build_matrix(spark, path, mode, label, **options)
     tag = "HYBRID" if mode == "hybrid" else mode
     out = write_matrix(
         result.matrix, matrix_path(folder, path, tag), result.width, fmt, ordered, write_mode
     )
-    append_log(result.errors, f"{folder.rstrip('/')}/errors")
+    stem = out.removesuffix("_ML_input.csv")
+    write_verified(result.verified, f"{stem}_verified", fmt, write_mode)
+    for name, rows in (("rejects", result.rejects), ("dropped", result.dropped), ("summary", result.summary)):
+        if rows is not None:
+            rows.write.mode(write_mode).parquet(f"{stem}_{name}")
+    folder = folder.rstrip("/")
+    append_log(result.errors, f"{folder}/errors", source=path, mode=mode)
     if result.warnings is not None:
-        append_log(result.warnings, f"{folder.rstrip('/')}/warnings")
+        append_log(result.warnings, f"{folder}/warnings", source=path, mode=mode)
     return out

@@ -63,10 +63,14 @@ def write_vectors(df: DataFrame, path: str, key: str = "name", mode: str = "erro
     return _write(vector_long(df, key), path, "parquet", mode)
 
 
-def append_log(df: DataFrame, path: str) -> str:
-    """Append rows to the table of errors or warnings at ``path``."""
+def append_log(df: DataFrame, path: str, **origin: str) -> str:
+    """Append rows to the table of errors or warnings at ``path``.
+
+    ``origin`` adds constant columns, such as the source and the mode of a run, so that the rows
+    of several runs in one table can be told apart.
+    """
     flat = df.select(*[
         F.concat_ws(", ", f.name).alias(f.name) if isinstance(f.dataType, T.ArrayType) else f.name
         for f in df.schema.fields
-    ])
+    ], *[F.lit(value).alias(name) for name, value in origin.items()])
     return _write(flat, path, "parquet", "append")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,7 +24,7 @@ BAD = "_bad"
 def _first_file(spark: SparkSession, path: str) -> DataFrame:
     """Lines of the start of the first file (by name)."""
     try:
-        files = sorted(spark.read.text(path).inputFiles())
+        files = sorted(map(unquote, spark.read.text(path).inputFiles()))
     except AnalysisException as e:
         raise ValueError(f"cannot read {path}: {e}") from e
     if not files:
@@ -56,7 +57,7 @@ def field_count(raw, sep: str) -> Column:
     """Fields of a raw record, quoted ones counted once; a blank record has none."""
     c = F.col(raw) if isinstance(raw, str) else raw
     s = "\\" + sep if sep != "\t" else "\\t"
-    bare = F.regexp_replace(c, rf'(?s)(^|{s})"(?:[^"]|"")*"', "$1")
+    bare = F.regexp_replace(c, rf'(?s)(^|{s})"[^"]*+(?:""[^"]*+)*+"', "$1")
     return F.when(c == "", 0).otherwise(
         F.length(bare) - F.length(F.replace(bare, F.lit(sep), F.lit(""))) + 1
     )
@@ -69,9 +70,12 @@ def read_delimited(
     """All records as strings, plus ``_bad`` (raw text of records of another width) and ``ord``.
 
     ``ord`` orders the records as in the input: file, start of the split, position in it.
-    Quoted fields with line breaks need ``multi_line``, which keeps a file in one task.
+    Quoted fields with line breaks need ``multi_line``, which keeps a file in one task. Every
+    file must have the header of the first one (unless ``names`` are given): the scan fails where
+    columns stand in another order.
     """
     sep = sep or detect_delimiter(spark, path)
+    same_header = names is None
     names = names or expected_columns(spark, path, sep)
     if len(set(names)) != len(names):
         raise ValueError(f"repeated column names in the header: {names}")
@@ -80,6 +84,7 @@ def read_delimited(
         spark.read.schema(schema)
         .options(sep=sep, header=True, mode="PERMISSIVE", quote='"', escape='"',
                  columnNameOfCorruptRecord=BAD, multiLine=multi_line, maxCharsPerColumn=-1,
+                 enforceSchema=not same_header,
                  # With pruning, the width of a record would be judged by the columns in use.
                  columnPruning=False)
         .csv(path)
@@ -122,15 +127,19 @@ def split_malformed(
 
 def malformed_records(
     spark: SparkSession, path: str, sep: str | None = None, expected: int | None = None,
-    short_rows: str = "pad",
+    short_rows: str = "pad", multi_line: bool = False,
 ) -> DataFrame:
     """``(file, record_no, raw, expected, found, kept)`` of every record of another width.
 
     ``record_no`` is 1-based with the header as record 1. ``kept`` tells whether the record
-    stays in the data, padded. Only malformed lines are joined with the line numbers.
+    stays in the data, padded. Only malformed lines are joined with the line numbers. With
+    ``multi_line`` records come from the reader of :func:`read_delimited`: a quoted line break does
+    not end a record, and blank lines are none.
     """
     sep = sep or detect_delimiter(spark, path)
     expected = expected or len(expected_columns(spark, path, sep))
+    if multi_line:
+        return _malformed_logical(spark, path, sep, expected, short_rows)
     found = field_count("value", sep)
     lines = number_lines(spark.read.text(path), keep=found != expected)
     pad = F.lit(short_rows == "pad")
@@ -139,3 +148,20 @@ def malformed_records(
         F.lit(expected).alias("expected"), found.alias("found"),
         (pad & (found < expected) & (found > 0)).alias("kept"),
     )
+
+
+def _malformed_logical(
+    spark: SparkSession, path: str, sep: str, expected: int, short_rows: str
+) -> DataFrame:
+    """:func:`malformed_records` by logical record; a file is one split, so its ids are consecutive."""
+    rows = read_delimited(spark, path, sep, multi_line=True)
+    first = rows.groupBy(F.col("ord")["path"].alias("file")).agg(F.min(F.col("ord")["id"]).alias("first"))
+    found = field_count(BAD, sep)
+    bad = rows.filter(F.col(BAD).isNotNull()).select(
+        F.col("ord")["path"].alias("file"), F.col("ord")["id"].alias("id"), F.col(BAD).alias("raw"), found.alias("found")
+    )
+    pad = F.lit(short_rows == "pad")
+    return bad.join(first, "file").select(
+        "file", (F.col("id") - F.col("first") + 2).alias("record_no"), "raw", F.lit(expected).alias("expected"), "found",
+        (pad & (F.col("found") < expected) & (F.col("found") > 0)).alias("kept"),
+    )

@@ -13,11 +13,11 @@ FILE_NAME = r"([^/]+)\.csv$"
 
 
 def read_vector_values(spark: SparkSession, path: str, key_pattern: str = FILE_NAME) -> DataFrame:
-    """``(name, pos, raw, value)`` of all files in one read; ``value`` is null for non-numbers."""
+    """``(name, file, pos, raw, value)`` of all files in one read; ``value`` is null for non-numbers."""
     lines = number_lines(spark.read.option("pathGlobFilter", "*.csv").option("recursiveFileLookup", True).text(path))
     name = F.regexp_extract(F.url_decode("file"), key_pattern, 1)
     return lines.select(
-        name.alias("name"), F.col("line_no").alias("pos"),
+        name.alias("name"), "file", F.col("line_no").alias("pos"),
         F.col("value").alias("raw"), to_double("value").alias("value"),
     )
 
@@ -27,16 +27,22 @@ def read_vectors(
 ) -> tuple[DataFrame, DataFrame]:
     """``(vectors, rejects)``: dense ``features`` per file of ``n`` numbers, and the rest.
 
+    A key that several files have is rejected, whatever their lengths; ``files`` counts them.
+
     Only the first ``n`` positions are gathered, so a file of any length adds at most ``n``
     entries; its full length is counted and decides whether it is a vector at all.
     """
     values = read_vector_values(spark, path, key_pattern)
     entry = F.when((F.col("pos") < n) & F.col("value").isNotNull(), F.struct("pos", "value"))
-    packed = values.groupBy("name").agg(
+    per_file = values.groupBy("name", "file").agg(
         F.count(F.lit(1)).alias("length"),
         F.count("value").alias("numbers"),
         F.sort_array(F.collect_list(entry)).alias("entries"),
     )
-    whole = (F.col("length") == n) & (F.col("numbers") == n)
+    packed = per_file.groupBy("name").agg(
+        F.count(F.lit(1)).alias("files"), F.sum("length").alias("length"),
+        F.sum("numbers").alias("numbers"), F.min_by("entries", "file").alias("entries"),
+    )
+    whole = (F.col("files") == 1) & (F.col("length") == n) & (F.col("numbers") == n)
     vectors = packed.filter(whole).select("name", F.col("entries")["value"].alias("features"))
-    return vectors, packed.filter(~whole).select("name", "length", "numbers")
+    return vectors, packed.filter(~whole).select("name", "length", "numbers", "files")

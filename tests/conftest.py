@@ -9,7 +9,7 @@ sys.path[:0] = [ROOT, os.path.join(ROOT, "tests")]
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    from featureloom import build_session
+    from featureloom import build_session, drop_staged
 
     session = build_session(
         "featureloom-tests", "local[8]",
@@ -19,4 +19,5 @@ def spark(tmp_path_factory):
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    drop_staged(session)
     session.stop()

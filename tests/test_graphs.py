@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from featureloom import (
-    circular_signatures, expand_implicit, fit_backoff, fold_bits, graph_metrics, graph_rules,
+    both_directions, circular_fingerprint, circular_signatures, expand_implicit, fit_backoff, fold_bits, graph_metrics, graph_rules,
     ngram_fingerprint, notation_paths, notation_to_graph, path_fingerprint, path_keys,
     predict_backoff, screen_notation, select_nodes,
 )
@@ -16,7 +16,7 @@ from featureloom.functions.vectors import set_bits, words_to_bitstring, words_to
 
 VALID = {"CCO": (3, 2), "c1ccccc1": (6, 6), "[Na+].[Cl-]": (2, 0), "C%12CCCC%12": (5, 5),
          "F/C=C/F": (4, 3), "C[C@H](N)C(=O)O": (6, 5), "C": (1, 0),
-         "CN1CCN(C[C@H]2cccc(c2)C(=O)Nc2cn(C)nc2C(=O)NCc2cccc(F)c2)CC1": (34, 37)}
+         "CC1(C)OB(c2ccc(C[C@@H](N)C#N)nc2)OC1=S": (19, 20)}
 INVALID = ["C1CC", "C(C", "CC)", "CXC", "C=", "C==C", "C()C", "C11", "C1C1", "[Xx]C", "(C)C", ".C", "C..C"]
 
 
@@ -163,3 +163,29 @@ def test_backoff(spark):
     assert got == {("a", "x"): (2.0, 2, 2), ("a", "z"): (4.0, 1, 3), ("b", None): (5.0, 2, 1), ("d", "x"): (None, None, None)}
     strict = predict_backoff(ask, fitted, levels, min_support=3).filter("level IS NOT NULL").collect()
     assert {(r.p, r.q) for r in strict} == {("a", "x"), ("a", "z")}
+
+
+def test_hub_thinning_keeps_every_path_text(spark):
+    """Labels may hold the separator: then one direction of a text does not give the other."""
+    labels = {0: "h", 1: "y>x", 2: "w", 3: "y", 4: "x>w", **{k: f"l{k}" for k in range(5, 12)}}
+    links = [(1, 2), (3, 4), (2, 0), (4, 0), *[(0, k) for k in range(5, 12)]]
+    nodes = spark.createDataFrame([(1, k, v) for k, v in labels.items()], "graph_id int, node_id int, label string")
+    edges = both_directions(spark.createDataFrame([(1, a, b, "-") for a, b in links], "graph_id int, a int, b int, kind string"))
+    found = [sorted(r.path for r in path_keys(nodes, edges, 1, 4, hub_degree=h).collect()) for h in (2, 8, 10_000)]
+    assert found[0] == found[1] == found[2]
+
+
+def test_null_labels_keep_their_nodes(spark):
+    nodes = spark.createDataFrame([(1, 0, "a"), (1, 1, None), (2, 0, None)], "graph_id int, node_id int, label string")
+    edges = both_directions(spark.createDataFrame([(1, 0, 1, "-")], "graph_id int, a int, b int, kind string"))
+    found = circular_signatures(nodes, edges, 2).collect()
+    assert len(found) == 3 and all(r.sig_2 for r in found)
+    assert {r.graph_id for r in circular_fingerprint(nodes, edges).collect()} == {1, 2}
+    assert {r.graph_id for r in path_fingerprint(nodes, edges).collect()} == {1, 2}
+
+
+def test_many_hydrogens_have_ids_of_their_own(spark):
+    nodes, edges, _ = notation_to_graph(frame(spark, ["[CH20]C"]), "id", "s")
+    every, _ = expand_implicit(nodes, edges)
+    ids = [r.node_id for r in every.collect()]
+    assert len(ids) == len(set(ids)) > 20

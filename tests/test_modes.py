@@ -1,4 +1,4 @@
-"""The four modes end to end on the published sample."""
+"""The four modes end to end on an invented table."""
 
 import csv
 import glob
@@ -16,7 +16,7 @@ from featureloom import (
 @pytest.fixture(scope="module")
 def source(tmp_path_factory):
     folder = tmp_path_factory.mktemp("in")
-    extra = "bad-1;C1CC;1,0\n306-069-02;CCO;9,99\nsalt;[Na+].[Cl-];0,5\n"
+    extra = "bad-1;C1CC;1,0\nw-03;CCO;9,99\nsalt;[Na+].[Cl-];0,5\n"
     return put(folder, SAMPLE + extra)
 
 
@@ -44,18 +44,23 @@ def test_mode(spark, source, shifts, tmp_path, mode, width):
             head, *body = list(csv.reader(f)) or [[]]
             rows += body
     assert len(head) == width and head[0] == "MOLECULE_NAME" and head[-1] == f"FEATURE_{width - 2}"
-    # Ten sample rows, the salt, and a second label of a repeated name.
-    assert len(rows) == 12
-    assert sorted(r[1] for r in rows if r[0] == "306-069-02") == ["4.12", "9.99"]
+    # Nine sample rows, the salt, and a second label of a repeated name.
+    assert len(rows) == 11
+    assert sorted(r[1] for r in rows if r[0] == "w-03") == ["0.75", "9.99"]
     by = {r[0]: [int(x) for x in r[2:]] for r in rows}
     assert [r[0] for r in rows] == sorted((r[0] for r in rows), key=lambda n: n + ".csv")
     if mode == "13C":
         # One value per carbon; the salt has none and keeps an all-zero row.
-        assert sum(by["504-195-01"]) == 16 and sum(by["salt"]) == 0
+        assert sum(by["w-04"]) == 8 and sum(by["salt"]) == 0
     if mode == "FP":
-        assert set(by["504-195-01"]) == {0, 1} and sum(by["salt"]) == 0
+        assert set(by["w-04"]) == {0, 1} and sum(by["salt"]) == 0
     errors = spark.read.parquet(str(tmp_path / "errors")).collect()
-    assert [(r.name, r.error) for r in errors] == [("bad-1", "unclosed ring")]
+    assert [(r.name, r.error, r.source, r.mode) for r in errors] == [("bad-1", "unclosed ring", source, mode)]
+    stem = out.removesuffix("_ML_input.csv")
+    summary = {(r.stage, r.metric): r.value for r in spark.read.parquet(f"{stem}_summary").collect()}
+    assert summary["verified", "rows"] == 12 and summary["rejects", "rows"] == 1
+    assert spark.read.parquet(f"{stem}_rejects").count() == 1
+    assert spark.read.option("header", True).csv(f"{stem}_verified").count() == 12
     if mode != "FP":
         notes = spark.read.parquet(str(tmp_path / "warnings")).collect()
         assert [r.name for r in notes] == ["salt"]
@@ -64,10 +69,29 @@ def test_mode(spark, source, shifts, tmp_path, mode, width):
 def test_summary_and_checks(spark, source):
     result = build_matrix(spark, source, "FP")
     got = {(r.stage, r.metric): r.value for r in result.summary.collect()}
-    assert got == {("verified", "rows"): 13, ("rejects", "rows"): 1, ("duplicates", "removed"): 1, ("errors", "rows"): 1}
+    assert got == {("verified", "rows"): 12, ("rejects", "rows"): 1, ("duplicates", "removed"): 1, ("errors", "rows"): 1, ("nulls", "cells"): 0}
     with pytest.raises(ValueError):
         build_matrix(spark, source, "2D")
     with pytest.raises(ValueError):
         build_matrix(spark, source, "1H")
     with pytest.raises(ValueError):
         build_matrix(spark, source, "FP", label=1)
+
+
+def test_text_labels_reach_the_matrix(spark, tmp_path):
+    path = put(tmp_path, "n,s,l\na,CCO,active\nb,CCC,inactive\na,CCO,active\n")
+    rows = build_matrix(spark, path, "FP").matrix.collect()
+    assert sorted((r.name, r.label) for r in rows) == [("a", "active"), ("a", "active"), ("b", "inactive")]
+    first = build_matrix(spark, path, "FP", labels_mode="first").matrix.collect()
+    assert sorted((r.name, r.label) for r in first) == [("a", "active"), ("b", "inactive")]
+
+
+def test_conditions_of_the_table_must_be_pinned(spark):
+    from featureloom import predict_backoff
+
+    train = spark.createDataFrame([("x", "p", 1.0), ("x", "q", 2.0)], "a string, c string, v double")
+    table = fit_backoff(train, [["a"]], "v", conditions=["c"])
+    rows = spark.createDataFrame([("x",)], "a string")
+    with pytest.raises(ValueError, match="conditions"):
+        predict_backoff(rows, table, [["a"]])
+    assert [r.predicted for r in predict_backoff(rows, table, [["a"]], conditions={"c": "q"}).collect()] == [2.0]
