@@ -136,14 +136,14 @@ def scan_list(
 
 
 def nearest(
-    vectors: DataFrame, is_query: Callable[[Column], Column], top: int = 20, share: float = 0.5, lists: int | None = None,
+    vectors: DataFrame, is_query: Callable[[Column], Column], top: int = 20, share: float = 0.6, lists: int | None = None,
     id_col: str = "vec_id", vector_col: str = "embedding",
 ) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: the ``top`` vectors of largest inner product found for each query.
 
     ``is_query`` makes a condition of the id column. Every other usable vector is a candidate. A query probes
     ``share`` of the lists, and more until over ``top`` vectors are reached, so ``top`` rows are returned
-    wherever there are as many candidates, and all candidates otherwise. Half of the lists is what vectors
+    wherever there are as many candidates, and all candidates otherwise. This much is what vectors
     without clear clusters need for a recall above 0.9; clustered ones need far less. Ties go to the smaller
     id. See :func:`usable` for the vectors that take no part; further columns are not read.
     """
