@@ -331,7 +331,7 @@ def rebuilt(content: list[str], rest: list[str], rng: np.random.Generator) -> tu
             inside.append(good)
         out.append(f"</{layout.split()[0]}>")
 
-    few = rng.random() < 0.1  # nothing but the content
+    few = rng.random() < 0.2  # nothing but the content
     words = " ".join(rest or content).split() or ["text"]
     short = lambda n, size: [" ".join(words[i : i + size]) for i in rng.integers(0, len(words), n)]
     longer = lambda n: short(n, int(rng.integers(6, 40)))
@@ -347,9 +347,13 @@ def rebuilt(content: list[str], rest: list[str], rng: np.random.Generator) -> tu
     out += ['<div class="wrapper">'] * wrapped
     if rng.random() < 0.3:
         add("side", longer(int(rng.integers(1, 4))), "p", False, 0.5)
-    bare = rng.random() < 0.15
+    bare = rng.random() < (0.5 if few else 0.1)
     place = LAYOUTS["content"][rng.integers(len(LAYOUTS["content"]))]
     out += [f"<{place}>"] * (not bare)
+    if rng.random() < 0.1:  # texts without marks
+        content = [re.sub(r"[^\w\s]+", "", t).lower() or t for t in content]
+    if rng.random() < 0.1:  # one long block
+        content = [" ".join(content * int(rng.integers(1, 4)))]
     if rng.random() < 0.15:  # a note of few words
         content = [" ".join(t.split()[: rng.integers(1, 8)]) for t in content[: rng.integers(1, 4)]]
     for k, t in enumerate(content):
