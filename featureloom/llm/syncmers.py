@@ -110,13 +110,18 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     base = base.withColumn("th", F.xxhash64("t")).withColumn("n", F.length("t"))
     ids = base.groupBy("o").agg(F.max("n").alias("n"), F.min("th").alias("th"))
     near = neighbours(ids).select("o", "prev_o", "prev_n", F.col("n").alias("most"), F.col("th").alias("least_th"))
-    # one exchange of texts and sketches serves both joins, which need the same columns of it
-    texts = with_sketch(base, "t", "f").repartition(partitions(docs), "o")
-    given = texts.join(near.hint("shuffle_hash"), "o").where((F.col("th") == F.col("least_th")) & (F.col("n") <= F.col("most")))
-    given = given.select(F.col("prev_o").alias("o"), F.substring("t", F.lit(1), F.floor(F.col("prev_n") / 2).cast("int")).alias("head"), F.col("f").alias("next_f"))
+    # Sketches are made once, beside the texts, and written; the texts are dealt by id alone, and one exchange
+    # of them serves both joins, which need the same columns of it.
+    sketches = staged(with_sketch(base, "t", "f").select("o", "th", "f"), "sketches").dropDuplicates(["o", "th"])
+    same_text = lambda a, b: F.col(a).bitwiseXOR(F.col(b)) == 0  # noqa: E731  not a key of the join
+    near = near.join(sketches.select("o", F.col("th").alias("least_th"), F.col("f").alias("next_f")), ["o", "least_th"])
+    texts = base.repartition(partitions(docs), "o")
+    given = texts.join(near, "o").where(same_text("th", "least_th") & (F.col("n") <= F.col("most")))
+    given = given.select(F.col("prev_o").alias("o"), F.substring("t", F.lit(1), F.floor(F.col("prev_n") / 2).cast("int")).alias("head"), "next_f")
     given = given.dropDuplicates(["o"])
+    own = sketches.select("o", F.col("th").alias("own_th"), "f")
     half = F.floor(F.col("n") / 2).cast("int")
-    rows = texts.join(given, "o")
+    rows = texts.join(given, "o").join(own, "o").where(same_text("th", "own_th"))
     edited = F.concat(F.substring("t", F.lit(1), F.col("n") - half), F.substring("head", F.lit(1), half))
     rows = with_sketch(rows.select("o", "th", "n", "f", "next_f", edited.alias("e")), "e", "g")
     return rows.select(
