@@ -19,7 +19,7 @@ from .matrices import _CHAIN as _NAMED, FINGERPRINTS
 _BONDS = f"'C=C' || {_NOTATION}"
 # Made-up values of the elements: both lie inside the axes.
 _SHIFTS = {"1H": ("H", 5.0, 70), "13C": ("C", 100.0, 91)}
-_H, _C = f"(2 * {_CHAIN} + 6 + 3)", f"({_CHAIN} + 6 + 2)"
+_H, _C = f"(2 * {_CHAIN} + 6 + 2)", f"({_CHAIN} + 6 + 2)"
 
 
 def _file(spark, d, notation, label="cast(p_retailprice AS STRING)") -> str:
@@ -93,7 +93,7 @@ def mode_summary(spark, d):
     return build_matrix(spark, _file(spark, d, _BONDS), "hybrid", shifts=shifts).summary
 
 
-@query("SELECT c_name AS name, c_nationkey::VARCHAR AS notation, c_mktsegment AS label FROM customer")
+@query("SELECT replace(c_name, '#', '_') AS name, c_nationkey::VARCHAR AS notation, c_mktsegment AS label FROM customer")
 def text_labels(spark, d):
     """Labels that are words stay what they are."""
     path = scratch_dir(spark, "words")
@@ -105,14 +105,17 @@ _QUOTED = """'"' || replace(text, '"', '""') || '",' || doc_id || ',' || lang ||
 
 
 @query("""
-SELECT doc_id, 3 AS expected, 4 AS found, row_number() OVER (ORDER BY doc_id) + 1 AS record_no, true AS same
-FROM documents QUALIFY doc_id % 7 = 0
+SELECT doc_id, 3 AS expected, 4 AS found, row_number() OVER (PARTITION BY doc_id % 8 ORDER BY doc_id) + 1 AS record_no, true AS same
+FROM documents WHERE text IS NOT NULL QUALIFY doc_id % 7 = 0
 """)
 def quoted_records(spark, d):
     """Whole texts in quotes, line breaks included, some with a field too many: logical records count."""
     path = scratch_dir(spark, "quoted")
-    docs = table(spark, d, "documents").where("text is not null").select("doc_id", "text", F.expr(_QUOTED).alias("line"))
-    docs.orderBy("doc_id").coalesce(1).select(F.col("line").alias("text,doc_id,lang")).write.options(header=True, sep="\x01", quote="", escape="").csv(path)
+    docs = table(spark, d, "documents").where("text is not null")
+    lines = docs.select((F.col("doc_id") % 8).alias("file"), F.col("doc_id").alias("at"), F.expr(_QUOTED).alias("line"))
+    heads = lines.select("file").distinct().select("file", F.lit(-1).alias("at"), F.lit("text,doc_id,lang").alias("line"))
+    lines.unionByName(heads).repartition("file").sortWithinPartitions("file", "at").select("file", "line").write.partitionBy("file").text(path)
+    path = f"{path}/*"
     bad = malformed_records(spark, path, ",", multi_line=True)
     _, rejects = split_malformed(read_delimited(spark, path, ",", multi_line=True), ",")
     number = F.regexp_extract("raw", r'(?s)",(\d+),[a-z]+,x\s*$', 1).cast("bigint")
