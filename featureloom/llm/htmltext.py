@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from featureloom.llm.shared import hash_share
+from featureloom.llm.text import blocks
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 _NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
@@ -266,13 +267,24 @@ def decode(parent: list[int], logit: np.ndarray) -> np.ndarray:
     return keep
 
 
+def main_texts(sources: list[str], model: Forest) -> list[str]:
+    """The kept blocks of each page, one per line; the nodes of all pages are scored together."""
+    pages = [parse(s) for s in sources]
+    rows = [node_features(p) for p in pages if p.blocks]
+    logit = model.score(np.concatenate(rows)) if rows else np.zeros(0)
+    out, at = [], 0
+    for page in pages:
+        if not page.blocks:
+            out.append("")
+            continue
+        keep = decode(page.parent, logit[at : at + len(page.tag)])
+        at += len(page.tag)
+        out.append("\n".join(text for node, text, _ in page.blocks if keep[node]))
+    return out
+
+
 def main_text(source: str, model: Forest) -> str:
-    """The kept blocks of a page, one per line."""
-    page = parse(source)
-    if not page.blocks:
-        return ""
-    keep = decode(page.parent, model.score(node_features(page)))
-    return "\n".join(text for node, text, _ in page.blocks if keep[node])
+    return main_texts([source], model)[0]
 
 
 def content_nodes(page: Page, inside: np.ndarray) -> np.ndarray:
@@ -413,7 +425,9 @@ def extract_text(pages: DataFrame, sample: int = 250, longest: int = 100_000, id
     @F.pandas_udf("string")
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for part in parts:
-            yield pd.Series([main_text(s, held.value) for s in part], dtype=object)
+            sources = list(part)
+            groups = [sources[lo:hi] for lo, hi in blocks([len(s) for s in sources])]
+            yield pd.Series([t for group in groups for t in main_texts(group, held.value)], dtype=object)
 
     out = slim.select(F.col("i").alias(id_col), F.col("u").alias(url_col), run("s").alias("text"))
     return out.withColumn("n_chars", F.length("text").cast("long"))
