@@ -2,8 +2,9 @@
 
 A text is a bag of hashed character n-grams (1 to 3, letters in lower case, all else one
 blank), weighted by TF-IDF and scaled to length one. The vectors of each language are clustered
-by cosine; a text gets the language of the nearest centroid. A text that is farther from
-it than any text of that language in the fit (with a margin) is rejected.
+by cosine; a text gets the language of the nearest centroid. A text is rejected if its cosine to that
+is below half of what all but the farthest hundredth of the texts of the language reach in the fit;
+texts of a few common words still pass, other scripts and languages do not.
 """
 
 from __future__ import annotations
@@ -90,11 +91,12 @@ def cluster(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
 
 
 def fit_languages(
-    labelled: DataFrame, per_language: int = 800, clusters: int = 4, margin: float = 0.9,
+    labelled: DataFrame, per_language: int = 800, clusters: int = 4, margin: float = 0.5,
     id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
 ) -> LanguageModel | None:
     """Fit on about ``per_language`` whole texts of each language, drawn by hash; the bound of the fit.
 
+    ``margin`` is the share of the 0.01 quantile of cosines from which a text is accepted.
     Rows with a null text or language or without a letter do not take part. Texts are counted on the
     executors; only their at most ``DIM`` counts come to the driver. None if no row is left.
     """
@@ -133,7 +135,7 @@ def fit_languages(
     centres = [cluster(x[of == lang], clusters) for lang in languages]
     model.centroids = np.concatenate(centres).astype(np.float32)
     model.owner = np.repeat(np.arange(len(languages)), [len(c) for c in centres])
-    model.floor = np.array([margin * (x[of == lang] @ c.T).max(axis=1).min() for lang, c in zip(languages, centres)])
+    model.floor = np.array([margin * np.quantile((x[of == lang] @ c.T).max(axis=1), 0.01) for lang, c in zip(languages, centres)])
     return model
 
 
