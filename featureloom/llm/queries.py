@@ -89,8 +89,9 @@ def op1_warc(spark, sf_dir):
 
 @query("""
 WITH t AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
-w AS (SELECT doc_id, unnest(range(CAST(length(x) // 2 - 49 AS BIGINT))) AS p, x FROM t WHERE length(x) >= 100),
-s AS (SELECT doc_id, p, md5_number(substr(x, 2 * p + 1, 100)) AS s FROM w),
+b AS (SELECT doc_id, k, substr(x, 1024 * k + 1, 1122) AS y FROM (SELECT doc_id, x, unnest(range(CAST((length(x) - 100) // 1024 + 1 AS BIGINT))) AS k FROM t WHERE length(x) >= 100)),
+w AS (SELECT doc_id, k, y, unnest(range(CAST(least(512, length(y) // 2 - 49) AS BIGINT))) AS j FROM b),
+s AS (SELECT doc_id, 512 * k + j AS p, md5_number(substr(y, 2 * j + 1, 100)) AS s FROM w),
 r AS (SELECT s.doc_id, p FROM s JOIN (SELECT s, min(doc_id) AS low FROM s GROUP BY s HAVING min(doc_id) < max(doc_id)) m USING (s) WHERE s.doc_id > low),
 g AS (SELECT doc_id, p, p > coalesce(lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 50, -1) AS new FROM r),
 n AS (SELECT doc_id, p, sum(CAST(new AS INT)) OVER (PARTITION BY doc_id ORDER BY p) AS k FROM g),
