@@ -37,8 +37,8 @@ def build_session(app: str = "featureloom", master: str | None = None, **conf) -
     return builder.getOrCreate()
 
 
-def run_dir(spark: SparkSession) -> str:
-    """The folder of this application below the shared folder that ``spark.checkpoint.dir`` names.
+def _shared_dir(spark: SparkSession) -> str:
+    """The shared folder that ``spark.checkpoint.dir`` names.
 
     Only a local-mode session may fall back to a folder of this machine.
     """
@@ -47,18 +47,20 @@ def run_dir(spark: SparkSession) -> str:
         if spark.sparkContext.master.split("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         base = os.path.join(tempfile.gettempdir(), f"featureloom-{os.getuid()}")
-    return f"{base.rstrip('/')}/{spark.sparkContext.applicationId}"
+    return base.rstrip("/")
 
 
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder in the folder of this application."""
-    return f"{run_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
+    """A fresh folder below the shared folder; its name tells the application that owns it."""
+    return f"{_shared_dir(spark)}/{purpose}-{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"
 
 
 def drop_staged(spark: SparkSession) -> None:
     """Delete all that this application has staged; call it when its results are written."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(run_dir(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    own = spark._jvm.org.apache.hadoop.fs.Path(f"{_shared_dir(spark)}/*-{spark.sparkContext.applicationId}-*")
+    fs = own.getFileSystem(spark._jsc.hadoopConfiguration())
+    for found in fs.globStatus(own) or []:
+        fs.delete(found.getPath(), True)
 
 
 def stage(df: DataFrame, purpose: str = "stage") -> DataFrame:
