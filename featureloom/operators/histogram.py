@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.buckets import bucket_index
 from ..functions.cells import to_double
 from ..functions.vectors import dense_from_sorted
+from ..session import stage
 
 
 def sparse_histogram(
@@ -80,3 +81,20 @@ def bucket_summary(
 def vector_long(df: DataFrame, key: str, features: str = "features") -> DataFrame:
     """``(key, pos, value)``: one row per position, zeros included."""
     return df.select(key, F.posexplode(features).alias("pos", "value"))
+
+
+def long_positions(df: DataFrame, key: str, order: str, value: str) -> DataFrame:
+    """``(key, pos, value)`` of every row, numbered from 0 within its key by ``order``.
+
+    Rows are dealt to ranges of (key, order) and written, so that a range keeps its number. A range numbers its
+    own rows; what stands before it comes from counts per (key, range), so no task holds a whole key.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = df.select(F.col(key).alias(key), F.col(order).alias("__o"), F.col(value).alias("value"))
+    ranged = stage(rows.repartitionByRange(n, key, "__o").withColumn("__r", F.spark_partition_id()), "ranges")
+    before = Window.partitionBy(key).orderBy("__r").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ranged.groupBy(key, "__r").agg(F.count("*").alias("__n"))
+    starts = starts.select(F.col(key).alias("__k"), F.col("__r").alias("__q"), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__s"))
+    inside = F.row_number().over(Window.partitionBy(key, "__r").orderBy("__o")) - 1
+    out = ranged.withColumn("__i", inside).join(starts, (F.col("__r") == F.col("__q")) & F.col(key).eqNullSafe(F.col("__k")))
+    return out.select(key, (F.col("__s") + F.col("__i")).alias("pos"), "value")

@@ -59,8 +59,12 @@ def write_matrix(
 
 
 def write_vectors(df: DataFrame, path: str, key: str = "name", mode: str = "errorifexists") -> str:
-    """Vectors as one long table ``(key, pos, value)``; never a file per row."""
-    return _write(vector_long(df, key), path, "parquet", mode)
+    """Vectors as one long table ``(key, pos, value)``; never a file per row.
+
+    Rows that are long already (see :func:`long_positions`) are written as they are.
+    """
+    long = df if {"pos", "value"} <= set(df.columns) else vector_long(df, key)
+    return _write(long.select(key, "pos", "value"), path, "parquet", mode)
 
 
 def append_log(df: DataFrame, path: str, **origin: str) -> str:

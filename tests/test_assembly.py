@@ -4,6 +4,7 @@ import csv
 import glob
 
 import pytest
+from pyspark.sql import functions as F
 
 from featureloom import (
     append_log, as_dataframe, attach_labels, drop_null_features, expand_copies, fuse,
@@ -11,6 +12,8 @@ from featureloom import (
     reject_degenerate, spectral_matrix, split_meta, stack_vectors, write_matrix, write_vectors,
     write_verified,
 )
+from featureloom.catalog import QUERIES
+from featureloom.operators.histogram import long_positions
 from featureloom.session import scratch_dir
 from featureloom.sinks.tables import matrix_path, verified_path
 
@@ -102,6 +105,23 @@ def test_quotes_survive_the_sink(spark, tmp_path):
     assert [r.MOLECULE_NAME for r in back] == ['x"1", y'] * 3
 
 
+def test_long_positions_number_every_row_of_a_hot_key(spark, tmp_path):
+    rows = [("hot", i * 7 % 3001, float(i)) for i in range(3001)] + [("a", 5, 1.0), ("a", 2, None), (None, 1, 4.0)]
+    df = spark.createDataFrame(rows, "name string, at long, v double")
+    got = spark.read.parquet(write_vectors(long_positions(df, "name", "at", "v"), str(tmp_path / "v")))
+    want = [("hot", at, v) for _, at, v in rows[:3001]] + [("a", 0, None), ("a", 1, 1.0), (None, 0, 4.0)]
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
+    ranges = long_positions(df, "name", "at", "v").select(F.spark_partition_id()).distinct().count()
+    assert ranges > 1
+
+
+def test_long_vectors_hold_every_event(spark, tmp_path):
+    events = spark.range(500).select((F.col("id") % 3 * 0).alias("user_id"), F.col("id").alias("event_id"), (F.col("id") * 0.5).alias("value"))
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    got = QUERIES["long_vectors_whole"](spark, str(tmp_path)).collect()
+    assert sorted(map(tuple, got)) == [("0", i, i * 0.5) for i in range(500)]
+
+
 def test_other_sinks(spark, tmp_path):
     assert verified_path("/d/test.csv") == "/d/test_verified.csv"
     assert matrix_path("/o", "/d/test_verified.csv", "1H") == "/o/test_1H_ML_input.csv"
