@@ -2,13 +2,15 @@
 
 A text is a bag of hashed character n-grams (1 to 3, letters in lower case, all else one
 blank), weighted by TF-IDF and scaled to length one. The vectors of each language are clustered
-by cosine; a text gets the language of the nearest centroid. A text is rejected if its cosine to that
-is below half of what all but the farthest hundredth of the texts of the language reach in the fit;
-texts of a few common words still pass, other scripts and languages do not.
+by cosine; a text gets the language of the nearest centroid. A text is rejected if its cosine to that,
+or what it is nearer than to the next language, is less than texts of the language and of about the same
+number of n-grams have in the fit, with a margin. Texts of a few common words still pass, as do those of few
+words in languages that were not learned; nearly all longer texts in these do not.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,6 +25,9 @@ from featureloom.llm.text import LETTER, blocks, char_classes, code_points, cut_
 
 DIM = 4096
 ROWS = 96  # texts whose dense counts are held at once
+CUTS = [12 << k for k in range(8)]  # characters of the pieces whose cosines are looked at besides those of whole texts
+KNOTS = np.arange(4.0, 14.0)  # log2 of n-grams at which the bounds of a language are known
+SURE = 8.0  # log2 of n-grams from which the distance to the next language counts (about 16 words)
 _LETTER = regex.compile(r"\p{L}")
 
 
@@ -51,6 +56,26 @@ def ngram_counts(texts: list[str]) -> np.ndarray:
     return out
 
 
+def pieces(text: str) -> list[str]:
+    """The text and a piece of each shorter length from a place given by its checksum."""
+    at = zlib.crc32(text.encode("utf-8", "replace"))
+    starts = [(n, at * 2654435761 % (1 << 32) % (len(text) - n)) for n in CUTS if n < len(text)]
+    return [text] + [text[a : a + n] for n, a in starts]
+
+
+def lengths(counts: np.ndarray) -> np.ndarray:
+    return np.log2(1 + counts.sum(axis=1))
+
+
+def bound(values: np.ndarray, length: np.ndarray, share: float, least: int = 20) -> np.ndarray:
+    """The quantile of values at each knot, from those of about its length; of all where no knot has enough."""
+    near = [values[abs(length - k) < 0.75] for k in KNOTS]
+    known = [k for k, v in enumerate(near) if len(v) >= least]
+    if not known:
+        return np.full(len(KNOTS), np.quantile(values, share))
+    return np.interp(KNOTS, KNOTS[known], [np.quantile(near[k], share) for k in known])
+
+
 def has_letter(text: str | None) -> bool:
     return text is not None and _LETTER.search(text) is not None
 
@@ -61,20 +86,35 @@ class LanguageModel:
     idf: np.ndarray
     centroids: np.ndarray  # unit rows
     owner: np.ndarray  # language of each centroid
-    floor: np.ndarray  # least cosine with which a language is accepted
+    floor: np.ndarray  # least cosine with which a language is accepted, by language and knot
+    apart: np.ndarray  # least distance of that to the cosine of the next language
 
     def vectors(self, counts: np.ndarray) -> np.ndarray:
         x = np.log1p(counts) * self.idf
         return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
 
+    def nearest(self, counts: np.ndarray) -> np.ndarray:
+        """Cosine to the nearest centroid of each language."""
+        cosine = self.vectors(counts) @ self.centroids.T
+        return np.stack([cosine[:, self.owner == k].max(axis=1) for k in range(len(self.languages))], axis=1)
+
     def predict(self, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Language number, score, cosine to the nearest centroid, whether it is rejected."""
-        cosine = self.vectors(counts) @ self.centroids.T
-        best = np.stack([cosine[:, self.owner == k].max(axis=1) for k in range(len(self.languages))], axis=1)
+        best = self.nearest(counts)
         choice = best.argmax(axis=1)
         near = np.take_along_axis(best, choice[:, None], axis=1)[:, 0]
         odds = np.exp(30 * (best - near[:, None]))
-        return choice, 1 / odds.sum(axis=1), near, near < self.floor[choice]
+        ahead = near - over_others(best, choice)
+        length = lengths(counts)
+        low = [near[r] < np.interp(length[r], KNOTS, self.floor[k]) or ahead[r] < np.interp(length[r], KNOTS, self.apart[k]) for r, k in enumerate(choice)]
+        return choice, 1 / odds.sum(axis=1), near, np.array(low, bool)
+
+
+def over_others(best: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """The highest cosine of each row but that of its own language (-1 if there is no other)."""
+    rest = best.copy()
+    rest[np.arange(len(rest)), own] = -1
+    return rest.max(axis=1)
 
 
 def cluster(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
@@ -91,12 +131,13 @@ def cluster(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
 
 
 def fit_languages(
-    labelled: DataFrame, per_language: int = 800, clusters: int = 4, margin: float = 0.5,
+    labelled: DataFrame, per_language: int = 800, clusters: int = 4, near: float = 0.8, ahead: float = 0.4,
     id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
 ) -> LanguageModel | None:
     """Fit on about ``per_language`` whole texts of each language, drawn by hash; the bound of the fit.
 
-    ``margin`` is the share of the 0.01 quantile of cosines from which a text is accepted.
+    A text is accepted from ``near`` times the 0.01 quantile of cosines and, unless it is short, ``ahead`` times the
+    0.05 quantile of their distances to those of the next language. Pieces of the texts tell these quantiles of short texts.
     Rows with a null text or language or without a letter do not take part. Texts are counted on the
     executors; only their at most ``DIM`` counts come to the driver. None if no row is left.
     """
@@ -114,28 +155,45 @@ def fit_languages(
             part = part[[has_letter(t) for t in part["t"]]]
             for lo in range(0, len(part), ROWS):
                 some = part.iloc[lo : lo + ROWS]
-                dense = ngram_counts(list(some["t"]))
-                at = [np.flatnonzero(r).astype("<u2") for r in dense]
-                yield pd.DataFrame({
-                    "i": some["i"].astype("string"), "lang": some["lang"], "at": [a.tobytes() for a in at],
-                    "n": [r[a].astype("<f4").tobytes() for r, a in zip(dense, at)],
-                })
-
-    rows = usable.where(chosen).mapInPandas(count, "i string, lang string, at binary, n binary")
-    rows = rows.orderBy("lang", "i", "at").limit(2 * per_language * len(sizes)).toPandas()
-    if not len(rows):
+                cut = [(r, k, t) for r, text in enumerate(some["t"]) for k, t in enumerate(pieces(text)) if not k or has_letter(t)]
+                for first in range(0, len(cut), ROWS):
+                    rows, kinds, texts = zip(*cut[first : first + ROWS])
+                    dense = ngram_counts(list(texts))
+                    at = [np.flatnonzero(r).astype("<u2") for r in dense]
+                    of = some.iloc[list(rows)]
+                    yield pd.DataFrame({
+                        "i": of["i"].astype("string").to_numpy(), "lang": of["lang"].to_numpy(), "cut": kinds, "at": [a.tobytes() for a in at],
+                        "n": [r[a].astype("<f4").tobytes() for r, a in zip(dense, at)],
+                    })
+
+    def dense(rows: pd.DataFrame) -> np.ndarray:
+        counts = np.zeros((len(rows), DIM), np.float32)
+        for r, (at, n) in enumerate(zip(rows["at"], rows["n"])):
+            counts[r, np.frombuffer(at, "<u2")] = np.frombuffer(n, "<f4")
+        return counts
+
+    every = usable.where(chosen).mapInPandas(count, "i string, lang string, cut int, at binary, n binary")
+    most = 2 * per_language * len(sizes)
+    every = every.orderBy("cut", "lang", "i", "at").limit(most * (1 + len(CUTS))).toPandas()
+    if not len(every):
         return None
-    counts = np.zeros((len(rows), DIM), np.float32)
-    for r, (at, n) in enumerate(zip(rows["at"], rows["n"])):
-        counts[r, np.frombuffer(at, "<u2")] = np.frombuffer(n, "<f4")
+    rows = every[every["cut"] == 0].iloc[:most]
+    counts = dense(rows)
     idf = (np.log((1 + len(rows)) / (1 + (counts > 0).sum(axis=0))) + 1).astype(np.float32)
     languages = sorted(rows["lang"].unique())
-    model = LanguageModel(languages, idf, np.zeros((0, DIM), np.float32), np.zeros(0, int), np.zeros(len(languages)))
+    model = LanguageModel(languages, idf, np.zeros((0, DIM), np.float32), np.zeros(0, int), np.zeros((0, len(KNOTS))), np.zeros((0, len(KNOTS))))
     x, of = model.vectors(counts), rows["lang"].to_numpy()
     centres = [cluster(x[of == lang], clusters) for lang in languages]
     model.centroids = np.concatenate(centres).astype(np.float32)
     model.owner = np.repeat(np.arange(len(languages)), [len(c) for c in centres])
-    model.floor = np.array([margin * np.quantile((x[of == lang] @ c.T).max(axis=1), 0.01) for lang, c in zip(languages, centres)])
+    floor, apart = [], []
+    for k, lang in enumerate(languages):
+        own = every[every["lang"] == lang]
+        seen = [(model.nearest(c), lengths(c)) for c in (dense(own.iloc[lo : lo + 1000]) for lo in range(0, len(own), 1000))]
+        best, length = (np.concatenate(v) for v in zip(*seen))
+        floor.append(near * bound(best[:, k], length, 0.01))
+        apart.append(np.where(KNOTS < SURE, -1, ahead * bound(best[:, k] - over_others(best, np.full(len(best), k)), length, 0.05)))
+    model.floor, model.apart = np.array(floor), np.array(apart)
     return model
 
 

@@ -37,6 +37,32 @@ def test_language_of_odd_rows(spark):
     assert none is None and {r.lang_pred for r in langid.predict_languages(odd, none).collect()} == {"und"}
 
 
+FOREIGN = [
+    "Il governo ha annunciato ieri una nuova legge sulla scuola pubblica. Molti insegnanti sono scesi in piazza per protestare contro i tagli. Secondo il ministro, la riforma porterà maggiori risorse alle regioni del sud. Gli studenti però non sono convinti e chiedono un incontro con le autorità.",
+    "O governo anunciou ontem uma nova lei sobre a escola pública. Muitos professores saíram às ruas para protestar contra os cortes. Segundo o ministro, a reforma trará mais recursos para as regiões do sul. Os estudantes, porém, não estão convencidos e pedem uma reunião com as autoridades.",
+    "De regering heeft gisteren een nieuwe wet over het openbaar onderwijs aangekondigd. Veel leraren gingen de straat op om te protesteren tegen de bezuinigingen. Volgens de minister brengt de hervorming meer geld naar de zuidelijke regio's. De studenten zijn echter niet overtuigd en vragen om een gesprek met de overheid.",
+    "Regeringen meddelade i går en ny lag om den offentliga skolan. Många lärare gick ut på gatorna för att protestera mot nedskärningarna. Enligt ministern kommer reformen att ge mer pengar till de södra regionerna. Studenterna är dock inte övertygade och begär ett möte med myndigheterna.",
+]
+
+
+def test_languages_that_were_not_learned_are_rejected(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("length(text) > 200").cache()
+    for lang in ("de", "en", "es", "fr"):
+        model = langid.fit_languages(docs.where(F.col("lang") != lang), per_language=200)
+        left = langid.predict_languages(docs.where(F.col("lang") == lang).limit(300), model)
+        assert left.where("lang_rejected").count() >= 0.95 * 300
+    docs.unpersist()
+
+
+def test_texts_of_four_sentences_in_other_languages_are_rejected(spark):
+    model = langid.fit_languages(spark.read.parquet("/root/testdata/sf0.1/documents.parquet"))
+    rows = spark.createDataFrame(list(enumerate(FOREIGN)), "doc_id long, text string")
+    assert [r.lang_rejected for r in langid.predict_languages(rows, model).orderBy("doc_id").collect()] == [True] * len(FOREIGN)
+    short = [(0, "Das ist nicht gut und es war auch nicht schön"), (1, "This is not what they had been told about it"), (2, "Ce n'est pas ce que nous avons dans la maison")]
+    got = langid.predict_languages(spark.createDataFrame(short, "doc_id long, text string"), model).orderBy("doc_id").collect()
+    assert [(r.lang_pred, r.lang_rejected) for r in got] == [("de", False), ("en", False), ("fr", False)]
+
+
 def test_counts_of_a_long_text_are_those_of_its_parts(monkeypatch):
     text = "the quick brown fox jumps over the lazy dog " * 50
     whole = langid.ngram_counts([text])
