@@ -54,14 +54,16 @@ def with_syncmers(df: DataFrame, text_col: str = "text", into: str = "syncmers")
 def with_sketch(df: DataFrame, text: str, into: str) -> DataFrame:
     """``df`` with the ``SIZE`` least distinct 31-bit syncmer hashes of a text without nulls, ascending.
 
-    A text of 1 to ``K - 1`` words has one hash, that of all its words; a text without words has none.
+    A text with words but without syncmers (they are sure from ``K + 3`` words on) has one hash, that of all its
+    words; a text without words has none.
     """
     df = _with_smers(df, text)
     high = lambda h: F.shiftrightunsigned(h, 33).cast("int")
     hashes = F.transform(_places(), lambda i: high(F.xxhash64(F.slice("__s", i, SPAN))))
     short = F.when(F.size("__h") > 0, F.array(high(F.xxhash64("__h")))).otherwise(F.array().cast("array<int>"))
     least = F.slice(F.array_sort(F.array_distinct(hashes)), 1, SIZE)
-    return df.withColumn(into, F.when(F.size("__h") >= K, least).otherwise(short)).drop("__h", "__s")
+    some = F.transform(F.array(least), lambda x: F.when(F.size(x) > 0, x).otherwise(short))  # bound once, not computed twice
+    return df.withColumn(into, F.get(some, F.lit(0))).drop("__h", "__s")
 
 
 def sketch_text(sketch: str) -> Column:

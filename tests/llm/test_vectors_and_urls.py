@@ -136,6 +136,17 @@ def test_repeated_ids_share_their_next_document(spark):
     assert {r.edited_sha256 for r in got if r.doc_id == 1} == want
 
 
+def test_short_texts_without_syncmers_have_a_fingerprint(spark):
+    rng = random.Random(3)
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(n)) for n in (6, 7, 8) for _ in range(20)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bare = {r.doc_id for r in syncmers.with_syncmers(rows).where("size(syncmers) = 0").collect()}
+    assert {len(texts[i].split()) for i in bare} == {6, 7, 8}
+    got = {r.doc_id: r for r in syncmers.edited_fingerprints(rows).collect()}
+    assert all(r.fingerprint and r.edited_fingerprint and r.near_next == 0 for r in got.values())
+    assert len({got[i].fingerprint for i in bare}) == len(bare)
+
+
 def test_canonical_urls(spark):
     same = ["http://www.Example.com:80/a/?b=2&utm_source=x&a=1#top", "https://example.com/a?a=1&b=2", " HTTPS://user@EXAMPLE.com:443/a/?ref=q&a=1&b=2"]
     other = ["https://example.com/A?a=1&b=2", "https://example.com", "no url", "", None, "http://"]
