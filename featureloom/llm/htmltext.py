@@ -32,7 +32,8 @@ _TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 # Element names by their role in HTML: fixed values.
 VOID = set("area base br col embed hr img input link meta source track wbr".split())
 RAW = set("script style textarea title xmp iframe noembed noframes".split())
-SKIP = set("script style textarea title head noscript template iframe svg math canvas object audio video form button select option datalist dialog xmp noembed noframes".split())
+SKIP = set("script style textarea title head noscript template iframe svg math canvas object audio video button select option datalist dialog xmp noembed noframes".split())
+IN_HEAD = set("base basefont bgsound link meta noscript script style template title".split())
 INLINE = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q ruby rp rt s samp small span strike strong sub sup time tt u var wbr".split())
 CLOSES_P = set("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -50,11 +51,12 @@ class Page:
     parent: list[int]
     attrs: list[str]
     blocks: list[tuple[int, str, int]]  # node, text, characters of links
+    inputs: list[int]  # fields and buttons of each node
 
 
 def parse(source: str) -> Page:
     """Block nodes (0 is the root) and blocks of text in page order; never fails."""
-    page = Page(["#root"], [-1], [""], [])
+    page = Page(["#root"], [-1], [""], [], [0])
     stack = [("#root", 0)]  # open elements and the node each belongs to
     skipping = links = 0
     pieces: list[str] = []
@@ -86,6 +88,8 @@ def parse(source: str) -> Page:
     while at < end:
         m = _TAG.search(source, at)
         text = source[at : m.start() if m else end]
+        if stack[-1][0] == "head" and text.strip():
+            close_to(len(stack) - 1)  # its end tag may be left out
         if text and not skipping:
             pieces.append(text)
             linked += len(text) if links else 0
@@ -103,6 +107,13 @@ def parse(source: str) -> Page:
                 if name in INLINE and stack[depth][0] not in INLINE:
                     break
             continue
+        if name == "body" or (stack[-1][0] == "head" and name not in IN_HEAD):
+            for depth in range(len(stack) - 1, 0, -1):
+                if stack[depth][0] == "head":
+                    close_to(depth)
+                    break
+        if name in ("input", "select", "textarea", "button") and not skipping and "hidden" not in (m[3] or "").lower():
+            page.inputs[stack[-1][1]] += 1
         if name in VOID:
             if not skipping:
                 if name not in INLINE:
@@ -124,6 +135,7 @@ def parse(source: str) -> Page:
             page.tag.append(name)
             page.parent.append(node)
             page.attrs.append(m[3] or "")
+            page.inputs.append(0)
             node = len(page.tag) - 1
         stack.append((name, node))
         skipping += name in SKIP
@@ -152,13 +164,14 @@ def node_features(page: Page) -> np.ndarray:
     n = len(page.tag)
     parent = np.array(page.parent)
     kind = np.array([KIND.get(t, len(KINDS)) for t in page.tag])
-    own = np.zeros((n, 7))  # characters, link characters, words, sentence marks, digits, upper case, blocks
+    own = np.zeros((n, 8))  # characters, link characters, words, sentence marks, digits, upper case, blocks, inputs
     begin = np.full(n, np.inf)
     seen = 0
     for node, text, linked in page.blocks:
-        own[node] += (len(text), linked, text.count(" ") + 1, text.count(".") + text.count(",") + text.count("!") + text.count("?"), 0, sum(map(str.isupper, text[:200])) / min(200, len(text)), 1)
+        own[node] += (len(text), linked, text.count(" ") + 1, text.count(".") + text.count(",") + text.count("!") + text.count("?"), 0, sum(map(str.isupper, text)) / len(text), 1, 0)
         begin[node] = min(begin[node], seen)
         seen += len(text)
+    own[:, 7] = page.inputs
     sub, tags, last = own.copy(), np.ones(n), np.zeros(n)
     children = np.zeros(n)
     for v in range(n - 1, 0, -1):  # children come behind their parents
@@ -192,6 +205,7 @@ def node_features(page: Page) -> np.ndarray:
         sub[:, 5] / np.maximum(sub[:, 6], 1), sub[:, 2] / np.maximum(sub[:, 6], 1), sub[:, 0] / max(1, seen),
         np.where(np.isfinite(begin), begin, seen) / max(1, seen), sub[:, 0] / chars[up], sub[up, 1] / chars[up],
         children, depth, like, np.log1p(mean), long, sub[:, 0] / np.maximum(mean, 1), bad, good, over_bad, over_good,
+        sub[:, 7], sub[:, 7] / words,
     ])
     return np.column_stack([density, kind[:, None] == np.arange(len(KINDS) + 1), above]).astype(np.float32)
 
@@ -382,6 +396,9 @@ def rebuilt(content: list[str], rest: list[str], rng: np.random.Generator) -> tu
     out += ["</div>"] * wrapped
     if rng.random() < 0.85:
         add("footer", short(int(rng.integers(1, 3)), int(rng.integers(3, 14))), "p" if rng.random() < 0.5 else "div", False, 0.2)
+    if len(inside) % 7 == 3:  # the whole page in one form
+        out.insert(0, '<form><input name="q"><button>Go</button>')
+        out.append("</form>")
     return "<html><body>" + "".join(out) + "</body></html>", np.array(inside)
 
 

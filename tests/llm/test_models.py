@@ -180,6 +180,20 @@ def test_parsing_never_fails(forest):
     assert [t for _, t, _ in table.blocks] == ["a", "b", "c", "d"]
 
 
+def test_pages_without_the_end_of_head_or_in_one_form(forest):
+    for page in (PAGE.replace("</head>", ""), PAGE.replace("<body>", "<body><form><input type=hidden name=v>").replace("</body>", "</form></body>")):
+        assert page != PAGE or "</head>" not in PAGE
+        assert htmltext.main_text(page, forest).split("\n") == LINES
+    bare = htmltext.parse("<head><title>x</title><article><p>Words of the page</p></article>")
+    assert [t for _, t, _ in bare.blocks] == ["Words of the page"]
+    assert [t for _, t, _ in htmltext.parse("<body><form><p>In a form<input></form>").blocks] == ["In a form"]
+
+
+def test_upper_case_counts_over_the_whole_block():
+    low, high = (htmltext.node_features(htmltext.parse("<p>" + "a" * 300 + c * 300)) for c in "bB")
+    assert not np.array_equal(low, high)
+
+
 def test_pages_of_odd_rows(spark):
     rows = [(1, "u", None, "t"), (2, None, "", "t"), (None, "u", PAGE, "t"), (3, "u", PAGE, "t"), (3, "u", PAGE, "t"), (4, "u", "<p>" + "many words " * 60_000 + "</p>", "t")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
