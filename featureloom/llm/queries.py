@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featureloom.llm import ann, bpe, htmltext, langid, packing, quality, simhash, suffixes, syncmers, warc
+from featureloom.llm import ann, bpe, htmltext, langid, packing, quality, secrets, simhash, suffixes, syncmers, vafile, warc
 from featureloom.llm.shared import crc_fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -159,3 +159,78 @@ def op9_htmltext(spark, sf_dir):
 @query()
 def op10_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+_ASCII_ASSIGN = "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in "(password|passwd|secret|token|api_?key)") + secrets.ASSIGN.partition("key)")[2]
+
+
+def _secrets_sql() -> str:
+    """The same base spans and the same model: matches zipped with the gaps before them, pairs of characters counted and joined."""
+    text = lambda s: "'" + s.replace("'", "''") + "'"
+    patterns = {"assign": (0, _ASCII_ASSIGN, 2), "access": (1, secrets.ACCESS, 0), "hex": (2, secrets.HEX, 0), "model": (3, secrets.CANDIDATE, 0)}
+    values = ", ".join(f"({rank}, '{kind}')" for kind, (rank, _, _) in patterns.items())
+    found = " UNION ALL ".join(
+        f"""SELECT r, {rank} AS rank, unnest(range(len(string_split_regex(t, {text(p)})))) AS k, unnest(string_split_regex(t, {text(p)})) AS gap,
+          unnest(regexp_extract_all(t, {text(p)}, 0)) AS hit, unnest(regexp_extract_all(t, {text(p)}, {g})) AS value FROM t""" for rank, p, g in patterns.values())
+    rest = "t"
+    for _, p, _ in list(patterns.values())[:3]:
+        rest = f"regexp_replace({rest}, {text(p)}, ' ', 'g')"
+    digest = lambda salt: f"to_base64(unhex(sha256('{salt}' || id)))"
+    pairs = lambda name, sign: f"""SELECT CASE WHEN i > 1 THEN s[i - 1] ELSE '' END AS a, s[i] AS b, count(*) AS {sign}
+      FROM (SELECT s, unnest(range(1, length(s) + 1)) AS i FROM {name}) GROUP BY 1, 2"""
+    size = len(secrets.ALPHABET)
+    return f"""
+WITH t AS (SELECT row_number() OVER () AS r, doc_id, coalesce(CAST(doc_id AS VARCHAR), '') AS id, coalesce(text, '') AS t FROM documents),
+z AS ({found}),
+p AS (SELECT r, rank, k, hit, value, sum(length(gap) + coalesce(length(hit), 0)) OVER (PARTITION BY r, rank ORDER BY k) AS e FROM z),
+m AS (SELECT r, rank, CAST(e - length(hit) AS BIGINT) AS s, CAST(e AS BIGINT) AS e, value FROM p WHERE hit IS NOT NULL AND (rank <> 0 OR length(value) >= {secrets.ASSIGNED})),
+base AS (SELECT * FROM m WHERE rank < 3),
+few AS (SELECT r, id, t FROM t WHERE (SELECT count(*) FROM t) <= {secrets.SAMPLE} OR md5(id)[1:8] < printf('%08x', ({secrets.SAMPLE} << 32) // (SELECT greatest(count(*), 1) FROM t))),
+random AS (SELECT value AS s FROM base JOIN few USING (r) UNION ALL SELECT {digest('a')} FROM few UNION ALL SELECT md5(id) FROM few
+  UNION ALL SELECT upper(regexp_replace({digest('b')}, '[^A-Za-z0-9]', '', 'g')) FROM few),
+words AS (SELECT unnest(regexp_extract_all({rest}, {text(secrets.WORD)}, 0)) AS s FROM few),
+signs AS (SELECT unnest(string_split('{secrets.ALPHABET}', '')) AS b),
+grid AS (SELECT a, b FROM (SELECT b AS a FROM signs UNION ALL SELECT '') CROSS JOIN signs),
+n AS (SELECT a, b, coalesce(r, 0) AS r, coalesce(o, 0) AS o FROM grid LEFT JOIN ({pairs('random', 'r')}) USING (a, b) LEFT JOIN ({pairs('words', 'o')}) USING (a, b)),
+w AS (SELECT a, b, CAST(floor((ln((r + 1.0::DOUBLE) / (sum(r) OVER (PARTITION BY a) + {size}.0::DOUBLE)) - ln((o + 1.0::DOUBLE) / (sum(o) OVER (PARTITION BY a) + {size}.0::DOUBLE))) * 1000 + 0.5) AS BIGINT) AS w FROM n),
+c AS (SELECT r, s, e, value, unnest(range(1, length(value) + 1)) AS i FROM m WHERE rank = 3),
+d AS (SELECT r, s, e FROM c JOIN w ON w.a = CASE WHEN i > 1 THEN value[i - 1] ELSE '' END AND w.b = value[i]
+  GROUP BY r, s, e, value HAVING sum(w) > greatest({secrets.TOTAL}, length(value) * {secrets.AVERAGE})),
+x AS (SELECT r, rank, s, e FROM base UNION ALL SELECT r, 3, s, e FROM d WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.r = d.r AND b.s < d.e AND d.s < b.e)),
+y AS (SELECT r, rank, s, kind || ':' || s || ':' || e AS span FROM x JOIN (VALUES {values}) v(rank, kind) USING (rank))
+SELECT t.doc_id, count(*) FILTER (rank = 0) AS n_assign, count(*) FILTER (rank = 1) AS n_access, count(*) FILTER (rank = 2) AS n_hex,
+  sha256(coalesce(string_agg(span, ',' ORDER BY s, rank) FILTER (rank < 3), '')) AS base_sha256, coalesce(string_agg(span, ',' ORDER BY s, rank), '') AS spans
+FROM t LEFT JOIN y USING (r) GROUP BY t.r, t.doc_id
+"""
+
+
+@query(_secrets_sql())
+def op12_secrets(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return secrets.span_digests(secrets.find_secrets(docs, secrets.fit_markov(docs)))
+
+
+def _clusters_sql(k: int = 8, rounds: int = 10, dims: int = 64) -> str:
+    """Rounds written out: sums of integers by cluster and dimension, rounded down."""
+    near = lambda c: f"""SELECT v.r, v.vec_id, CAST(arg_min(c, [d, c]) AS INT) AS c, min(d) AS d FROM v JOIN (
+      SELECT v.r, c.c, CAST(list_sum(list_transform(list_zip(v.x, c.x), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT) AS d FROM v CROSS JOIN {c} c) USING (r) GROUP BY 1, 2"""
+    steps = []
+    for i in range(rounds):
+        steps.append(f"a{i} AS MATERIALIZED ({near(f'c{i}')})")
+        steps.append(f"""c{i + 1} AS MATERIALIZED (SELECT c.c, coalesce(n.x, c.x) AS x FROM c{i} c LEFT JOIN (
+          SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS x FROM (
+            SELECT c, i, sum(x) AS s, count(*) AS n FROM (SELECT a.c, unnest(range({dims})) AS i, unnest(v.x) AS x FROM a{i} a JOIN v USING (r)) GROUP BY c, i) GROUP BY c) n USING (c))""")
+    return f"""
+WITH v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+  WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS c, x FROM v QUALIFY c < {k}),
+{", ".join(steps)},
+z AS ({near(f'c{rounds}')})
+SELECT z.vec_id, z.c AS cluster, z.d AS distance, CAST(sum(z.d) OVER (PARTITION BY z.c) AS BIGINT) AS cluster_inertia, CAST(sum(z.d) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string(c.x, ',')) AS centroid_sha256 FROM z JOIN c{rounds} c USING (c)
+"""
+
+
+@query(_clusters_sql())
+def op13_vafile(spark, sf_dir):
+    return vafile.cluster_vectors(table(spark, sf_dir, "embeddings"))
