@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featureloom.llm import ann, bpe, htmltext, langid, packing, quality, secrets, simhash, suffixes, syncmers, vafile, warc
+from featureloom.llm import ann, bpe, htmltext, langid, packing, prefixtrie, quality, secrets, simhash, suffixes, syncmers, vafile, warc
 from featureloom.llm.shared import crc_fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -161,6 +161,34 @@ def op10_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+# crc32 of the digits, bit by bit: a byte enters every eight steps.
+_CRC = """xor(list_reduce(range(8 * length(CAST(c AS VARCHAR))), lambda x, j: CASE WHEN (CASE WHEN j % 8 = 0 THEN xor(x, ascii(CAST(c AS VARCHAR)[j // 8 + 1])) ELSE x END) & 1 = 1
+  THEN xor((CASE WHEN j % 8 = 0 THEN xor(x, ascii(CAST(c AS VARCHAR)[j // 8 + 1])) ELSE x END) >> 1, 3988292384)
+  ELSE (CASE WHEN j % 8 = 0 THEN xor(x, ascii(CAST(c AS VARCHAR)[j // 8 + 1])) ELSE x END) >> 1 END, 4294967295), 4294967295)"""
+
+
+@query(f"""
+WITH t AS (SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS i FROM conversations WHERE conv_id IS NOT NULL),
+k AS (SELECT c, c - c % 5 AS b, {_CRC} % 9 AS h FROM (SELECT DISTINCT c FROM t)),
+p AS (SELECT k.c, 0 AS side, t.i, role, text FROM k JOIN t ON t.c = k.b AND t.i < k.h UNION ALL SELECT k.c, 1, t.i, role, text FROM k JOIN t ON t.c = k.c AND t.i >= k.h),
+o AS (SELECT c, row_number() OVER (PARTITION BY c ORDER BY side, i) AS d, role, text FROM p),
+x AS (SELECT c, d, strlen(text) AS bytes, md5(string_agg(md5(role) || md5(text), '' ORDER BY d) OVER (PARTITION BY c ORDER BY d)) AS key FROM o
+  UNION ALL SELECT c, 0, 0, '' FROM k),
+n AS (SELECT d, key, min(c) AS m, count(*) AS n, any_value(bytes) AS bytes FROM x GROUP BY d, key),
+s AS (SELECT x.c, x.d, n.m, x.d = max(x.d) OVER (PARTITION BY x.c) AS final FROM x JOIN n USING (d, key)),
+q AS (SELECT n.*, s.m AS pm FROM n LEFT JOIN s ON s.c = n.m AND s.d = n.d - 1),
+kids AS (SELECT pm AS m, d - 1 AS d, count(*) AS n_children FROM q WHERE d > 0 GROUP BY 1, 2),
+w AS (SELECT q.m, q.d, q.pm, q.n, coalesce(n_children, 0) AS n_children, (q.n - 1) * q.bytes AS saved FROM q LEFT JOIN kids USING (m, d)),
+up AS (SELECT s.m, s.d, CAST(sum(CAST(w.n_children = 0 AS INT)) AS BIGINT) AS n_leaves, CAST(sum(w.saved) AS BIGINT) AS saved_tokens FROM w JOIN s ON s.c = w.m AND s.d <= w.d GROUP BY 1, 2),
+e AS (SELECT m, d, sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c)) AS ends FROM s WHERE final GROUP BY 1, 2)
+SELECT m AS conv_id, CAST(d AS BIGINT) AS depth, pm AS parent_conv_id, n AS n_convs, n_children, n_leaves, saved_tokens, coalesce(ends, sha256('')) AS ends_sha256
+FROM w JOIN up USING (m, d) LEFT JOIN e USING (m, d)
+""")
+def op11_prefixtrie(spark, sf_dir):
+    return prefixtrie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 _ASCII_ASSIGN = "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in "(password|passwd|secret|token|api_?key)") + secrets.ASSIGN.partition("key)")[2]
 
 
