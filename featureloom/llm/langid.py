@@ -16,6 +16,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -90,8 +92,10 @@ class LanguageModel:
     apart: np.ndarray  # least distance of that to the cosine of the next language
 
     def vectors(self, counts: np.ndarray) -> np.ndarray:
-        x = np.log1p(counts) * self.idf
-        return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+        x = np.log1p(counts)
+        x *= self.idf
+        x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+        return x
 
     def nearest(self, counts: np.ndarray) -> np.ndarray:
         """Cosine to the nearest centroid of each language."""
@@ -166,31 +170,33 @@ def fit_languages(
                         "n": [r[a].astype("<f4").tobytes() for r, a in zip(dense, at)],
                     })
 
-    def dense(rows: pd.DataFrame) -> np.ndarray:
+    def dense(rows: pa.Table) -> np.ndarray:
         counts = np.zeros((len(rows), DIM), np.float32)
         for r, (at, n) in enumerate(zip(rows["at"], rows["n"])):
-            counts[r, np.frombuffer(at, "<u2")] = np.frombuffer(n, "<f4")
+            counts[r, np.frombuffer(at.as_buffer(), "<u2")] = np.frombuffer(n.as_buffer(), "<f4")
         return counts
 
     every = usable.where(chosen).mapInPandas(count, "i string, lang string, cut int, at binary, n binary")
     most = 2 * per_language * len(sizes)
-    every = every.orderBy("cut", "lang", "i", "at").limit(most * (1 + len(CUTS))).toPandas()
+    every = every.orderBy("cut", "lang", "i", "at").limit(most * (1 + len(CUTS))).toArrow()
     if not len(every):
         return None
-    rows = every[every["cut"] == 0].iloc[:most]
-    counts = dense(rows)
-    idf = (np.log((1 + len(rows)) / (1 + (counts > 0).sum(axis=0))) + 1).astype(np.float32)
-    languages = sorted(rows["lang"].unique())
+    # The rows stay as they came, a few bytes for each count; dense ones are made for one language, or for 500 rows.
+    whole = every.filter(pc.equal(every["cut"], 0)).slice(0, most)
+    languages = sorted(pc.unique(whole["lang"]).to_pylist())
+    seen = np.zeros(DIM, np.int64)
+    for at in whole["at"]:
+        seen[np.frombuffer(at.as_buffer(), "<u2")] += 1
+    idf = (np.log((1 + len(whole)) / (1 + seen)) + 1).astype(np.float32)
     model = LanguageModel(languages, idf, np.zeros((0, DIM), np.float32), np.zeros(0, int), np.zeros((0, len(KNOTS))), np.zeros((0, len(KNOTS))))
-    x, of = model.vectors(counts), rows["lang"].to_numpy()
-    centres = [cluster(x[of == lang], clusters) for lang in languages]
+    centres = [cluster(model.vectors(dense(whole.filter(pc.equal(whole["lang"], lang)))), clusters) for lang in languages]
     model.centroids = np.concatenate(centres).astype(np.float32)
     model.owner = np.repeat(np.arange(len(languages)), [len(c) for c in centres])
     floor, apart = [], []
     for k, lang in enumerate(languages):
-        own = every[every["lang"] == lang]
-        seen = [(model.nearest(c), lengths(c)) for c in (dense(own.iloc[lo : lo + 1000]) for lo in range(0, len(own), 1000))]
-        best, length = (np.concatenate(v) for v in zip(*seen))
+        own = every.filter(pc.equal(every["lang"], lang))
+        told = [(model.nearest(c), lengths(c)) for c in (dense(own.slice(lo, 500)) for lo in range(0, len(own), 500))]
+        best, length = (np.concatenate(v) for v in zip(*told))
         floor.append(near * bound(best[:, k], length, 0.01))
         apart.append(np.where(KNOTS < SURE, -1, ahead * bound(best[:, k] - over_others(best, np.full(len(best), k)), length, 0.05)))
     model.floor, model.apart = np.array(floor), np.array(apart)

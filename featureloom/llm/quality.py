@@ -13,6 +13,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -62,17 +64,24 @@ class QualityModel:
         return 1 / (1 + np.exp(-np.clip(logit, -50, 50)))
 
 
-def train(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, dim: int = 16, epochs: int = 12, rate: float = 4.0, seed: int = 11) -> QualityModel:
-    """Gradient descent, one document at a time; ``bags`` holds buckets and their shares."""
+def train(
+    buckets: pa.ChunkedArray, shares: pa.ChunkedArray, labels: np.ndarray, dim: int = 16, epochs: int = 12, rate: float = 4.0, seed: int = 11,
+) -> QualityModel:
+    """Gradient descent, one document at a time.
+
+    ``buckets`` (two bytes each) and ``shares`` (four bytes) of a document are a value of a binary column; only those of the
+    document at hand are widened, so the driver holds six bytes for each feature of the sample.
+    """
     rng = np.random.default_rng(seed)
     vectors = rng.uniform(-1 / dim, 1 / dim, (1 << BUCKET_BITS, dim))
     layer, bias = rng.uniform(-1, 1, (dim, 2)), np.zeros(2)
-    steps, done = epochs * len(bags), 0
+    steps, done = epochs * len(labels), 0
     for _ in range(epochs):
-        for i in rng.permutation(len(bags)):
+        for i in rng.permutation(len(labels)):
             lr = rate * (1 - done / steps)
             done += 1
-            at, share = bags[i]
+            at = np.frombuffer(buckets[i].as_buffer(), "<u2").astype(np.int64)
+            share = np.frombuffer(shares[i].as_buffer(), "<f4").astype(float)
             own = vectors[at]
             mean = share @ own
             z = mean @ layer + bias
@@ -87,6 +96,11 @@ def train(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, dim: in
     return QualityModel(vectors @ (layer[:, 1] - layer[:, 0]), float(bias[1] - bias[0]))
 
 
+def one_label(labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality") -> DataFrame:
+    """``(id, label)`` with one row for each id: the least label where rows disagree; nulls count only where there is nothing else."""
+    return labels.groupBy(id_col).agg(F.min(label_col).alias(label_col))
+
+
 def fit_quality(
     labelled: DataFrame, sample: int = 4000, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality"
 ) -> QualityModel:
@@ -107,12 +121,12 @@ def fit_quality(
             yield pd.DataFrame({"i": part["i"].astype("string"), "y": part["y"], "at": [r[0] for r in rows], "n": [r[1] for r in rows]})
 
     rows = usable.where(hash_share(usable.count(), sample, "i")).mapInPandas(bag, "i string, y int, at binary, n binary")
-    rows = rows.limit(2 * sample).toPandas().sort_values(["i", "y", "at"], kind="stable")
-    bags = [(np.frombuffer(a, "<u2").astype(np.int64), np.frombuffer(n, "<f4").astype(float)) for a, n in zip(rows["at"], rows["n"])]
-    keep = [k for k, (at, _) in enumerate(bags) if len(at)]
-    if not keep:
+    bags = rows.limit(2 * sample).toArrow()
+    bags = bags.sort_by([("i", "ascending"), ("y", "ascending"), ("at", "ascending")]).combine_chunks()
+    bags = bags.filter(pc.greater(pc.binary_length(bags["at"]), 0))
+    if not len(bags):
         return QualityModel(np.zeros(1 << BUCKET_BITS), 0.0)
-    return train([bags[k] for k in keep], (rows["y"].to_numpy()[keep] > 0).astype(int))
+    return train(bags["at"], bags["n"], (bags["y"].to_numpy() > 0).astype(int))
 
 
 def score_quality(docs: DataFrame, model: QualityModel, text_col: str = "text") -> DataFrame:

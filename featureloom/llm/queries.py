@@ -139,7 +139,7 @@ def op7_bpe(spark, sf_dir):
 
 def quality_labels(spark, sf_dir):
     """Labelled rows of the documents that may be learned from."""
-    labels = table(spark, sf_dir, "labels").select("doc_id", "quality").dropDuplicates(["doc_id"])
+    labels = quality.one_label(table(spark, sf_dir, "labels"))
     docs = table(spark, sf_dir, "documents").where(crc_fold("doc_id", 3) != 1)
     return docs.select("doc_id", "text").join(labels, "doc_id")
 
