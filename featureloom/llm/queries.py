@@ -223,7 +223,7 @@ n AS (SELECT a, b, coalesce(r, 0) AS r, coalesce(o, 0) AS o FROM grid LEFT JOIN
 w AS (SELECT a, b, CAST(floor((ln((r + 1.0::DOUBLE) / (sum(r) OVER (PARTITION BY a) + {size}.0::DOUBLE)) - ln((o + 1.0::DOUBLE) / (sum(o) OVER (PARTITION BY a) + {size}.0::DOUBLE))) * 1000 + 0.5) AS BIGINT) AS w FROM n),
 c AS (SELECT r, s, e, value, unnest(range(1, length(value) + 1)) AS i FROM m WHERE rank = 3),
 d AS (SELECT r, s, e FROM c JOIN w ON w.a = CASE WHEN i > 1 THEN value[i - 1] ELSE '' END AND w.b = value[i]
-  GROUP BY r, s, e, value HAVING sum(w) > greatest({secrets.TOTAL}, length(value) * {secrets.AVERAGE})),
+  GROUP BY r, s, e, value HAVING sum(w) > greatest({secrets.TOTAL}, length(value) * {secrets.AVERAGE}) AND len(list_distinct(string_split(value, ''))) >= {secrets.DIFFERENT}),
 x AS (SELECT r, rank, s, e FROM base UNION ALL SELECT r, 3, s, e FROM d WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.r = d.r AND b.s < d.e AND d.s < b.e)),
 y AS (SELECT r, rank, s, kind || ':' || s || ':' || e AS span FROM x JOIN (VALUES {values}) v(rank, kind) USING (rank))
 SELECT t.doc_id, count(*) FILTER (rank = 0) AS n_assign, count(*) FILTER (rank = 1) AS n_access, count(*) FILTER (rank = 2) AS n_hex,

@@ -28,6 +28,8 @@ CANDIDATE, WORD = "[A-Za-z0-9+/_=-]{16,}", "[A-Za-z0-9_-]{4,}"
 SAMPLE, BLOCK = 4_000, 64
 # A run is as likely random as ordinary at 0; e to the 12th is about 160,000 to one.
 TOTAL, AVERAGE = 12_000, 1_400
+# Pairs of one character say nothing about a string of few different ones, such as a line of dashes.
+DIFFERENT = 6
 _SPANS = "array<struct<start int, end int, value string>>"
 
 
@@ -154,8 +156,9 @@ def find_secrets(docs: DataFrame, model: DataFrame, id_col: str = "doc_id", text
     not read; an empty table gives no rows. Equal texts have equal spans.
     """
     weights = weights_literal(model)
+    varied = lambda run: F.size(F.array_distinct(_characters(run))) >= DIFFERENT
     rows = base_spans(docs.select(F.col(id_col), whole_text(text_col).alias("__t")), "__t")
-    random = lambda s: (run_score(s["value"], weights) > F.greatest(F.lit(TOTAL), F.length(s["value"]) * AVERAGE)) & _clear(s)
+    random = lambda s: (run_score(s["value"], weights) > F.greatest(F.lit(TOTAL), F.length(s["value"]) * AVERAGE)) & varied(s["value"]) & _clear(s)
     rows = rows.withColumn("model", F.filter(spans_of(F.col("__t"), CANDIDATE), random))
     tag = lambda i: lambda s: F.struct(s["start"].alias("start"), F.lit(i).alias("rank"), s["end"].alias("end"), s["value"].alias("value"))
     tagged = [F.transform(k, tag(i)) for i, k in enumerate(KINDS)]

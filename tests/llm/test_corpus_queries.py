@@ -12,8 +12,8 @@ from featureloom.llm.queries import ORACLES, QUERIES
 SF = "/root/testdata/sf0.001"
 
 
-def test_all_ten_are_registered():
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in QUERIES}
+def test_all_are_registered():
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in QUERIES}
     assert {*QUERIES, "pipeline"} <= set(entry.queries())
 
 
