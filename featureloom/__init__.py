@@ -26,7 +26,8 @@ from .operators.histogram import (
 )
 from .operators.quality import (
     dedup_keep_first, degenerate_keys, duplicate_report, failed_keys, flag_rules,
-    graph_metrics, graph_rules, reject_degenerate, route, run_summary, screen_notation, warnings,
+    graph_metrics, graph_rules, observed, observed_summary, reject_degenerate, route, run_summary,
+    screen_notation, warnings,
 )
 from .operators.rowgraphs import notation_paths
 from .plans.matrices import (
@@ -39,4 +40,5 @@ from .sinks.tables import append_log, write_matrix, write_vectors, write_verifie
 from .sources.delimited import (
     detect_delimiter, expected_columns, malformed_records, read_delimited, split_malformed,
 )
+from .sources.records import logical_records
 from .sources.vectors import read_vector_values, read_vectors

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators.backoff import fit_backoff
-from ..operators.graph import circular_signatures, expand_implicit, notation_to_graph
+from ..operators.graph import circular_signatures, expand_implicit, label_signature, notation_to_graph
 from ..operators.histogram import long_positions
 from ..plans.matrices import signature_levels, verify_table
 from ..plans.modes import build_matrix, run_mode
@@ -34,11 +34,10 @@ def _shifts(spark, d, values):
     """Reference tables fitted on all atoms of one element with one value each."""
     parts = table(spark, d, "part").select("p_partkey", F.expr(_BONDS).alias("notation"))
     nodes, edges, _ = notation_to_graph(parts, "p_partkey", "notation")
-    nodes, edges = expand_implicit(nodes, edges)
-    signatures = circular_signatures(nodes, edges, 2, typed=True)
-    labelled = stage(signatures.join(nodes.select("graph_id", "node_id", "label"), ["graph_id", "node_id"]), "train")
+    nodes, edges = (stage(t, "expanded") for t in expand_implicit(nodes, edges))
+    signatures = stage(circular_signatures(nodes, edges, 2, typed=True), "train")
     return {
-        mode: stage(fit_backoff(labelled.filter(F.col("label") == element).withColumn("v", F.lit(value)), signature_levels(2), "v"), "fit")
+        mode: stage(fit_backoff(signatures.filter(F.col("sig_0") == label_signature(element)).withColumn("v", F.lit(value)), signature_levels(2), "v"), "fit")
         for mode, (element, value) in values.items()
     }
 
@@ -94,6 +93,15 @@ def mode_summary(spark, d):
     return build_matrix(spark, _file(spark, d, _BONDS), "hybrid", shifts=shifts).summary
 
 
+@query("SELECT CAST(p_partkey AS VARCHAR) AS name, 'C1CC' AS notation, 'unclosed ring' AS error, 'FP' AS mode FROM part WHERE p_partkey % 3 = 0")
+def repeated_runs(spark, d):
+    """The errors of a mode that was run twice on one source into one folder: each counts once."""
+    source, folder = _file(spark, d, f"CASE WHEN p_partkey % 3 = 0 THEN 'C1CC' ELSE {_NOTATION} END"), scratch_dir(spark, "runs")
+    for _ in range(2):
+        run_mode(spark, source, "FP", folder, fmt="parquet", write_mode="overwrite")
+    return spark.read.parquet(f"{folder}/errors").select("name", "notation", "error", "mode")
+
+
 @query("SELECT replace(c_name, '#', '_') AS name, c_nationkey::VARCHAR AS notation, c_mktsegment AS label FROM customer")
 def text_labels(spark, d):
     """Labels that are words stay what they are."""
@@ -125,6 +133,22 @@ def quoted_records(spark, d):
     return out.select("doc_id", "expected", "found", "record_no", (~F.col("padded") & F.col("rejected")).alias("same"))
 
 
+@query("""
+SELECT doc_id, text, lang, CASE WHEN doc_id % 7 = 0 THEN 4 END AS found, row_number() OVER (ORDER BY doc_id) + 1 AS record_no FROM documents WHERE text IS NOT NULL
+""")
+def quoted_one_file(spark, d):
+    """Whole texts in quotes in a single file, read over all its splits: fields and numbers of every logical record."""
+    path = scratch_dir(spark, "one-file")
+    docs = table(spark, d, "documents").where("text is not null")
+    lines = docs.select(F.col("doc_id").alias("at"), F.expr(_QUOTED).alias("line"))
+    head = spark.createDataFrame([(-1, "text,doc_id,lang")], "at long, line string")
+    lines.unionByName(head).orderBy("at").coalesce(1).select("line").write.text(path)
+    rows = read_delimited(spark, path, ",", multi_line="split")
+    bad = malformed_records(spark, path, ",", multi_line="split").select("record_no", "found")
+    rows = rows.withColumn("record_no", F.col("ord")["id"]).join(bad, "record_no", "left")
+    return rows.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", "lang", "found", "record_no")
+
+
 def _long(spark, d):
     """All events of each user as a vector, written as a long table and read again."""
     events = table(spark, d, "events").select(F.col("user_id").cast("string").alias("name"), "event_id", "value")

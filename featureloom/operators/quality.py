@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import notation as N
@@ -146,3 +146,18 @@ def run_summary(stages: dict[str, tuple[DataFrame, dict[str, Column]]]) -> DataF
         ])
         parts.append(df.agg(rows.alias("r")).select(F.lit(name).alias("stage"), F.inline("r")))
     return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def observed(df: DataFrame, purpose: str, metrics: dict[str, Column]) -> tuple[DataFrame, Observation]:
+    """``df``, written once and read back, and the ``metrics`` that were counted while its rows went by.
+
+    The counts come from the plan that writes the rows: no stage is run again to be counted.
+    """
+    seen = Observation(purpose)
+    return stage(df.observe(seen, *[m.alias(name) for name, m in metrics.items()]), purpose), seen
+
+
+def observed_summary(spark: SparkSession, values: dict[str, dict[str, int | None]]) -> DataFrame:
+    """``(stage, metric, value)`` from numbers that are known already, in the form of :func:`run_summary`."""
+    rows = [(name, metric, 0 if n is None else int(n)) for name, found in values.items() for metric, n in found.items()]
+    return spark.createDataFrame(rows, "stage string, metric string, value bigint")

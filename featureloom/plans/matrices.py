@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.buckets import preset
+from ..functions.buckets import bucket_index, preset
 from ..functions.cells import format_shift, named, to_double
 from ..functions.vectors import words_to_vector
 from ..operators.assembly import attach_labels, fuse, label_column
@@ -33,12 +33,13 @@ class Verified:
 
 def verify_table(
     spark: SparkSession, path: str, label: int = 3, short_rows: str = "pad",
-    multi_line: bool = False, label_kind: str = "auto",
+    multi_line: bool | str = False, label_kind: str = "auto", watch: Observation | None = None,
 ) -> Verified:
     """Read, repair and clean a delimited table of name, notation and label.
 
     Labels may be numbers or words. ``label_kind`` is ``number``, ``text`` or ``auto``: numbers if every
-    label is one, which takes a look at all labels.
+    label is one, which takes a look at all labels. ``watch`` counts the nulls of each column, under its position,
+    while the rows are read.
     """
     if label_kind not in ("auto", "number", "text"):
         raise ValueError(f"label_kind must be 'auto', 'number' or 'text', not {label_kind!r}")
@@ -52,10 +53,14 @@ def verify_table(
     table = clean_keys(table, data[0])
     target = label_column(take_columns(table, len(data)), label)
     full, nulls = drop_incomplete(table)
+    watched = full
+    if watch is not None:
+        counts = [F.count_if(named(c).isNull()).alias(str(i)) for i, c in enumerate(data)]
+        watched, _ = drop_incomplete(table.observe(watch, *counts))
     value = to_double(named(target))
     if label_kind == "auto":
         label_kind = "number" if full.filter(value.isNull()).isEmpty() else "text"
-    rows = full.select(
+    rows = watched.select(
         named(data[0]).alias("name"), named(data[1]).alias("notation"),
         (value if label_kind == "number" else named(target)).alias("label"), "ord",
     )
@@ -67,37 +72,50 @@ def distinct_records(verified: DataFrame) -> DataFrame:
     return dedup_keep_first(verified, ["name"], ["ord"])
 
 
-def unanswered(
+def answer_nodes(
     signatures: DataFrame, table: DataFrame, radius: int = 2, target: str | None = None,
-    min_support: int = 1, conditions: dict[str, str] | None = None,
+    min_support: int = 1, conditions: dict[str, str] | None = None, digits: int = 2,
 ) -> DataFrame:
-    """``(name, nodes)``: nodes labelled ``target`` that no level of the table knows, counted by name."""
+    """``(name, value)`` of every node labelled ``target``; the value is null where no level knows the node.
+
+    ``signatures`` comes from :func:`circular_signatures` over the whole graphs and serves
+    several targets. The label is recognised by its own hash ``sig_0``, so no join with the
+    nodes is needed.
+    """
     wanted = signatures
     if target is not None:
         wanted = signatures.filter(F.col("sig_0") == label_signature(target))
     answered = predict_backoff(wanted, table, signature_levels(radius), min_support, conditions)
-    return answered.filter("predicted IS NULL").groupBy(F.col("graph_id").alias("name")).agg(
-        F.count(F.lit(1)).alias("nodes")
-    )
+    return answered.select(F.col("graph_id").alias("name"), format_shift("predicted", digits).alias("value"))
+
+
+def unanswered(
+    signatures: DataFrame, table: DataFrame, radius: int = 2, target: str | None = None,
+    min_support: int = 1, conditions: dict[str, str] | None = None,
+) -> DataFrame:
+    """``(name, nodes)``: nodes labelled ``target`` that no level of the table knows, counted by name."""
+    answered = answer_nodes(signatures, table, radius, target, min_support, conditions)
+    return answered.filter("value IS NULL").groupBy("name").agg(F.count(F.lit(1)).alias("nodes"))
 
 
 def predict_values(
     signatures: DataFrame, table: DataFrame, radius: int = 2, target: str | None = None,
     min_support: int = 1, conditions: dict[str, str] | None = None, digits: int = 2,
 ) -> DataFrame:
-    """``(name, value)`` of the nodes labelled ``target``, looked up by their surroundings.
-
-    ``signatures`` comes from :func:`circular_signatures` over the whole graphs and serves
-    several targets. The label is recognised by its own hash ``sig_0``, so no join with the
-    nodes is needed. Nodes no level knows have no value.
-    """
-    wanted = signatures
-    if target is not None:
-        wanted = signatures.filter(F.col("sig_0") == label_signature(target))
-    answered = predict_backoff(wanted, table, signature_levels(radius), min_support, conditions)
-    return answered.filter("predicted IS NOT NULL").select(
-        F.col("graph_id").alias("name"), format_shift("predicted", digits).alias("value")
+    """``(name, value)`` of the nodes labelled ``target`` that have an answer, looked up by their surroundings."""
+    return answer_nodes(signatures, table, radius, target, min_support, conditions, digits).filter("value IS NOT NULL")
+
+
+def dropped_values(answered: DataFrame, axis: str) -> DataFrame:
+    """``(mode, name, reason, values)`` of one spectral mode: answers outside its axis and nodes without one, counted in one pass."""
+    lo, hi, n = preset(axis)
+    outside = F.col("value").isNotNull() & bucket_index("value", lo, hi, n).isNull()
+    counts = answered.groupBy("name").agg(F.count_if(outside).alias("outside"), F.count_if(F.col("value").isNull()).alias("unknown"))
+    both = F.array(
+        F.struct(F.lit("outside axis").alias("reason"), F.col("outside").alias("values")),
+        F.struct(F.lit("without answer").alias("reason"), F.col("unknown").alias("values")),
     )
+    return counts.select(F.lit(axis).alias("mode"), "name", F.inline(both)).filter("values > 0")
 
 
 def signature_levels(radius: int) -> list[list[str]]:

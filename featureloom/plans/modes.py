@@ -5,19 +5,18 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.buckets import preset
 from ..operators.graph import circular_signatures, expand_implicit, notation_to_graph
-from ..operators.histogram import bucket_rejects
-from ..operators.quality import duplicate_report, graph_metrics, graph_rules, run_summary, warnings
+from ..operators.quality import graph_metrics, graph_rules, observed, observed_summary, warnings
 from ..operators.rowgraphs import notation_paths
 from ..session import spread, stage
 from ..sinks.tables import append_log, matrix_path, write_matrix, write_verified
 from .matrices import (
-    distinct_records, fingerprint_matrix, hybrid_matrix, predict_values, spectral_matrix,
-    spectral_vectors, unanswered, verify_table,
+    answer_nodes, distinct_records, dropped_values, fingerprint_matrix, hybrid_matrix, spectral_matrix,
+    spectral_vectors, verify_table,
 )
 
 # The element whose atoms give the values of a spectral mode.
@@ -44,7 +43,7 @@ def build_matrix(
     shifts: dict[str, DataFrame] | None = None, radius: int = 2, min_support: int = 1,
     conditions: dict[str, str] | None = None, n_bits: int = 2048, short_rows: str = "pad",
     keep_unlabelled: bool = False, labels_mode: str = "all", label_kind: str = "auto",
-    multi_line: bool = False,
+    multi_line: bool | str = False,
 ) -> ModeResult:
     """Run one of the modes ``1H``, ``13C``, ``FP`` and ``hybrid`` on a delimited file.
 
@@ -58,33 +57,47 @@ def build_matrix(
     if lacking:
         raise ValueError(f"mode {mode!r} needs reference tables for {lacking}")
 
-    verified = verify_table(spark, path, label, short_rows, multi_line, label_kind)
-    rows = stage(verified.rows, "verified")
-    records = spread(stage(distinct_records(rows), "records"))
+    count = F.count(F.lit(1))
+    nulls = Observation("nulls")
+    verified = verify_table(spark, path, label, short_rows, multi_line, label_kind, nulls)
+    rows, seen = observed(verified.rows, "verified", {"rows": count})
+    rejects, rejected = observed(verified.rejects, "rejects", {"rows": count})
+    first, kept = observed(distinct_records(rows), "records", {"rows": count})
+    records = spread(first)
     labels = rows.select("name", "label", "ord")
     choice = {"labels_mode": labels_mode, "order": ["ord"], "keep_unlabelled": keep_unlabelled}
     notes = dropped = None
+    found = {}
     if mode == "FP":
         words, errors = notation_paths(records, "name", "notation", n_bits=n_bits, dense=False)
+        errors, failed = observed(errors, "errors", {"rows": count})
         valid = records.select("name").join(errors.select("name"), "name", "left_anti")
         matrix = fingerprint_matrix(words, labels, n_bits, keys=valid, **choice)
         width = n_bits
     else:
         nodes, edges, errors = notation_to_graph(records, "name", "notation")
-        names = nodes.filter("node_id = 0").select(F.col("graph_id").alias("name"))
+        errors, failed = observed(errors, "errors", {"rows": count})
+        names = stage(nodes.filter("node_id = 0").select(F.col("graph_id").alias("name")), "names")
         metrics = graph_metrics(nodes, edges).join(
             records.select(F.col("name").alias("graph_id"), "notation"), "graph_id"
         )
         notes = warnings(graph_rules(metrics, F.col("notation").contains(".")), "graph_id")
-        notes = notes.withColumnRenamed("graph_id", "name")
-        signatures = stage(
-            circular_signatures(*expand_implicit(nodes, edges), radius, typed=True), "signatures"
-        )
-        values = {
-            m: predict_values(signatures, shifts[m], radius, TARGETS[m], min_support, conditions)
+        notes, warned = observed(notes.withColumnRenamed("graph_id", "name"), "warnings", {"rows": count})
+        # Every round of the signatures reads both tables: they are expanded once, not once for each use.
+        nodes, edges = (stage(t, "expanded") for t in expand_implicit(nodes, edges))
+        signatures = stage(circular_signatures(nodes, edges, radius, typed=True), "signatures")
+        # Answers are looked up once: they serve the vectors and the report of what is left out.
+        answers = {
+            m: stage(answer_nodes(signatures, shifts[m], radius, TARGETS[m], min_support, conditions), "answers")
             for m in spectral
         }
-        dropped = _dropped(values, signatures, shifts, radius, min_support, conditions)
+        of = lambda reason: F.sum(F.when(F.col("reason") == reason, F.col("values")))
+        dropped, missed = observed(
+            reduce(DataFrame.unionByName, [dropped_values(answers[m], m) for m in spectral]), "dropped",
+            {"outside_axis": of("outside axis"), "without_answer": of("without answer")},
+        )
+        found = {"warnings": warned.get, "dropped": missed.get}
+        values = {m: answers[m].filter("value IS NOT NULL") for m in spectral}
         width = sum(preset(m)[2] for m in spectral)
         if mode == "hybrid":
             sides = [spectral_vectors(values[m], names, m) for m in spectral]
@@ -93,32 +106,11 @@ def build_matrix(
             matrix = spectral_matrix(
                 values[mode], names, labels, mode, **choice
             )
-    count = F.count(F.lit(1))
-    duplicates = duplicate_report(rows, ["name"])
-    stages = {
-        "verified": (rows, {"rows": count}),
-        "rejects": (verified.rejects.select("raw", "found"), {"rows": count}),
-        "duplicates": (duplicates, {"removed": F.max("duplicates")}),
-        "errors": (errors, {"rows": count}),
-        "nulls": (verified.nulls, {"cells": F.coalesce(F.sum("n"), F.lit(0))}),
+    found = {
+        "verified": seen.get, "rejects": rejected.get, "duplicates": {"removed": seen.get["rows"] - kept.get["rows"]},
+        "errors": failed.get, "nulls": {"cells": sum(nulls.get.values())}, **found,
     }
-    if notes is not None:
-        stages["warnings"] = (notes, {"rows": count})
-        of = lambda reason: F.coalesce(F.sum(F.when(F.col("reason") == reason, F.col("values"))), F.lit(0))
-        stages["dropped"] = (dropped, {"outside_axis": of("outside axis"), "without_answer": of("without answer")})
-    return ModeResult(matrix, width, verified.rejects, errors, notes, run_summary(stages), rows, dropped)
-
-
-def _dropped(values, signatures, shifts, radius, min_support, conditions) -> DataFrame:
-    """``(mode, name, reason, values)``: what a spectral mode leaves out of its vectors."""
-    parts = []
-    for mode, found in values.items():
-        lo, hi, n = preset(mode)
-        outside = bucket_rejects(found, "name", "value", lo, hi, n).groupBy("name").agg(F.sum("n").alias("values"))
-        unknown = unanswered(signatures, shifts[mode], radius, TARGETS[mode], min_support, conditions)
-        for table, reason in ((outside, "outside axis"), (unknown.withColumnRenamed("nodes", "values"), "without answer")):
-            parts.append(table.select(F.lit(mode).alias("mode"), "name", F.lit(reason).alias("reason"), "values"))
-    return reduce(DataFrame.unionByName, parts)
+    return ModeResult(matrix, width, rejects, errors, notes, observed_summary(spark, found), rows, dropped)
 
 
 def run_mode(

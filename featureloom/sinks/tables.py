@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import posixpath
 
 from pyspark.sql import DataFrame
@@ -68,13 +69,18 @@ def write_vectors(df: DataFrame, path: str, key: str = "name", mode: str = "erro
 
 
 def append_log(df: DataFrame, path: str, **origin: str) -> str:
-    """Append rows to the table of errors or warnings at ``path``.
+    """Write rows into the table of errors or warnings at ``path``.
 
     ``origin`` adds constant columns, such as the source and the mode of a run, so that the rows
-    of several runs in one table can be told apart.
+    of several runs in one table can be told apart. Rows of one origin have a partition ``run`` of their own: a run that
+    is repeated replaces what it wrote before, also by nothing. Without an origin rows are appended.
     """
     flat = df.select(*[
         F.concat_ws(", ", f.name).alias(f.name) if isinstance(f.dataType, T.ArrayType) else f.name
         for f in df.schema.fields
     ], *[F.lit(value).alias(name) for name, value in origin.items()])
-    return _write(flat, path, "parquet", "append")
+    if not origin:
+        return _write(flat, path, "parquet", "append")
+    run = hashlib.sha256(repr(sorted(origin.items())).encode()).hexdigest()[:16]
+    _write(flat, f"{path.rstrip('/')}/run=r{run}", "parquet", "overwrite")
+    return path

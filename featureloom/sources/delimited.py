@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from ..functions.cells import named
 from .lines import number_lines
+from .records import logical_records
 
 # Candidate separators; a tie goes to the earlier one.
 SEPARATORS = (",", ";", "\t")
@@ -65,12 +66,13 @@ def field_count(raw, sep: str) -> Column:
 
 def read_delimited(
     spark: SparkSession, path: str, sep: str | None = None, names: list[str] | None = None,
-    multi_line: bool = False,
+    multi_line: bool | str = False,
 ) -> DataFrame:
     """All records as strings, plus ``_bad`` (raw text of records of another width) and ``ord``.
 
     ``ord`` orders the records as in the input: file, start of the split, position in it.
-    Quoted fields with line breaks need ``multi_line``, which keeps a file in one task. Every
+    Quoted fields with line breaks need ``multi_line``: ``True`` keeps a file in one task, ``"split"`` finds the
+    records over the splits of a file, see :func:`logical_records`. Every
     file must have the header of the first one (unless ``names`` are given): the scan fails where
     columns stand in another order.
     """
@@ -80,6 +82,8 @@ def read_delimited(
     if len(set(names)) != len(names):
         raise ValueError(f"repeated column names in the header: {names}")
     schema = T.StructType([T.StructField(n, T.StringType()) for n in (*names, BAD)])
+    if multi_line == "split":
+        return _parse_records(logical_records(spark, path, sep), schema, sep, names if same_header else None)
     rows = (
         spark.read.schema(schema)
         .options(sep=sep, header=True, mode="PERMISSIVE", quote='"', escape='"',
@@ -102,6 +106,23 @@ def read_delimited(
     )
 
 
+def _parse_records(records: DataFrame, schema: T.StructType, sep: str, header: list[str] | None) -> DataFrame:
+    """:func:`read_delimited` of logical records; ``ord`` is file and record number. ``header`` is what each first record must be."""
+    options = {"sep": sep, "mode": "PERMISSIVE", "quote": '"', "escape": '"', "columnNameOfCorruptRecord": BAD, "multiLine": "true", "maxCharsPerColumn": "-1"}
+    fields = F.from_csv("value", F.lit(schema.simpleString() if all(n.isidentifier() for n in schema.names) else schema.toDDL()), options)
+    first = F.col("record_no") == 1
+    if header is not None:
+        names = F.split(F.regexp_replace(F.col("value"), r'^\ufeff|"', ""), F.lit("\\" + sep if sep != "\t" else "\\t"))
+        other = first & (names != F.array(*[F.lit(n.replace('"', "")) for n in header]))
+        first = F.when(other, F.raise_error(F.concat(F.lit("another header in "), "file")).cast("boolean")).otherwise(first)
+    rows = records.filter(~first).withColumn("r", fields)
+    r = F.col("r")
+    return rows.select(
+        *[r[n].alias(n) for n in schema.names[:-1]], F.when(r[BAD].isNotNull(), F.col("value")).alias(BAD),
+        F.struct(F.col("file").alias("path"), F.lit(0).cast("bigint").alias("start"), F.col("record_no").alias("id")).alias("ord"),
+    )
+
+
 def split_malformed(
     df: DataFrame, sep: str, short_rows: str = "pad"
 ) -> tuple[DataFrame, DataFrame]:
@@ -127,7 +148,7 @@ def split_malformed(
 
 def malformed_records(
     spark: SparkSession, path: str, sep: str | None = None, expected: int | None = None,
-    short_rows: str = "pad", multi_line: bool = False,
+    short_rows: str = "pad", multi_line: bool | str = False,
 ) -> DataFrame:
     """``(file, record_no, raw, expected, found, kept)`` of every record of another width.
 
@@ -138,6 +159,8 @@ def malformed_records(
     """
     sep = sep or detect_delimiter(spark, path)
     expected = expected or len(expected_columns(spark, path, sep))
+    if multi_line == "split":
+        return _malformed_split(spark, path, sep, expected, short_rows)
     if multi_line:
         return _malformed_logical(spark, path, sep, expected, short_rows)
     found = field_count("value", sep)
@@ -150,6 +173,17 @@ def malformed_records(
     )
 
 
+def _malformed_split(spark: SparkSession, path: str, sep: str, expected: int, short_rows: str) -> DataFrame:
+    """:func:`malformed_records` by logical record, over the splits of every file."""
+    found = field_count(BAD, sep)
+    rows = read_delimited(spark, path, sep, multi_line="split").filter(F.col(BAD).isNotNull())
+    kept = F.lit(short_rows == "pad") & (F.col("found") < expected) & (F.col("found") > 0)
+    return rows.select(
+        F.col("ord")["path"].alias("file"), F.col("ord")["id"].alias("record_no"), F.col(BAD).alias("raw"),
+        F.lit(expected).alias("expected"), found.alias("found"),
+    ).withColumn("kept", kept)
+
+
 def _malformed_logical(
     spark: SparkSession, path: str, sep: str, expected: int, short_rows: str
 ) -> DataFrame:

@@ -78,6 +78,31 @@ def test_summary_and_checks(spark, source):
         build_matrix(spark, source, "FP", label=1)
 
 
+@pytest.mark.parametrize("mode", ["1H", "hybrid", "FP"])
+def test_summary_runs_nothing_again(spark, source, shifts, mode):
+    """The counts come with the stages: reading them scans no table, and side tables are plain scans."""
+    result = build_matrix(spark, source, mode, shifts=shifts)
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    got = {(r.stage, r.metric): r.value for r in result.summary.collect()}
+    assert "Relation" not in plan(result.summary)
+    tables = {"verified": result.verified, "rejects": result.rejects, "errors": result.errors, "warnings": result.warnings}
+    for name, table in tables.items():
+        if table is not None:
+            assert got[name, "rows"] == table.count()
+            assert not any(word in plan(table) for word in ("Join", "Aggregate", "csv", "Generate"))
+    if mode != "FP":
+        assert got["dropped", "without_answer"] == sum(r["values"] for r in result.dropped.collect() if r.reason == "without answer")
+
+
+def test_a_repeated_run_replaces_its_errors(spark, source, tmp_path):
+    for label in (3, 3):
+        run_mode(spark, source, "FP", str(tmp_path), label, write_mode="overwrite")
+    assert [r.name for r in spark.read.parquet(str(tmp_path / "errors")).collect()] == ["bad-1"]
+    clean = put(tmp_path, "n;s;l\na;CCO;1,0\n")
+    run_mode(spark, clean, "FP", str(tmp_path))
+    assert spark.read.parquet(str(tmp_path / "errors")).count() == 1
+
+
 def test_text_labels_reach_the_matrix(spark, tmp_path):
     path = put(tmp_path, "n,s,l\na,CCO,active\nb,CCC,inactive\na,CCO,active\n")
     rows = build_matrix(spark, path, "FP").matrix.collect()
