@@ -99,7 +99,7 @@ def test_a_repeated_run_replaces_its_errors(spark, source, tmp_path):
         run_mode(spark, source, "FP", str(tmp_path), label, write_mode="overwrite")
     assert [r.name for r in spark.read.parquet(str(tmp_path / "errors")).collect()] == ["bad-1"]
     clean = put(tmp_path, "n;s;l\na;CCO;1,0\n")
-    run_mode(spark, clean, "FP", str(tmp_path))
+    run_mode(spark, clean, "FP", str(tmp_path), write_mode="overwrite")
     assert spark.read.parquet(str(tmp_path / "errors")).count() == 1
 
 
