@@ -9,7 +9,7 @@ from .operators.assembly import (
     as_dataframe, attach_labels, expand_copies, fuse, label_column, name_features,
     order_like_files, pad_vectors, ragged_vectors, split_meta, stack_vectors,
 )
-from .operators.backoff import fit_backoff, predict_backoff
+from .operators.backoff import fit_backoff, merge_backoff, predict_backoff
 from .operators.cleaning import (
     clean_keys, decimal_comma_report, drop_incomplete, drop_null_features, fix_decimal_commas,
     null_counts, null_tokens, require_columns, take_columns,

@@ -301,6 +301,14 @@ def backoff_fit(spark, d):
     return B.fit_backoff(_priced_parts(spark, d), _LEVELS, "price")
 
 
+@query(f"WITH {_PART_TABLE} SELECT * FROM fit")
+def backoff_merged(spark, d):
+    """Tables fitted on four fifths and on one fifth of the parts, merged: the table of all parts."""
+    parts = _priced_parts(spark, d)
+    old, new = (B.fit_backoff(parts.filter(rows), _LEVELS, "price", mergeable=True) for rows in ("p_partkey % 5 <> 0", "p_partkey % 5 = 0"))
+    return B.merge_backoff(old, new).drop("total")
+
+
 @query(f"""
 WITH {_PART_TABLE}
 SELECT p_partkey, coalesce(c.mean, b.mean, a.mean) AS predicted, coalesce(c.min, b.min, a.min) AS lo,

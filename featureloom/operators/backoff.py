@@ -16,14 +16,18 @@ def level_key(cols: list[str]) -> Column:
     return F.concat_ws(_SEP, *[F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in cols])
 
 
+_STATS = ("min", "mean", "max", "n", "total")
+
+
 def fit_backoff(
-    train: DataFrame, levels: list[list[str]], value: str, conditions: list[str] = (),
+    train: DataFrame, levels: list[list[str]], value: str, conditions: list[str] = (), mergeable: bool = False,
 ) -> DataFrame:
     """``(…conditions, level, key, min, mean, max, n)`` of the known values.
 
     ``levels`` goes from the coarsest (level 1) to the finest. All levels are counted in one
     pass; the aggregate is partial, so a key shared by many rows costs one row per map task.
-    A decimal value gives a mean that does not depend on the order of summation.
+    A decimal value gives a mean that does not depend on the order of summation. ``mergeable`` adds ``total``, the
+    sum behind the mean, with which :func:`merge_backoff` can take in later rows.
     """
     keys = F.array(*[
         F.struct(F.lit(i).alias("level"), level_key(cols).alias("key"))
@@ -38,6 +42,26 @@ def fit_backoff(
         (total / F.count("__v")).alias("mean"),
         F.max("__v").cast("double").alias("max"),
         F.count("__v").alias("n"),
+        *([F.sum("__v").alias("total")] if mergeable else []),
+    )
+
+
+def merge_backoff(*tables: DataFrame) -> DataFrame:
+    """One table of several that were fitted with ``mergeable`` on parts of the rows, by the same levels and conditions.
+
+    Least and greatest values, counts and sums are folded, and the mean is taken from these. With decimal values the result is,
+    bit for bit, that of one fit on all rows; sums of doubles may differ in their last digits. The result can be
+    merged again.
+    """
+    if not tables or any("total" not in t.columns for t in tables):
+        raise ValueError("tables to be merged must have been fitted with mergeable=True")
+    every = reduce(lambda a, b: a.unionByName(b), tables)
+    keys = [c for c in every.columns if c not in _STATS]
+    kind = every.schema["total"].dataType
+    total = F.sum("total").cast(kind) if isinstance(kind, T.DecimalType) else F.sum("total")
+    return every.groupBy(*keys).agg(
+        F.min("min").alias("min"), (total.cast("double") / F.sum("n")).alias("mean"), F.max("max").alias("max"),
+        F.sum("n").alias("n"), total.alias("total"),
     )
 
 
@@ -55,7 +79,7 @@ def predict_backoff(
     level by level, and the result is joined back once; a hot combination is looked up once
     and its rows sit on the outer side of a left join, which adaptive execution can split.
     """
-    fitted = [c for c in table.columns if c not in ("level", "key", "min", "mean", "max", "n")]
+    fitted = [c for c in table.columns if c not in ("level", "key", *_STATS)]
     if set(fitted) != set(conditions or {}):
         raise ValueError(f"the table was fitted for the conditions {fitted}, given are {sorted(conditions or {})}")
     usable = table.filter(F.col("n") >= min_support)

@@ -120,3 +120,18 @@ def test_conditions_of_the_table_must_be_pinned(spark):
     with pytest.raises(ValueError, match="conditions"):
         predict_backoff(rows, table, [["a"]])
     assert [r.predicted for r in predict_backoff(rows, table, [["a"]], conditions={"c": "q"}).collect()] == [2.0]
+
+
+def test_merged_tables_answer_like_one(spark):
+    from featureloom import merge_backoff, predict_backoff
+
+    rows = [(a, c, v) for a in "xyz" for c in "pq" for v in ("0.10", "0.20", "0.30", None)] + [("x", "p", "9.99")]
+    rows = spark.createDataFrame(rows, "a string, c string, v string").selectExpr("a", "c", "cast(v AS decimal(12,2)) AS v")
+    fit = lambda df: fit_backoff(df, [["a"]], "v", conditions=["c"], mergeable=True)
+    parts = [fit(rows.filter(f)) for f in ("v < 0.2", "v = 0.2", "v > 0.2 AND a = 'x'", "v > 0.2 AND a <> 'x'", "false")]
+    merged = merge_backoff(merge_backoff(*parts[:2]), *parts[2:])
+    assert sorted(map(tuple, merged.select(fit(rows).columns).collect())) == sorted(map(tuple, fit(rows).collect()))
+    one = spark.createDataFrame([("x",)], "a string")
+    assert predict_backoff(one, merged, [["a"]], conditions={"c": "p"}).first().support == 4
+    with pytest.raises(ValueError, match="mergeable"):
+        merge_backoff(fit_backoff(rows, [["a"]], "v"))
