@@ -30,6 +30,9 @@ from .operators.quality import (
     screen_notation, warnings,
 )
 from .operators.rowgraphs import notation_paths
+from .operators.subgraphs import (
+    branched_fingerprint, branched_keys, circular_environments, notation_branched_keys, subgraph_code,
+)
 from .plans.matrices import (
     distinct_records, fingerprint_matrix, hybrid_matrix, predict_values, signature_levels,
     spectral_matrix, spectral_vectors, verify_table,

@@ -9,6 +9,7 @@ from ..operators import backoff as B
 from ..operators import fingerprints as FP
 from ..operators import graph as G
 from ..operators import quality as Q
+from ..operators import subgraphs as SG
 from ..plans.matrices import fingerprint_matrix
 from ..session import spread, stage
 from .common import query, table
@@ -119,11 +120,14 @@ def conversation_graph(spark, d):
 _HALVES = "('0x' || substr(h, 1, 15))::BIGINT AS a, ('0x' || substr(h, 16, 15))::BIGINT AS b"
 
 
-def signature_sql(radius: int, typed: bool = False) -> str:
-    """CTEs ``t``, ``links`` and ``s0 … s<radius>`` with the signatures of every turn."""
+_TURN_GRAPH = """t AS (SELECT conv_id AS g, turn AS n, role AS label FROM conversations),
+links AS (SELECT x.g, x.n AS dst, y.n AS src FROM t x JOIN t y ON x.g = y.g AND abs(x.n - y.n) = 1)"""
+
+
+def signature_sql(radius: int, typed: bool = False, graph: str = _TURN_GRAPH) -> str:
+    """CTEs ``t``, ``links`` and ``s0 … s<radius>`` with the signatures of every node, by default of every turn."""
     parts = [
-        """t AS (SELECT conv_id AS g, turn AS n, role AS label FROM conversations),
-links AS (SELECT x.g, x.n AS dst, y.n AS src FROM t x JOIN t y ON x.g = y.g AND abs(x.n - y.n) = 1)""",
+        graph,
         f"s0 AS (SELECT g, n, h, {_HALVES} FROM (SELECT g, n, md5(label) AS h FROM t))",
     ]
     for r in range(radius):
@@ -198,6 +202,69 @@ def path_fingerprint(spark, d):
     return _bitstring(FP.path_fingerprint(nodes, edges, dense=False), "graph_id")
 
 
+# The graphs of _NOTATION, stated by their sizes: chain atoms first, then the branch, then the ring.
+_PART_GRAPH = f"""pg AS (SELECT p_partkey AS g, {_CHAIN}::BIGINT AS c, {_BRANCH}::BIGINT AS k FROM part),
+t AS (SELECT g, n, CASE WHEN n >= c AND n < c + k THEN 'O' ELSE 'C' END AS label FROM (SELECT *, unnest(range(0, c + k + 6)) AS n FROM pg)),
+bonds AS (SELECT g, i AS a, i + 1 AS b, '-' AS kind FROM (SELECT g, unnest(range(0, c + k - 1)) AS i FROM pg)
+  UNION ALL SELECT g, c - 1, c + k, '-' FROM pg
+  UNION ALL SELECT g, i, i + 1, ':' FROM (SELECT g, unnest(range(c + k, c + k + 5)) AS i FROM pg)
+  UNION ALL SELECT g, c + k, c + k + 5, ':' FROM pg),
+links AS (SELECT g, a AS src, b AS dst FROM bonds UNION ALL SELECT g, b, a FROM bonds)"""
+
+
+def _sets_sql(max_len: int) -> str:
+    """CTEs up to ``codes(graph_id, code)``, one row for each connected set of bonds."""
+    return f"""{_PART_GRAPH},
+e AS (SELECT x.*, a * 1000 + b AS id, p.label AS la, q.label AS lb FROM bonds x JOIN t p ON p.g = x.g AND p.n = x.a JOIN t q ON q.g = x.g AND q.n = x.b),
+s AS (SELECT g, [id] AS ids, list_sort([a, b]) AS ends FROM e
+  UNION SELECT s.g, list_sort(list_append(ids, e.id)), list_sort(list_distinct(list_concat(ends, [e.a, e.b])))
+  FROM s JOIN e ON e.g = s.g WHERE len(ids) < {max_len} AND NOT list_contains(ids, e.id) AND (list_contains(ends, e.a) OR list_contains(ends, e.b))),
+m AS (SELECT u.g, u.ids, e.a, e.b, e.kind, e.la, e.lb, e.id FROM (SELECT g, ids, unnest(ids) AS id FROM s) u JOIN e ON e.g = u.g AND e.id = u.id),
+atom AS (SELECT g, ids, n, any_value(own) || '(' || string_agg(far, ',' ORDER BY far) || ')' AS txt FROM (
+  SELECT g, ids, a AS n, la AS own, kind || lb AS far FROM m UNION ALL SELECT g, ids, b, lb, kind || la FROM m) GROUP BY g, ids, n),
+codes AS (SELECT m.g AS graph_id, string_agg(least(x.txt, y.txt) || kind || greatest(x.txt, y.txt), ';' ORDER BY least(x.txt, y.txt) || kind || greatest(x.txt, y.txt)) AS code
+  FROM m JOIN atom x ON x.g = m.g AND x.ids = m.ids AND x.n = m.a JOIN atom y ON y.g = m.g AND y.ids = m.ids AND y.n = m.b GROUP BY m.g, m.ids)"""
+
+
+@query(f"WITH RECURSIVE {_sets_sql(5)} SELECT graph_id, code, count(*) AS n FROM codes GROUP BY ALL")
+def branched_keys(spark, d):
+    """All connected sets of up to five bonds, grown in the row of a notation."""
+    keys, _, _ = SG.notation_branched_keys(_parts(spark, d, _NOTATION), "p_partkey", "notation", 1, 5)
+    return keys
+
+
+@query(f"WITH RECURSIVE {_sets_sql(3)} SELECT graph_id, code, count(*) AS n FROM codes GROUP BY ALL")
+def branched_keys_tables(spark, d):
+    """The same from node and edge tables, by joins."""
+    nodes, edges, _ = _part_graphs(spark, d)
+    return SG.branched_keys(nodes, edges, 1, 3)
+
+
+@query(f"""
+WITH RECURSIVE {_sets_sql(5)}, {bits_sql("SELECT DISTINCT graph_id, code AS sig FROM codes", "graph_id", 2)} SELECT * FROM prints
+""")
+def branched_fingerprint(spark, d):
+    keys, graphs, _ = SG.notation_branched_keys(_parts(spark, d, _NOTATION), "p_partkey", "notation", 1, 5)
+    return _bitstring(SG.branched_fingerprint(keys, graphs, dense=False), "graph_id")
+
+
+@query(f"""
+WITH {signature_sql(2, graph=_PART_GRAPH)},
+near AS (SELECT g, n, n AS at, 0 AS steps FROM t UNION ALL SELECT g, dst, src, 1 FROM links),
+within AS (SELECT r.g, r.n, x.a, x.b, min(steps) + 1 AS first FROM near r JOIN bonds x ON x.g = r.g AND r.at IN (x.a, x.b) GROUP BY ALL),
+env AS (SELECT w.g, w.n, r AS radius, list_sort(list((a, b)) FILTER (WHERE first <= r)) AS held FROM within w, range(1, 3) o(r) GROUP BY ALL),
+named AS (SELECT v.g, v.radius, v.held, substr(CASE v.radius WHEN 1 THEN s1.h ELSE s2.h END, 1, 30) AS sig
+  FROM env v JOIN s1 ON s1.g = v.g AND s1.n = v.n JOIN s2 ON s2.g = v.g AND s2.n = v.n),
+kept AS (SELECT g, 0 AS radius, substr(h, 1, 30) AS sig FROM s0
+  UNION ALL SELECT g, radius, sig FROM (SELECT *, row_number() OVER (PARTITION BY g, held ORDER BY radius, sig) AS i FROM named) WHERE i = 1)
+SELECT g AS graph_id, radius::INTEGER AS radius, sig, count(*) AS n FROM kept GROUP BY ALL
+""")
+def circular_environments(spark, d):
+    """Surroundings up to radius 2; those over the same bonds are counted once."""
+    nodes, edges, _ = _part_graphs(spark, d)
+    return SG.circular_environments(nodes, edges, 2)
+
+
 @query("""
 WITH RECURSIVE t AS (
   SELECT r_regionkey AS g, 'r' || r_regionkey AS n, r_name AS label FROM region UNION ALL

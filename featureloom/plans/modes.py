@@ -12,6 +12,7 @@ from ..functions.buckets import preset
 from ..operators.graph import circular_signatures, expand_implicit, notation_to_graph
 from ..operators.quality import graph_metrics, graph_rules, observed, observed_summary, warnings
 from ..operators.rowgraphs import notation_paths
+from ..operators.subgraphs import branched_fingerprint, notation_branched_keys
 from ..session import spread, stage
 from ..sinks.tables import append_log, matrix_path, write_matrix, write_verified
 from .matrices import (
@@ -43,12 +44,13 @@ def build_matrix(
     shifts: dict[str, DataFrame] | None = None, radius: int = 2, min_support: int = 1,
     conditions: dict[str, str] | None = None, n_bits: int = 2048, short_rows: str = "pad",
     keep_unlabelled: bool = False, labels_mode: str = "all", label_kind: str = "auto",
-    multi_line: bool | str = False,
+    multi_line: bool | str = False, branched: bool = False,
 ) -> ModeResult:
     """Run one of the modes ``1H``, ``13C``, ``FP`` and ``hybrid`` on a delimited file.
 
     ``label`` is the 1-based label column; its labels are numbers or words. The spectral modes need ``shifts``: per mode the
-    reference table of :func:`fit_backoff` over :func:`signature_levels` of typed signatures.
+    reference table of :func:`fit_backoff` over :func:`signature_levels` of typed signatures. ``branched`` makes the mode ``FP`` of all
+    connected sets of 1 to 7 bonds instead of the unbranched paths among them.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
@@ -69,7 +71,11 @@ def build_matrix(
     notes = dropped = None
     found = {}
     if mode == "FP":
-        words, errors = notation_paths(records, "name", "notation", n_bits=n_bits, dense=False)
+        if branched:
+            keys, valid, errors = notation_branched_keys(records, "name", "notation")
+            words = branched_fingerprint(keys, valid, n_bits, dense=False)
+        else:
+            words, errors = notation_paths(records, "name", "notation", n_bits=n_bits, dense=False)
         errors, failed = observed(errors, "errors", {"rows": count})
         valid = records.select("name").join(errors.select("name"), "name", "left_anti")
         matrix = fingerprint_matrix(words, labels, n_bits, keys=valid, **choice)

@@ -135,3 +135,13 @@ def test_merged_tables_answer_like_one(spark):
     assert predict_backoff(one, merged, [["a"]], conditions={"c": "p"}).first().support == 4
     with pytest.raises(ValueError, match="mergeable"):
         merge_backoff(fit_backoff(rows, [["a"]], "v"))
+
+
+def test_fingerprint_mode_with_branches(spark, tmp_path):
+    """Two molecules with the same paths and other branches, and one that is none."""
+    path = tmp_path / "in.csv"
+    path.write_text("N,S,L\na,CC(C)(C)C,1\nb,C(C)(C)(C)C,2\nc,CC(C)CC,3\nd,C1,4\n")
+    result = build_matrix(spark, str(path), "FP", branched=True)
+    rows = {r.name: tuple(r.features) for r in result.matrix.collect()}
+    assert set(rows) == {"a", "b", "c"} and rows["a"] == rows["b"] != rows["c"]
+    assert [r.name for r in result.errors.collect()] == ["d"]
