@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,15 +27,16 @@ from pyspark.sql import functions as F
 from featureloom.llm.shared import hash_share
 from featureloom.llm.text import blocks
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+_OPENS = re.compile(r"<(?:!--|!\[CDATA\[|[!?]|(/?)([a-zA-Z][^\s/>]*))")
+_ENDS = re.compile(r">|=\s*([\"'])")
 _NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 # Element names by their role in HTML: fixed values.
 VOID = set("area base br col embed hr img input link meta source track wbr".split())
 RAW = set("script style textarea title xmp iframe noembed noframes".split())
-SKIP = set("script style textarea title head noscript template iframe svg math canvas object audio video button select option datalist dialog xmp noembed noframes".split())
+SKIP = set("script style textarea title head noscript template iframe svg canvas object audio video button select option datalist xmp noembed noframes".split())
 IN_HEAD = set("base basefont bgsound link meta noscript script style template title".split())
-INLINE = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q ruby rp rt s samp small span strike strong sub sup time tt u var wbr".split())
+INLINE = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q ruby rp rt s samp small span strike strong sub sup time tt u var wbr math mi mn mo ms mtext mrow mfrac msqrt mroot msub msup msubsup munder mover munderover".split())
 CLOSES_P = set("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 HOLDS = set("ul ol menu dl table tbody thead tfoot select".split())
@@ -54,10 +56,105 @@ class Page:
     inputs: list[int]  # fields and buttons of each node
 
 
+class _Tags:
+    """Tags of a page one after the other, in time linear in the page.
+
+    A quote opens a value only after ``=``; elsewhere it is a character of the tag. Where a value is never closed, tags
+    end at the next ``>`` from there on, so no later tag searches the rest of the page again. A ``<`` without any ``>`` behind it is text.
+    """
+
+    def __init__(self, source: str):
+        self.source = source
+        self.loose = False
+
+    def _end(self, at: int) -> int:
+        """Place of the ``>`` that ends the tag, or -1."""
+        i = at
+        while not self.loose:
+            m = _ENDS.search(self.source, i)
+            if m and not m[1]:
+                return m.start()
+            i = self.source.find(m[1], m.end()) + 1 if m else 0
+            self.loose = i == 0
+        return self.source.find(">", at)
+
+    def after(self, at: int) -> tuple[int, int, bool, str, str] | None:
+        """``(start, end, closes, name, attributes)`` of the next tag; comments and declarations have no name."""
+        m = _OPENS.search(self.source, at)
+        if not m:
+            return None
+        if m[2]:
+            end = self._end(m.end())
+        else:
+            mark = {"<!--": "-->", "<![CDATA[": "]]>"}.get(m[0], ">")
+            end = self.source.find(mark, m.end())
+            if end < 0 and mark != ">":
+                return m.start(), len(self.source), False, "", ""
+            end += len(mark) - 1 if end >= 0 else 0
+        if end < 0:
+            return None
+        return m.start(), end + 1, m[1] == "/", (m[2] or "").lower(), self.source[m.end() : end] if m[2] else ""
+
+
+class _Open:
+    """Open elements. Counts by name tell in one step that an end tag or an implied end has nothing to close."""
+
+    def __init__(self):
+        self.stack = [("#root", 0)]  # names and the node each belongs to
+        self.blocks = [0]  # depths of those that are not inline
+        self.named = defaultdict(int)
+        self.inline = [defaultdict(int)]  # inline elements since the last block
+        self.held = [defaultdict(int)]  # all elements since the last one that holds items of its own
+
+    def push(self, name: str, node: int) -> None:
+        if name in INLINE:
+            self.inline[-1][name] += 1
+        else:
+            self.blocks.append(len(self.stack))
+            self.inline.append(defaultdict(int))
+        if name in HOLDS:
+            self.held.append(defaultdict(int))
+        else:
+            self.held[-1][name] += 1
+        self.named[name] += 1
+        self.stack.append((name, node))
+
+    def pop(self) -> str:
+        name, _ = self.stack.pop()
+        self.named[name] -= 1
+        if name in HOLDS:
+            self.held.pop()
+        else:
+            self.held[-1][name] -= 1
+        if name in INLINE:
+            self.inline[-1][name] -= 1
+        else:
+            self.blocks.pop()
+            self.inline.pop()
+        return name
+
+    def deepest(self, names: set[str]) -> int:
+        """Depth of the innermost of ``names``; called only where one of them is open."""
+        return next(d for d in range(len(self.stack) - 1, 0, -1) if self.stack[d][0] in names)
+
+    def closed_by(self, name: str) -> int | None:
+        """Depth of what the end tag ``name`` closes; an inline one closes nothing beyond the block around it."""
+        count = self.inline[-1] if name in INLINE else self.named
+        return self.deepest({name}) if count[name] else None
+
+    def ended_by(self, name: str) -> int | None:
+        """Depth of what the start tag ``name`` ends without an end tag: paragraphs and items of the same list."""
+        if name in SAME:
+            return self.deepest(SAME[name]) if any(self.held[-1][x] for x in SAME[name]) else None
+        block = self.blocks[-1]
+        return block if name in CLOSES_P and self.stack[block][0] == "p" else None
+
+
 def parse(source: str) -> Page:
-    """Block nodes (0 is the root) and blocks of text in page order; never fails."""
+    """Block nodes (0 is the root) and blocks of text in page order; never fails, in time linear in the page."""
     page = Page(["#root"], [-1], [""], [], [0])
-    stack = [("#root", 0)]  # open elements and the node each belongs to
+    tags, open_ = _Tags(source), _Open()
+    stack = open_.stack
     skipping = links = 0
     pieces: list[str] = []
     linked = 0
@@ -72,47 +169,34 @@ def parse(source: str) -> Page:
             pieces.clear()
         linked = 0
 
-    def leave() -> None:
+    def close_to(depth: int | None) -> None:
         nonlocal skipping, links
-        name, _ = stack[-1]
-        if name not in INLINE:
-            flush()
-        stack.pop()
-        skipping -= name in SKIP
-        links -= name == "a"
-
-    def close_to(depth: int) -> None:
-        while len(stack) > depth:
-            leave()
+        while depth is not None and len(stack) > depth:
+            if stack[-1][0] not in INLINE:
+                flush()
+            name = open_.pop()
+            skipping -= name in SKIP
+            links -= name == "a"
 
     while at < end:
-        m = _TAG.search(source, at)
-        text = source[at : m.start() if m else end]
+        tag = tags.after(at)
+        text = source[at : tag[0] if tag else end]
         if stack[-1][0] == "head" and text.strip():
             close_to(len(stack) - 1)  # its end tag may be left out
         if text and not skipping:
             pieces.append(text)
             linked += len(text) if links else 0
-        if not m:
+        if not tag:
             break
-        at = m.end()
-        if not m[2]:
+        _, at, closes, name, attrs = tag
+        if not name:
             continue
-        name = m[2].lower()
-        if m[1]:
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth][0] == name:
-                    close_to(depth)
-                    break
-                if name in INLINE and stack[depth][0] not in INLINE:
-                    break
+        if closes:
+            close_to(open_.closed_by(name))
             continue
-        if name == "body" or (stack[-1][0] == "head" and name not in IN_HEAD):
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth][0] == "head":
-                    close_to(depth)
-                    break
-        if name in ("input", "select", "textarea", "button") and not skipping and "hidden" not in (m[3] or "").lower():
+        if (name == "body" and open_.named["head"]) or (stack[-1][0] == "head" and name not in IN_HEAD):
+            close_to(open_.deepest({"head"}))
+        if name in ("input", "select", "textarea", "button") and not skipping and "hidden" not in attrs.lower():
             page.inputs[stack[-1][1]] += 1
         if name in VOID:
             if not skipping:
@@ -120,30 +204,23 @@ def parse(source: str) -> Page:
                     flush()
                 pieces.append(" ")
             continue
-        if name in CLOSES_P or name in SAME:
-            for depth in range(len(stack) - 1, 0, -1):
-                open_ = stack[depth][0]
-                if (name in CLOSES_P and open_ == "p") or open_ in SAME.get(name, ()):
-                    close_to(depth)
-                    break
-                if open_ in HOLDS or (open_ not in INLINE and open_ != "p" and name not in SAME):
-                    break
+        close_to(open_.ended_by(name))
         if name not in INLINE:
             flush()
         node = stack[-1][1]
         if name not in INLINE and not skipping and name not in SKIP:
             page.tag.append(name)
             page.parent.append(node)
-            page.attrs.append(m[3] or "")
+            page.attrs.append(attrs)
             page.inputs.append(0)
             node = len(page.tag) - 1
-        stack.append((name, node))
+        open_.push(name, node)
         skipping += name in SKIP
         links += name == "a"
-        if name in RAW and not (m[3] or "").rstrip().endswith("/"):
-            stop = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(source, at)
-            leave()
-            at = stop.end() if stop else end
+        if name in RAW and not attrs.rstrip().endswith("/"):
+            stop = re.compile(rf"</{re.escape(name)}(?=[\s/>])", re.I).search(source, at)
+            close_to(len(stack) - 1)
+            at = (source.find(">", stop.end()) + 1 or end) if stop else end
     close_to(1)
     flush()
     return page

@@ -1,5 +1,7 @@
 """The trained operators: held-out accuracy, odd rows, and the parts that can be stated exactly."""
 
+import time
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -203,3 +205,50 @@ def test_pages_of_odd_rows(spark):
     assert text[1] == text[2] == "" and text[3] == text[None] and got.count() == 6
     assert len(text[4]) == len("many words " * 60_000) - 1
     assert htmltext.extract_text(pages.limit(0)).count() == 0
+
+
+def test_quotes_outside_of_values():
+    texts = lambda s: [t for _, t, _ in htmltext.parse(s).blocks]
+    assert texts('<article><p class=x">Hello there</p></article>') == ["Hello there"]
+    assert texts('<p title="it is 5" tall">Hello</p><p>you</p>') == ["Hello", "you"]
+    assert texts("<p a=\"x>y\" b = 'it>s'>k</p>") == ["k"]
+    assert texts('<p t="never closed>one</p><p u="x">two</p>') == ["one", "two"]
+    assert texts("a <b and 2 < 3") == ["a <b and 2 < 3"]
+    assert texts("one<!-- <p>x</p> --><p>two<!-- open <p>three") == ["one", "two"]
+    assert htmltext.parse("").blocks == htmltext.parse("<").blocks[:0] == []
+
+
+@pytest.mark.parametrize("begin,after", [
+    ("<a ", ""), ('<a x="', ""), ("<a x='>", ""), ("</script ", ""), ("<script></script ", ""), ("<div>", ""), ("<div>", "</x>"),
+    ("<b>", "<div></div>"), ("<div>", "<li></li>"), ("<i><div><b>", "</i>"),
+])
+def test_parsing_is_linear(begin, after):
+    """A page of 1 MB; what is quadratic would take minutes to hours."""
+    n = 1_000_000 // len(begin + after)
+    start = time.perf_counter()
+    htmltext.parse(begin * n + after * n)
+    assert time.perf_counter() - start < 20
+
+
+GOLD = {
+    '<html><head><title>t</title><body><div class=nav"><a href=/a>Home</a> <a href=/b>News</a></div><article><h1 class=x">The river</h1>'
+    '<p title="it is 5" tall">The river rises in the hills and flows west, past two towns, before it meets the sea near the old harbour.</p>'
+    "<p>It is deep, and ships of all kinds have used it for many centuries, as the records tell.</p></article><footer>Copyright 2020</footer>":
+    ["The river", "The river rises in the hills and flows west, past two towns, before it meets the sea near the old harbour.",
+     "It is deep, and ships of all kinds have used it for many centuries, as the records tell."],
+    "<html><body><nav><ul><li><a href=/>Home</a><li><a href=/x>Topics</a></ul></nav><article><p>The area of the disc is <math><mi>A</mi><mo>=</mo>"
+    "<mi>p</mi></math> where the radius is known, as the ancient writers found out long ago.</p><p>A second paragraph says where the rule was first "
+    "written down, and who read it afterwards.</p></article></body></html>":
+    ["The area of the disc is A=p where the radius is known, as the ancient writers found out long ago.",
+     "A second paragraph says where the rule was first written down, and who read it afterwards."],
+    '<body><div id="menu"><a href=1>One</a><a href=2>Two</a><a href=3>Three</a></div><div id="content"><p>Bees carry pollen from flower to flower, '
+    "and many crops depend on them for their harvest each year.</p><p>Where meadows disappear, the number of bees falls, and farmers have to bring "
+    'hives from far away.</p></div><div class="sidebar"><a href=5>Related</a></div><form><input name=q><button>Search</button></form></body>':
+    ["Bees carry pollen from flower to flower, and many crops depend on them for their harvest each year.",
+     "Where meadows disappear, the number of bees falls, and farmers have to bring hives from far away."],
+}
+
+
+@pytest.mark.parametrize("source", GOLD)
+def test_pages_written_by_hand(forest, source):
+    assert htmltext.main_text(source, forest).split("\n") == GOLD[source]
