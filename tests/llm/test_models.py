@@ -212,7 +212,8 @@ def test_quotes_outside_of_values():
     assert texts('<article><p class=x">Hello there</p></article>') == ["Hello there"]
     assert texts('<p title="it is 5" tall">Hello</p><p>you</p>') == ["Hello", "you"]
     assert texts("<p a=\"x>y\" b = 'it>s'>k</p>") == ["k"]
-    assert texts('<p t="never closed>one</p><p u="x">two</p>') == ["one", "two"]
+    assert texts('<p t="never closed>one</p><p>two</p>') == ["one", "two"]
+    assert texts('<p t="closed by the next>one</p><p u="x">two</p>') == ["two"]  # as HTML has it: the value ends at the next quote
     assert texts("a <b and 2 < 3") == ["a <b and 2 < 3"]
     assert texts("one<!-- <p>x</p> --><p>two<!-- open <p>three") == ["one", "two"]
     assert htmltext.parse("").blocks == htmltext.parse("<").blocks[:0] == []
