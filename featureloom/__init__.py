@@ -17,6 +17,7 @@ from .operators.cleaning import (
 from .operators.fingerprints import (
     circular_fingerprint, fold_bits, ngram_fingerprint, path_fingerprint, path_keys,
 )
+from .operators.fragments import graph_fragments, node_fragments
 from .operators.graph import (
     both_directions, circular_signatures, expand_implicit, label_signature, notation_to_graph,
     select_nodes,

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.vectors import words_to_bitstring
 from ..operators import backoff as B
 from ..operators import fingerprints as FP
+from ..operators import fragments as FR
 from ..operators import graph as G
 from ..operators import quality as Q
 from ..operators import subgraphs as SG
@@ -202,6 +203,18 @@ def path_fingerprint(spark, d):
     return _bitstring(FP.path_fingerprint(nodes, edges, dense=False), "graph_id")
 
 
+@query("""
+WITH RECURSIVE t AS (SELECT conv_id AS g, turn AS n FROM conversations),
+links AS (SELECT x.g, x.n AS a, y.n AS b FROM t x JOIN t y ON x.g = y.g AND abs(x.n - y.n) = 1 WHERE least(x.n, y.n) % 3 <> 0),
+r AS (SELECT g, n, n AS top FROM t UNION SELECT r.g, l.b, r.top FROM r JOIN links l ON l.g = r.g AND l.a = r.n)
+SELECT g AS graph_id, count(*) AS fragments FROM (SELECT g, n FROM r GROUP BY g, n HAVING min(top) = n) GROUP BY g
+""")
+def graph_fragments(spark, d):
+    """Parts of every conversation with each third link removed."""
+    nodes, edges = conversation_graph(spark, d)
+    return FR.graph_fragments(nodes, edges.filter(F.least("src", "dst") % 3 != 0))
+
+
 # The graphs of _NOTATION, stated by their sizes: chain atoms first, then the branch, then the ring.
 _PART_GRAPH = f"""pg AS (SELECT p_partkey AS g, {_CHAIN}::BIGINT AS c, {_BRANCH}::BIGINT AS k FROM part),
 t AS (SELECT g, n, CASE WHEN n >= c AND n < c + k THEN 'O' ELSE 'C' END AS label FROM (SELECT *, unnest(range(0, c + k + 6)) AS n FROM pg)),
