@@ -44,5 +44,6 @@ from .sinks.tables import append_log, write_matrix, write_vectors, write_verifie
 from .sources.delimited import (
     detect_delimiter, expected_columns, malformed_records, read_delimited, split_malformed,
 )
+from .sources.dialects import file_dialects, read_dialects
 from .sources.records import logical_records
 from .sources.vectors import read_vector_values, read_vectors

@@ -10,6 +10,7 @@ from ..plans.matrices import distinct_records, verify_table
 from ..session import scratch_dir
 from ..sources.delimited import malformed_records
 from ..sources.vectors import read_vectors
+from ..sources.dialects import read_dialects
 from .common import joined, query, table
 
 # Customers as semicolon text with decimal commas. Building customers get an extra field,
@@ -75,3 +76,22 @@ def vector_files(spark, d):
     )
     found, _ = read_vectors(spark, path, 200, r"name=([^/]+)/[^/]+\.csv$")
     return found.select("name", joined().alias("features"))
+
+
+_NAME = """c_name || ';"' || c_mktsegment || '", ' || c_nationkey"""
+
+
+@query(f"""
+SELECT c_custkey AS id, {_NAME} AS name, c_mktsegment AS segment, c_acctbal AS balance, c_custkey % 2 = 0 AS semicolons FROM customer
+""")
+def mixed_dialects(spark, d):
+    """One folder, files of semicolons and of commas with the columns in two orders, read by header name."""
+    path = scratch_dir(spark, "dialects")
+    rows = table(spark, d, "customer").select(
+        F.col("c_custkey").alias("id"), F.expr(_NAME).alias("name"), F.col("c_mktsegment").alias("segment"), F.col("c_acctbal").alias("balance"))
+    write = lambda df, sep: df.write.mode("append").options(header=True, sep=sep, escape='"').csv(path)
+    write(rows.filter("id % 2 = 0"), ";")
+    write(rows.filter("id % 2 = 1").select("balance", "segment", "id", "name"), ",")
+    good, _ = read_dialects(spark, path, names=["id", "name", "segment", "balance"])
+    return good.select(
+        F.col("id").cast("bigint").alias("id"), "name", "segment", F.col("balance").cast("double").alias("balance"), (F.col("sep") == ";").alias("semicolons"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.buckets import bucket_index, preset
-from ..functions.cells import format_shift, named, to_double
+from ..functions.cells import fix_decimal_comma, format_shift, named, to_double
 from ..functions.vectors import words_to_vector
 from ..operators.assembly import attach_labels, fuse, label_column
 from ..operators.backoff import predict_backoff
@@ -19,6 +19,7 @@ from ..operators.graph import label_signature
 from ..operators.histogram import bucketize
 from ..operators.quality import dedup_keep_first
 from ..sources.delimited import detect_delimiter, read_delimited, split_malformed
+from ..sources.dialects import file_dialects, read_dialects
 
 
 @dataclass
@@ -34,22 +35,34 @@ class Verified:
 def verify_table(
     spark: SparkSession, path: str, label: int = 3, short_rows: str = "pad",
     multi_line: bool | str = False, label_kind: str = "auto", watch: Observation | None = None,
+    dialects: bool = False,
 ) -> Verified:
     """Read, repair and clean a delimited table of name, notation and label.
 
     Labels may be numbers or words. ``label_kind`` is ``number``, ``text`` or ``auto``: numbers if every
     label is one, which takes a look at all labels. ``watch`` counts the nulls of each column, under its position,
-    while the rows are read.
+    while the rows are read. With ``dialects`` every file has its own separator and order of columns
+    (:func:`read_dialects`); decimal commas are repaired in files of semicolons, and ``separator`` names all that occur.
     """
     if label_kind not in ("auto", "number", "text"):
         raise ValueError(f"label_kind must be 'auto', 'number' or 'text', not {label_kind!r}")
-    sep = detect_delimiter(spark, path)
-    raw = read_delimited(spark, path, sep, multi_line=multi_line)
-    good, rejects = split_malformed(raw, sep, short_rows)
-    data = take_columns(good.drop("ord"), 3).columns
-    table = null_tokens(good.select(*map(named, data), "ord"))
-    if sep == ";":
-        table = fix_decimal_commas(table, data)
+    if dialects and multi_line:
+        raise ValueError("files of several dialects are read line by line")
+    if dialects:
+        sep = "".join(sorted(r.sep for r in file_dialects(spark, path).select("sep").distinct().collect()))
+        good, rejects = read_dialects(spark, path, short_rows=short_rows)
+        data = take_columns(good.drop("ord", "sep"), 3).columns
+        table = null_tokens(good.select(*map(named, data), "ord", "sep"), data)
+        fixed = [F.when(F.col("sep") == ";", fix_decimal_comma(named(c))).otherwise(named(c)).alias(c) for c in data]
+        table = table.select(*fixed, "ord")
+    else:
+        sep = detect_delimiter(spark, path)
+        raw = read_delimited(spark, path, sep, multi_line=multi_line)
+        good, rejects = split_malformed(raw, sep, short_rows)
+        data = take_columns(good.drop("ord"), 3).columns
+        table = null_tokens(good.select(*map(named, data), "ord"))
+        if sep == ";":
+            table = fix_decimal_commas(table, data)
     table = clean_keys(table, data[0])
     target = label_column(take_columns(table, len(data)), label)
     full, nulls = drop_incomplete(table)
