@@ -23,7 +23,8 @@ from .operators.graph import (
     select_nodes,
 )
 from .operators.histogram import (
-    bucket_rejects, bucket_summary, bucketize, sparse_histogram, vector_long,
+    bucket_rejects, bucket_summary, bucketize, chunk_values, chunks, long_positions, sparse_histogram,
+    vector_long,
 )
 from .operators.quality import (
     dedup_keep_first, degenerate_keys, duplicate_report, failed_keys, flag_rules,
@@ -40,7 +41,10 @@ from .plans.matrices import (
 )
 from .plans.modes import MODES, build_matrix, run_mode
 from .session import build_session, drop_staged, spread, stage
-from .sinks.tables import append_log, write_matrix, write_vectors, write_verified
+from .sinks.bucketed import (
+    attach_bucketed, drop_bucketed, fuse_bucketed, write_bucketed, write_bucketed_labels,
+)
+from .sinks.tables import append_log, write_chunks, write_matrix, write_vectors, write_verified
 from .sources.delimited import (
     detect_delimiter, expected_columns, malformed_records, read_delimited, split_malformed,
 )

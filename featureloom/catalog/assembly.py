@@ -11,6 +11,7 @@ from ..operators import histogram as H
 from ..functions.cells import clean_key
 from ..plans.matrices import spectral_matrix
 from ..session import scratch_dir, stage
+from ..sinks.bucketed import fuse_bucketed, write_bucketed, write_bucketed_labels
 from ..sinks.tables import write_matrix
 from .buckets import HI, IN_RANGE, LO, N, RANGES
 from .common import joined, query, table
@@ -141,6 +142,20 @@ def hybrid_expanded(spark, d):
     return J.expand_copies(fused.select("name", "label", joined().alias("features"), "copies"))
 
 
+@query(f"""
+WITH h AS ({_labelled_sql('click')}), c AS ({_labelled_sql('view')})
+SELECT h.name, h.label, h.features || ',' || c.features AS features, count(*) AS copies
+FROM h JOIN c ON h.name IS NOT DISTINCT FROM c.name AND h.label IS NOT DISTINCT FROM c.label GROUP BY ALL
+""")
+def hybrid_bucketed(spark, d):
+    """The same fusion from tables bucketed by name: vectors and labels are dealt once, when written, and joined without an exchange."""
+    click, view = (write_bucketed(user_vectors(spark, d, kind)) for kind in ("click", "view"))
+    orders = table(spark, d, "orders").select("o_custkey", F.expr("nullif(o_orderpriority, '5-LOW')").alias("priority"))
+    labels = write_bucketed_labels(orders, "o_custkey", "priority")
+    fused = fuse_bucketed(click, view, labels=labels, keep_unlabelled=True)
+    return fused.select("name", "label", joined().alias("features"), "copies")
+
+
 @query("""
 SELECT l_orderkey, l_linenumber, l_quantity || ',' || l_extendedprice || ',' || l_discount || ',' || l_tax AS features FROM lineitem
 """)

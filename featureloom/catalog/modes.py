@@ -10,7 +10,7 @@ from ..operators.histogram import long_positions
 from ..plans.matrices import signature_levels, verify_table
 from ..plans.modes import build_matrix, run_mode
 from ..session import scratch_dir, stage
-from ..sinks.tables import write_vectors
+from ..sinks.tables import write_chunks, write_vectors
 from ..sources.delimited import malformed_records, read_delimited, split_malformed
 from .common import joined, query, table
 from .graphs import _BRANCH, _CHAIN, _NOTATION
@@ -172,3 +172,16 @@ SELECT CAST(user_id AS VARCHAR) AS name, row_number() OVER (PARTITION BY user_id
 def long_vectors_whole(spark, d):
     """Vectors as a long table, every event of every user."""
     return _long(spark, d)
+
+
+@query("""
+WITH f AS (SELECT CAST(user_id AS VARCHAR) AS name, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS pos, value FROM events)
+SELECT name, pos // 64 * 64 AS start, count(*) AS n, array_to_string(list(coalesce(CAST(CAST(round(value * 1000) AS BIGINT) AS VARCHAR), '-') ORDER BY pos), ',') AS vals
+FROM f GROUP BY name, pos // 64
+""")
+def chunked_vectors(spark, d):
+    """All events of each user as a vector in chunks of 64 values, written and read again."""
+    events = table(spark, d, "events").select(F.col("user_id").cast("string").alias("name"), "event_id", "value")
+    path = write_chunks(long_positions(events, "name", "event_id", "value"), scratch_dir(spark, "chunks"), length=64)
+    text = F.transform("values", lambda v: F.coalesce(F.round(v * 1000).cast("bigint").cast("string"), F.lit("-")))
+    return spark.read.parquet(path).select("name", "start", F.size("values").cast("bigint").alias("n"), F.array_join(text, ",").alias("vals"))

@@ -83,6 +83,27 @@ def vector_long(df: DataFrame, key: str, features: str = "features") -> DataFram
     return df.select(key, F.posexplode(features).alias("pos", "value"))
 
 
+def chunks(long: DataFrame, key: str, length: int = 1024) -> DataFrame:
+    """``(key, start, values)`` of long rows ``(key, pos, value)``: values in the order of ``pos``, at most ``length`` a row."""
+    if length < 1:
+        raise ValueError(f"length must be 1 or more, not {length}")
+    start = (F.col("pos") - F.pmod("pos", F.lit(length))).cast("bigint").alias("start")
+    rows = long.groupBy(key, start).agg(F.sort_array(F.collect_list(F.struct("pos", "value"))).alias("__v"))
+    return rows.select(key, "start", F.transform("__v", lambda v: v["value"]).alias("values"))
+
+
+def chunk_values(chunked: DataFrame, key: str, first: int = 0, last: int | None = None) -> DataFrame:
+    """``(key, pos, value)`` of the positions ``first`` to ``last`` (inclusive; default: all) of every vector in chunks.
+
+    Rows of other positions are left out by ``start``, which the scan of a written table sees.
+    """
+    rows = chunked if last is None else chunked.filter(F.col("start") <= last)
+    rows = rows.filter(F.col("start") + F.size("values") > first)
+    long = rows.select(key, "start", F.posexplode("values").alias("__i", "value"))
+    long = long.select(key, (F.col("start") + F.col("__i")).alias("pos"), "value")
+    return long.filter(F.col("pos") >= first) if last is None else long.filter(F.col("pos").between(first, last))
+
+
 def long_positions(df: DataFrame, key: str, order: str, value: str) -> DataFrame:
     """``(key, pos, value)`` of every row, numbered from 0 within its key by ``order``.
 

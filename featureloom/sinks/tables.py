@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.assembly import expand_copies, name_features, order_like_files
-from ..operators.histogram import vector_long
+from ..operators.histogram import chunks, vector_long
 
 
 def _stem(path: str) -> str:
@@ -68,6 +68,16 @@ def write_vectors(df: DataFrame, path: str, key: str = "name", mode: str = "erro
     return _write(long.select(key, "pos", "value"), path, "parquet", mode)
 
 
+def write_chunks(df: DataFrame, path: str, key: str = "name", length: int = 1024, mode: str = "errorifexists") -> str:
+    """Vectors as rows ``(key, start, values)`` of at most ``length`` values, whatever their length.
+
+    ``df`` is long (``key``, ``pos``, ``value``, positions without gaps, see :func:`long_positions`) or has vectors. A chunk, not a
+    vector, is what a task gathers, so the chunks of a vector that holds a third of all values lie in many tasks. A null
+    value keeps its place; an empty vector has no row.
+    """
+    return _write(chunks(df if {"pos", "value"} <= set(df.columns) else vector_long(df, key), key, length), path, "parquet", mode)
+
+
 def append_log(df: DataFrame, path: str, **origin: str) -> str:
     """Write rows into the table of errors or warnings at ``path``.
 
