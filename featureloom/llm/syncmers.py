@@ -79,22 +79,19 @@ def likeness(a: str, b: str) -> Column:
 
 
 def neighbours(ids: DataFrame) -> DataFrame:
-    """``(o, n, th, prev_o, prev_n)`` of distinct ids ``(o, n, th)`` in ascending order, the first behind the last.
+    """Distinct ids ``(o, n, th, mth)`` with ``prev_o``, ``prev_n``, ``prev_th``, ``prev_mth`` of the id before, the first behind the last.
 
     Ids are dealt to ranges and written, so that a range keeps its number; within a range a window
     gives the id before, and a table with one row for each range that before its first.
     """
     ranged = staged(ids.repartitionByRange(partitions(ids), "o").withColumn("r", F.spark_partition_id()), "id-ranges")
-    inside = Window.partitionBy("r").orderBy("o")
-    rows = ranged.withColumn("prev_o", F.lag("o").over(inside)).withColumn("prev_n", F.lag("n").over(inside))
-    ends = ranged.groupBy("r").agg(F.max("o").alias("last_o"), F.max_by("n", "o").alias("last_n"))
+    one = F.struct("o", "n", "th", "mth")
+    rows = ranged.withColumn("prev", F.lag(one).over(Window.partitionBy("r").orderBy("o")))
+    ends = ranged.groupBy("r").agg(F.max_by(one, "o").alias("last"))
     along, all_ = Window.orderBy("r"), Window.orderBy("r").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    ends = ends.select(
-        "r", F.coalesce(F.lag("last_o").over(along), F.last("last_o").over(all_)).alias("before_o"),
-        F.coalesce(F.lag("last_n").over(along), F.last("last_n").over(all_)).alias("before_n"),
-    )
-    rows = rows.join(F.broadcast(ends), "r")  # as many rows as shuffle partitions
-    return rows.select("o", "n", "th", F.coalesce("prev_o", "before_o").alias("prev_o"), F.coalesce("prev_n", "before_n").alias("prev_n"))
+    ends = ends.select("r", F.coalesce(F.lag("last").over(along), F.last("last").over(all_)).alias("before"))
+    rows = rows.join(F.broadcast(ends), "r").withColumn("prev", F.coalesce("prev", "before"))  # as many rows as shuffle partitions
+    return rows.select("o", "n", "th", "mth", *[F.col("prev")[c].alias(f"prev_{c}") for c in ("o", "n", "th", "mth")])
 
 
 def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -110,21 +107,27 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     base = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(FIRST)).alias("o"), whole_text(text_col).alias("t"))
     base = base.withColumn("th", F.xxhash64("t")).withColumn("n", F.length("t"))
-    ids = base.groupBy("o").agg(F.max("n").alias("n"), F.min("th").alias("th"))
-    near = neighbours(ids).select("o", "prev_o", "prev_n", F.col("n").alias("most"), F.col("th").alias("least_th"))
-    # Sketches are made once, beside the texts, and written; the texts are dealt by id alone, and one exchange
-    # of them serves both joins, which need the same columns of it.
+    ids = base.groupBy("o").agg(F.max("n").alias("n"), F.min("th").alias("th"), F.max("th").alias("mth"))
+    near = neighbours(ids).select("o", "prev_o", "prev_n", "prev_th", "prev_mth", F.col("n").alias("most"), "th")
+    # Sketches are made once, beside the texts, and written. Texts are dealt by (id, hash), so the texts of an id that
+    # very many rows have lie in many tasks; one exchange of them serves all joins, which need the same columns of it.
     sketches = staged(with_sketch(base, "t", "f").select("o", "th", "f"), "sketches").dropDuplicates(["o", "th"])
-    same_text = lambda a, b: F.col(a).bitwiseXOR(F.col(b)) == 0  # noqa: E731  not a key of the join
-    near = near.join(sketches.select("o", F.col("th").alias("least_th"), F.col("f").alias("next_f")), ["o", "least_th"])
-    texts = base.repartition(partitions(docs), "o")
-    given = texts.join(near, "o").where(same_text("th", "least_th") & (F.col("n") <= F.col("most")))
-    given = given.select(F.col("prev_o").alias("o"), F.substring("t", F.lit(1), F.floor(F.col("prev_n") / 2).cast("int")).alias("head"), "next_f")
-    given = given.dropDuplicates(["o"])
-    own = sketches.select("o", F.col("th").alias("own_th"), "f")
+    near = near.join(sketches.withColumnRenamed("f", "next_f"), ["o", "th"])
+    texts = base.repartition(partitions(docs), "o", "th")
+    given = texts.join(near, ["o", "th"]).where(F.col("n") <= F.col("most"))
+    given = given.select(
+        F.col("prev_o").alias("o"), F.col("prev_th").alias("th"), "prev_mth", F.substring("t", F.lit(1), F.floor(F.col("prev_n") / 2).cast("int")).alias("head"), "next_f")
     half = F.floor(F.col("n") / 2).cast("int")
-    rows = texts.join(given, "o").join(own, "o").where(same_text("th", "own_th"))
+    # An id with one text gets the head of the next document under its own (id, hash). The different texts of a
+    # repeated id get one row each, with no more of the head than they take.
+    single = given.where("th = prev_mth").drop("prev_mth").dropDuplicates(["o", "th"])
+    several = base.select("o", "th", "n").join(ids.where("th <> mth").select("o"), "o", "left_semi").distinct()
+    heads = given.where("th <> prev_mth").select("o", "head", "next_f").dropDuplicates(["o"])
+    several = several.join(heads, "o").select("o", "th", F.substring("head", F.lit(1), half).alias("head"), "next_f")
+    own = sketches.withColumnRenamed("f", "own_f")
+    met = [texts.join(x, ["o", "th"]).join(own, ["o", "th"]) for x in (single, several)]
     edited = F.concat(F.substring("t", F.lit(1), F.col("n") - half), F.substring("head", F.lit(1), half))
+    rows = met[0].unionByName(met[1]).withColumnRenamed("own_f", "f")
     rows = with_sketch(rows.select("o", "th", "n", "f", "next_f", edited.alias("e")), "e", "g")
     return rows.select(
         F.when(F.col("o") != FIRST, F.col("o")).alias(id_col), F.col("n").cast("long").alias("n_chars"), F.sha2("e", 256).alias("edited_sha256"),

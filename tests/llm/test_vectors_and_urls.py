@@ -1,12 +1,15 @@
 """Nearest neighbours, syncmers and revisits against brute force."""
 
 import datetime
+import functools
 import hashlib
 import random
 import re
+import struct
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from featureloom.llm import ann, syncmers, warc
@@ -136,6 +139,51 @@ def test_repeated_ids_share_their_next_document(spark):
     assert {r.edited_sha256 for r in got if r.doc_id == 1} == want
 
 
+def test_many_texts_of_one_id_and_of_none(spark):
+    rng = random.Random(12)
+    text = lambda: " ".join(rng.choice("abcdefghij") * rng.randint(1, 4) for _ in range(rng.randint(0, 60)))
+    rows = [(None, text()) for _ in range(120)] + [(7, text()) for _ in range(150)] + [(i, text()) for i in range(10, 30)] + [(30, text())] * 3
+    rows += rng.sample(rows, 40)
+    got = syncmers.edited_fingerprints(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == len(rows)
+    texts = {}
+    for i, t in rows:
+        texts.setdefault(i, set()).add(t)
+    order = sorted(texts, key=lambda i: (i is not None, i or 0))
+    first = {r.doc_id: r for r in sorted(got, key=lambda r: -r.text_hash)}  # of each id the text with the least hash
+    hashed = spark.createDataFrame([(t,) for _, t in rows], "t string").select("t", F.xxhash64("t").alias("h")).distinct().collect()
+    by_hash = {r.h: r.t for r in hashed}
+    want = []
+    for i, t in rows:
+        nxt = by_hash[first[order[(order.index(i) + 1) % len(order)]].text_hash]
+        edited = t[: len(t) - len(t) // 2] + nxt[: len(t) // 2]
+        want.append((str(i), len(t), hashlib.sha256(edited.encode()).hexdigest()))
+    assert sorted(want) == sorted((str(r.doc_id), r.n_chars, r.edited_sha256) for r in got)
+
+
+def test_fingerprints_against_plain_syncmers(spark):
+    rng = random.Random(13)
+    texts = [" ".join(f"w{rng.randrange(400)}" + "x" * rng.choice([0, 0, 0, 30]) for _ in range(rng.choice([0, 3, 7, 12, 60, 900]))) for _ in range(60)]
+    hashed = lambda values: functools.reduce(lambda seed, v: xxhash.xxh64_intdigest(struct.pack("<Q", v), seed), values, 42)
+    signed = lambda v: v - (v >> 63 << 64)
+
+    def plain(text):
+        h = [xxhash.xxh64_intdigest(w.encode(), 42) for w in re.findall(r"\S{1,24}", text)]
+        s = [hashed(h[i : i + 2]) for i in range(len(h) - 1)]
+        some = set()
+        for i in range(len(s) - syncmers.SPAN + 1):
+            inner = s[i : i + syncmers.SPAN]
+            if min(inner, key=signed) in (inner[0], inner[-1]):
+                some.add(hashed(inner) >> 33)
+        if not some and h:
+            some = {hashed(h) >> 33}
+        return "".join(f"{x:08x}" for x in sorted(some)[: syncmers.SIZE])
+
+    got = {r.doc_id: r.fingerprint for r in syncmers.edited_fingerprints(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert got == {i: plain(t) for i, t in enumerate(texts)}
+    assert any(len(f) == 8 * syncmers.SIZE for f in got.values())
+
+
 def test_short_texts_without_syncmers_have_a_fingerprint(spark):
     rng = random.Random(3)
     texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(n)) for n in (6, 7, 8) for _ in range(20)]
