@@ -114,14 +114,15 @@ _QUOTED = """'"' || replace(text, '"', '""') || '",' || doc_id || ',' || lang ||
 
 
 @query("""
-SELECT doc_id, 3 AS expected, 4 AS found, row_number() OVER (PARTITION BY doc_id % 8 ORDER BY doc_id) + 1 AS record_no, true AS same
+SELECT doc_id, 3 AS expected, 4 AS found, row_number() OVER (PARTITION BY doc_id // 2000 ORDER BY doc_id) + 1 AS record_no, true AS same
 FROM documents WHERE text IS NOT NULL QUALIFY doc_id % 7 = 0
 """)
 def quoted_records(spark, d):
     """Whole texts in quotes, line breaks included, some with a field too many: logical records count."""
     path = scratch_dir(spark, "quoted")
     docs = table(spark, d, "documents").where("text is not null")
-    lines = docs.select((F.col("doc_id") % 8).alias("file"), F.col("doc_id").alias("at"), F.expr(_QUOTED).alias("line"))
+    lines = docs.select(F.floor(F.col("doc_id") / 2000).alias("file"),  # files of some MB each, as many as the rows fill
+                         F.col("doc_id").alias("at"), F.expr(_QUOTED).alias("line"))
     heads = lines.select("file").distinct().select("file", F.lit(-1).alias("at"), F.lit("text,doc_id,lang").alias("line"))
     lines.unionByName(heads).repartition("file").sortWithinPartitions("file", "at").select("file", "line").write.partitionBy("file").text(path)
     path = f"{path}/*"
