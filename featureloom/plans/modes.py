@@ -44,13 +44,14 @@ def build_matrix(
     shifts: dict[str, DataFrame] | None = None, radius: int = 2, min_support: int = 1,
     conditions: dict[str, str] | None = None, n_bits: int = 2048, short_rows: str = "pad",
     keep_unlabelled: bool = False, labels_mode: str = "all", label_kind: str = "auto",
-    multi_line: bool | str = False, branched: bool = False,
+    multi_line: bool | str = False, branched: bool = False, dialects: bool = False,
 ) -> ModeResult:
     """Run one of the modes ``1H``, ``13C``, ``FP`` and ``hybrid`` on a delimited file.
 
     ``label`` is the 1-based label column; its labels are numbers or words. The spectral modes need ``shifts``: per mode the
     reference table of :func:`fit_backoff` over :func:`signature_levels` of typed signatures. ``branched`` makes the mode ``FP`` of all
-    connected sets of 1 to 7 bonds instead of the unbranched paths among them.
+    connected sets of 1 to 7 bonds instead of the unbranched paths among them. With ``dialects`` the files of a folder have their own
+    separators and orders of columns.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
@@ -61,7 +62,7 @@ def build_matrix(
 
     count = F.count(F.lit(1))
     nulls = Observation("nulls")
-    verified = verify_table(spark, path, label, short_rows, multi_line, label_kind, nulls)
+    verified = verify_table(spark, path, label, short_rows, multi_line, label_kind, nulls, dialects)
     rows, seen = observed(verified.rows, "verified", {"rows": count})
     rejects, rejected = observed(verified.rejects, "rejects", {"rows": count})
     first, kept = observed(distinct_records(rows), "records", {"rows": count})

@@ -5,7 +5,7 @@ import random
 
 import pytest
 
-from featureloom import file_dialects, read_dialects, verify_table
+from featureloom import build_matrix, file_dialects, read_dialects, verify_table
 
 CELLS = ["a", "", "x y", '5" pipe', "with;semi", "with,comma", "tab\there", 'say "hi"', "é", '"', "1,5"]
 
@@ -76,3 +76,15 @@ def test_verified_tables_repair_commas_only_where_semicolons_part_fields(spark,
     got = verify_table(spark, str(tmp_path), dialects=True)
     assert sorted((r.name, r.notation, r.label) for r in got.rows.collect()) == [("x", "CC", 1.5), ("z", "1,5", 2.5)]
     assert got.separator == ",;"
+
+
+def test_a_mode_over_a_folder_of_dialects(spark, tmp_path):
+    rows = [(f"m{i}", "C" * (i % 5 + 1) + "O", i / 2) for i in range(20)] + [("bad", "C1CC", 1.0)]
+    one, many = tmp_path / "one", tmp_path / "many"
+    one.mkdir(), many.mkdir()
+    (one / "in.csv").write_text("name,notation,label\n" + "".join(f"{n},{s},{v}\n" for n, s, v in rows))
+    (many / "a.csv").write_text("name;notation;label\n" + "".join(f"{n};{s};{str(v).replace('.', ',')}\n" for n, s, v in rows[::2]) + "too;many;1;x\n")
+    (many / "b.csv").write_text("label,name,notation\n" + "".join(f"{v},{n},{s}\n" for n, s, v in rows[1::2]))
+    got, want = build_matrix(spark, str(many), "FP", n_bits=64, dialects=True), build_matrix(spark, str(one), "FP", n_bits=64)
+    assert sorted(map(repr, got.matrix.collect())) == sorted(map(repr, want.matrix.collect()))
+    assert [r.name for r in got.errors.collect()] == ["bad"] and [r.raw for r in got.rejects.collect()] == ["too;many;1;x"]
