@@ -12,7 +12,7 @@ from ..operators import graph as G
 from ..operators import quality as Q
 from ..operators import subgraphs as SG
 from ..plans.matrices import fingerprint_matrix
-from ..session import spread, stage
+from ..session import dealt, spread, stage
 from .common import query, table
 
 # One notation per part: a chain, a branch and a ring, sized by the row's own values.
@@ -42,7 +42,7 @@ def notation_graph(spark, d):
     e = edges.filter("src < dst").groupBy("graph_id").agg(
         F.count(F.lit(1)).alias("bonds"), F.count_if(F.col("kind") == ":").alias("aromatic_bonds")
     )
-    return n.join(e, "graph_id").select("graph_id", "nodes", "bonds", "aromatic_bonds")
+    return n.join(dealt(e), "graph_id").select("graph_id", "nodes", "bonds", "aromatic_bonds")
 
 
 @query(f"""
@@ -62,7 +62,7 @@ def implicit_hydrogens(spark, d):
     all_nodes, all_edges = G.expand_implicit(nodes, edges)
     h = G.select_nodes(all_nodes, 1).groupBy("graph_id").agg(F.count(F.lit(1)).alias("hydrogens"))
     e = all_edges.filter("src < dst").groupBy("graph_id").agg(F.count(F.lit(1)).alias("bonds"))
-    return h.join(e, "graph_id")
+    return h.join(dealt(e), "graph_id")
 
 
 # Valid and invalid notations by part type, each with the size in it.
@@ -100,7 +100,7 @@ def graph_rules(spark, d):
     """Rules over node and edge aggregates of the graphs."""
     rows = _parts(spark, d, _ODD)
     nodes, edges, _ = G.notation_to_graph(rows, "p_partkey", "notation")
-    metrics = Q.graph_metrics(nodes, edges).join(rows.withColumnRenamed("p_partkey", "graph_id"), "graph_id")
+    metrics = Q.graph_metrics(nodes, edges).join(dealt(rows.withColumnRenamed("p_partkey", "graph_id")), "graph_id")
     flagged = Q.graph_rules(metrics, F.col("notation").contains("."))
     return flagged.select("graph_id", "heavy_atoms", F.array_join("reasons", ", ").alias("reasons"))
 

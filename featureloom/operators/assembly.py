@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.cells import named
+from ..session import dealt
 from .quality import dedup_keep_first
 
 META = ("MOLECULE_NAME", "LABEL")
@@ -81,13 +82,13 @@ def attach_labels(
         known = side.select(key).distinct().alias("k")
         every = (matrix if keys is None else keys).select(key).distinct().alias("e")
         kind = side.schema["label"].dataType
-        bare = every.join(known, F.col(f"e.{key}").eqNullSafe(F.col(f"k.{key}")), "left_anti")
+        bare = every.join(dealt(known), F.col(f"e.{key}").eqNullSafe(F.col(f"k.{key}")), "left_anti")
         side = side.unionByName(bare.select(key, F.lit(None).cast(kind).alias("label")))
     else:
         side = side.filter("label IS NOT NULL")
     rest = [c for c in matrix.columns if c != key]
     same = F.col(f"m.{key}").eqNullSafe(F.col(f"s.{key}"))
-    return matrix.alias("m").join(side.alias("s"), same, "inner").select(
+    return matrix.alias("m").join(dealt(side).alias("s"), same, "inner").select(
         F.col(f"m.{key}").alias(key), "s.label", *[f"m.{c}" for c in rest]
     )
 
@@ -127,7 +128,7 @@ def fuse(
     same = ends[0][0] == ends[0][1]
     if len(on) > 1:
         same = reduce(lambda x, y: x & y, [x.eqNullSafe(y) for x, y in ends])
-    return a.join(b, same, "inner").select(
+    return a.join(dealt(b), same, "inner").select(
         *[F.col(f"a.{c}").alias(c) for c in on],
         F.concat("__a", "__b").alias(features),
         (F.col("__na") * F.col("__nb")).alias("copies"),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.families import thin_task
 from ..functions.hashing import bit_position
 from ..functions.vectors import words_to_vector
-from ..session import stage
+from ..session import dealt, stage
 from .graph import circular_signatures
 
 # Above this many 64-bit words, one aggregate per word would make the generated code long.
@@ -116,13 +116,13 @@ def _path_rows(
     ends = nodes.select("graph_id", F.col("node_id").alias("dst"), text.alias("__l"))
     if has_hubs:
         hub = (F.col("degree") > hub_degree).alias("hub")
-        ends = ends.join(degrees.select("graph_id", "dst", hub), ["graph_id", "dst"])
+        ends = ends.join(dealt(degrees.select("graph_id", "dst", hub)), ["graph_id", "dst"])
     else:
         ends = ends.withColumn("hub", F.lit(False))
     # One row per directed edge, with what a path gains by taking it.
     steps = edges.select(
         "graph_id", F.col("src").alias("node_id"), "dst", sep.alias("__s")
-    ).join(ends, ["graph_id", "dst"])
+    ).join(dealt(ends), ["graph_id", "dst"])
     if has_hubs:
         steps = stage(steps, "steps")
 
@@ -132,7 +132,7 @@ def _path_rows(
     found = []
     for length in range(max_len + 1):
         if length:
-            grown = states.join(steps, ids).filter(~F.array_contains("visited", F.col("dst")))
+            grown = states.join(dealt(steps), ids).filter(~F.array_contains("visited", F.col("dst")))
             states = grown.select(
                 "graph_id", F.col("dst").alias("node_id"),
                 F.concat("fwd", "__s", "__l").alias("fwd"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import stage
+from ..session import dealt, stage
 
 
 def _stars(pairs: DataFrame) -> DataFrame:
@@ -14,9 +14,9 @@ def _stars(pairs: DataFrame) -> DataFrame:
         pairs.select("graph_id", F.col("lo").alias("u"), F.col("hi").alias("v"))
     )
     least = both.groupBy("graph_id", "u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    above = both.join(least, ["graph_id", "u"]).filter("v > u").select("graph_id", F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
+    above = both.join(dealt(least), ["graph_id", "u"]).filter("v > u").select("graph_id", F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
     floor = above.groupBy("graph_id", "hi").agg(F.min("lo").alias("m"))
-    below = above.join(floor, ["graph_id", "hi"])
+    below = above.join(dealt(floor), ["graph_id", "hi"])
     return below.select("graph_id", F.inline(F.array(
         F.struct("lo", "m"), F.struct(F.col("hi").alias("lo"), "m")
     ))).filter("lo <> m").select("graph_id", F.col("lo").alias("hi"), F.col("m").alias("lo")).distinct()
@@ -30,7 +30,7 @@ def node_fragments(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     ids connect nothing.
     """
     known = nodes.select("graph_id", "node_id").distinct()
-    end = lambda name: known.withColumnRenamed("node_id", name)
+    end = lambda name: dealt(known.withColumnRenamed("node_id", name))
     pairs = (
         edges.filter("src <> dst").select("graph_id", F.greatest("src", "dst").alias("hi"), F.least("src", "dst").alias("lo"))
         .distinct().join(end("hi"), ["graph_id", "hi"], "left_semi").join(end("lo"), ["graph_id", "lo"], "left_semi")
@@ -40,11 +40,11 @@ def node_fragments(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     while True:
         after = stage(_stars(pairs), "stars")
         # Equal numbers of distinct pairs, and none that is new: nothing has changed.
-        if after.count() == pairs.count() and after.join(pairs, ["graph_id", "hi", "lo"], "left_anti").isEmpty():
+        if after.count() == pairs.count() and after.join(dealt(pairs), ["graph_id", "hi", "lo"], "left_anti").isEmpty():
             break
         pairs = after
     found = pairs.select("graph_id", F.col("hi").alias("node_id"), F.col("lo").alias("fragment"))
-    return known.join(found, ["graph_id", "node_id"], "left").withColumn("fragment", F.coalesce("fragment", "node_id"))
+    return known.join(dealt(found), ["graph_id", "node_id"], "left").withColumn("fragment", F.coalesce("fragment", "node_id"))
 
 
 def graph_fragments(nodes: DataFrame, edges: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import notation as N
 from ..functions.hashing import hex_number
-from ..session import stage
+from ..session import dealt, stage
 
 
 # Room for the ids of the hydrogens of one node.
@@ -77,7 +77,7 @@ def with_bond_order(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     sums = edges.groupBy("graph_id", F.col("src").alias("node_id")).agg(
         F.sum(N.bond_order("kind")).alias("order_sum")
     )
-    return nodes.join(sums, ["graph_id", "node_id"], "left").withColumn(
+    return nodes.join(dealt(sums), ["graph_id", "node_id"], "left").withColumn(
         "order_sum", F.coalesce("order_sum", F.lit(0.0))
     )
 
@@ -184,7 +184,7 @@ def circular_signatures(
         same = (F.col("l.graph_id") == F.col("s.graph_id")) & F.col("l.node_id").eqNullSafe(
             F.col("s.node_id")
         )
-        heard = links.alias("l").join(state.alias("s"), same).select(
+        heard = links.alias("l").join(dealt(state).alias("s"), same).select(
             "l.graph_id", "dst", "own", *[F.when(own, F.col(c)).alias(c) for c in carried],
             *[F.when(~own, s).cast("decimal(20,0)").alias(f"__{x}") for s, x in zip(sent, "ab")],
         )

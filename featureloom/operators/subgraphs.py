@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import notation as N
 from ..functions.hashing import hex_number
-from ..session import stage
+from ..session import dealt, stage
 from .fingerprints import fold_bits
 from .graph import circular_signatures, graph_tables
 
@@ -77,7 +77,7 @@ def branched_keys(
 def _table_sets(nodes: DataFrame, edges: DataFrame, min_len: int, max_len: int, label: str, typed: bool) -> DataFrame:
     text = F.coalesce(F.col(label).cast("string"), F.lit(""))
     at = nodes.select("graph_id", "node_id", text.alias("text"))
-    end = lambda node, name: at.select("graph_id", F.col("node_id").alias(node), F.col("text").alias(name))
+    end = lambda node, name: dealt(at.select("graph_id", F.col("node_id").alias(node), F.col("text").alias(name)))
     kind = F.coalesce(F.col("kind"), F.lit("")) if typed else F.lit(">")
     bonds = (
         edges.filter("src <> dst").select("graph_id", F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b"), kind.alias("kind"))
@@ -94,7 +94,7 @@ def _table_sets(nodes: DataFrame, edges: DataFrame, min_len: int, max_len: int,
             members = F.array_distinct(F.flatten(F.transform("bonds", lambda e: F.array(e["a"], e["b"]))))
             sets = (
                 sets.select("graph_id", "bonds", F.explode(members).alias("node_id"))
-                .join(links, ["graph_id", "node_id"]).filter(~F.array_contains("bonds", F.col("bond")))
+                .join(dealt(links), ["graph_id", "node_id"]).filter(~F.array_contains("bonds", F.col("bond")))
                 .select("graph_id", F.array_sort(F.array_append("bonds", F.col("bond"))).alias("bonds")).distinct()
             )
             if length < max_len:
@@ -216,7 +216,7 @@ def circular_environments(
     a node and a bond within reach are rows, ``d ** radius`` of them around a node with ``d`` links.
     """
     ids = ["graph_id", "node_id"]
-    known = nodes.select("graph_id", F.col("node_id").alias("dst"))
+    known = dealt(nodes.select("graph_id", F.col("node_id").alias("dst")))
     kind = F.coalesce(F.col("kind"), F.lit("")) if typed else F.lit("")
     links = edges.filter("src <> dst").select("graph_id", F.col("src").alias("at"), "dst", kind.alias("kind")).distinct()
     links = links.join(known, ["graph_id", "dst"], "left_semi").join(known.withColumnRenamed("dst", "at"), ["graph_id", "at"], "left_semi")
@@ -224,10 +224,10 @@ def circular_environments(
     reach = nodes.select(*ids, F.col("node_id").alias("at"), F.lit(0).alias("steps"))
     front = reach
     for step in range(1, radius):
-        front = front.join(links, ["graph_id", "at"]).select(*ids, F.col("dst").alias("at"), F.lit(step).alias("steps")).distinct()
+        front = front.join(dealt(links), ["graph_id", "at"]).select(*ids, F.col("dst").alias("at"), F.lit(step).alias("steps")).distinct()
         reach = reach.unionByName(front)
     bond = [F.least("at", "dst").alias("a"), F.greatest("at", "dst").alias("b"), "kind"]
-    within = reach.join(links, ["graph_id", "at"]).groupBy(*ids, *bond).agg((F.min("steps") + 1).alias("first"))
+    within = reach.join(dealt(links), ["graph_id", "at"]).groupBy(*ids, *bond).agg((F.min("steps") + 1).alias("first"))
     digest = F.md5(F.concat_ws(",", F.col("a").cast("string"), F.col("b").cast("string"), "kind").cast("binary"))
     halves = [hex_number(digest, 1, 15), hex_number(digest, 16, 15)]
     sums = within.select(*ids, "first", *[h.cast("decimal(20,0)").alias(x) for h, x in zip(halves, "xy")]).groupBy(*ids).agg(*[
@@ -244,7 +244,7 @@ def circular_environments(
         each = F.inline(F.array(*[
             F.struct(F.lit(r).alias("radius"), F.col(f"sig_{r}").alias("sig"), F.struct(*[F.col(f"{c}{r}").alias(c) for c in "mxy"]).alias("set")) for r in range(1, radius + 1)
         ]))
-        rows = sigs.join(sums, ids).select("graph_id", each)
+        rows = sigs.join(dealt(sums), ids).select("graph_id", each)
         least = rows.groupBy("graph_id", "set").agg(F.min(F.struct("radius", "sig")).alias("s"))
         kept = kept.unionByName(least.select("graph_id", "s.radius", "s.sig"))
     return kept.groupBy("graph_id", "radius", "sig").agg(F.count(F.lit(1)).alias("n"))

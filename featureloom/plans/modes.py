@@ -13,7 +13,7 @@ from ..operators.graph import circular_signatures, expand_implicit, notation_to_
 from ..operators.quality import graph_metrics, graph_rules, observed, observed_summary, warnings
 from ..operators.rowgraphs import notation_paths
 from ..operators.subgraphs import branched_fingerprint, notation_branched_keys
-from ..session import spread, stage
+from ..session import dealt, spread, stage
 from ..sinks.tables import append_log, matrix_path, write_matrix, write_verified
 from .matrices import (
     answer_nodes, distinct_records, dropped_values, fingerprint_matrix, hybrid_matrix, spectral_matrix,
@@ -78,7 +78,7 @@ def build_matrix(
         else:
             words, errors = notation_paths(records, "name", "notation", n_bits=n_bits, dense=False)
         errors, failed = observed(errors, "errors", {"rows": count})
-        valid = records.select("name").join(errors.select("name"), "name", "left_anti")
+        valid = records.select("name").join(dealt(errors.select("name")), "name", "left_anti")
         matrix = fingerprint_matrix(words, labels, n_bits, keys=valid, **choice)
         width = n_bits
     else:
@@ -86,7 +86,7 @@ def build_matrix(
         errors, failed = observed(errors, "errors", {"rows": count})
         names = stage(nodes.filter("node_id = 0").select(F.col("graph_id").alias("name")), "names")
         metrics = graph_metrics(nodes, edges).join(
-            records.select(F.col("name").alias("graph_id"), "notation"), "graph_id"
+            dealt(records.select(F.col("name").alias("graph_id"), "notation")), "graph_id"
         )
         notes = warnings(graph_rules(metrics, F.col("notation").contains(".")), "graph_id")
         notes, warned = observed(notes.withColumnRenamed("graph_id", "name"), "warnings", {"rows": count})

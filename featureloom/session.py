@@ -74,6 +74,15 @@ def stage(df: DataFrame, purpose: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dealt(side: DataFrame) -> DataFrame:
+    """A side of a join whose rows are dealt out by key on both sides, never sent whole through the driver.
+
+    The size of a staged file tells little about its rows: arrays of equal texts take a few bytes in Parquet and
+    a hundred times as much once they are exploded. Spark would broadcast them by the size of the file.
+    """
+    return side.hint("merge")
+
+
 def spread(scan: DataFrame) -> DataFrame:
     """Deal a plain scan out over all cores if it has fewer splits than there are cores.
 

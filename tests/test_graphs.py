@@ -189,3 +189,24 @@ def test_many_hydrogens_have_ids_of_their_own(spark):
     every, _ = expand_implicit(nodes, edges)
     ids = [r.node_id for r in every.collect()]
     assert len(ids) == len(set(ids)) > 20
+
+
+def test_exploded_tables_are_not_broadcast(spark):
+    """Staged graphs take a few bytes in their files and far more as rows: their joins go by key, not through the driver."""
+    from featureloom.operators.assembly import attach_labels
+    from featureloom.operators.fragments import node_fragments
+    from featureloom.operators.subgraphs import branched_keys, circular_environments
+
+    rows = spark.range(2000).selectExpr("id AS k", "'CC(O)Cc1ccccc1' AS notation")
+    nodes, edges, _ = notation_to_graph(rows, "k", "notation")
+    labels = nodes.filter("node_id = 0").selectExpr("graph_id", "1 AS label")
+    built = {
+        "metrics": graph_metrics(nodes, edges), "expanded": expand_implicit(nodes, edges)[0],
+        "signatures": circular_signatures(nodes, edges, 2), "fragments": node_fragments(nodes, edges),
+        "sets": branched_keys(nodes, edges, 1, 2), "environments": circular_environments(nodes, edges, 2),
+        "labels": attach_labels(nodes.drop("label"), labels, "graph_id", "label", keep_unlabelled=True),
+    }
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == "10485760b"
+    sent = [name for name, df in built.items() if "Broadcast" in str(df._jdf.queryExecution().executedPlan().toString())]
+    assert sent == []
+    assert built["metrics"].select("heavy_atoms").distinct().collect() == [(10,)]
