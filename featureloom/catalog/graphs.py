@@ -257,8 +257,8 @@ def branched_keys_tables(spark, d):
 WITH RECURSIVE {_sets_sql(5)}, {bits_sql("SELECT DISTINCT graph_id, code AS sig FROM codes", "graph_id", 2)} SELECT * FROM prints
 """)
 def branched_fingerprint(spark, d):
-    keys, graphs, _ = SG.notation_branched_keys(_parts(spark, d, _NOTATION), "p_partkey", "notation", 1, 5)
-    return _bitstring(SG.branched_fingerprint(keys, graphs, dense=False), "graph_id")
+    words, _ = SG.notation_branched_fingerprint(_parts(spark, d, _NOTATION), "p_partkey", "notation", 1, 5, dense=False)
+    return _bitstring(words, "graph_id")
 
 
 @query(f"""

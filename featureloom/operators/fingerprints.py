@@ -11,7 +11,7 @@ from ..functions.families import thin_task
 from ..functions.hashing import bit_position
 from ..functions.vectors import words_to_vector
 from ..session import dealt, stage
-from .graph import circular_signatures
+from .graph import circular_signatures, members
 
 # Above this many 64-bit words, one aggregate per word would make the generated code long.
 _WIDE_LIMIT = 64
@@ -53,6 +53,26 @@ def fold_bits(
     return words.select(key, words_to_vector("words", n_bits).alias(into))
 
 
+def or_words(df: DataFrame, key: str, n_bits: int = 2048) -> DataFrame:
+    """``(key, words)`` with one row per key: the bits of all its rows."""
+    n_words = (n_bits + 63) // 64
+    if n_words <= _WIDE_LIMIT:
+        each = [F.bit_or(F.get("words", F.lit(w))).alias(f"__w{w}") for w in range(n_words)]
+        return df.groupBy(key).agg(*each).select(key, F.array(*[f"__w{w}" for w in range(n_words)]).alias("words"))
+    from .histogram import densify
+
+    rows = df.select(key, F.posexplode("words").alias("bucket", "word"))
+    return densify(rows.groupBy(key, "bucket").agg(F.bit_or("word").alias("n")), key, n_words, "words")
+
+
+def member_words(words: DataFrame, groups: DataFrame, repeated: bool, n_bits: int, dense: bool) -> DataFrame:
+    """Fingerprints of the keys in :func:`alike` groups from the ``words`` of the groups."""
+    found = members(words, groups)
+    if repeated:
+        found = or_words(found, "graph_id", n_bits)
+    return found.select("graph_id", words_to_vector("words", n_bits).alias("features")) if dense else found
+
+
 def circular_fingerprint(
     nodes: DataFrame, edges: DataFrame, radius: int = 2, n_bits: int = 2048,
     label: str = "label", typed: bool = False, dense: bool = True,

@@ -21,6 +21,31 @@ HYDROGENS = 1 << 20
 NO_LABEL = "\\N"
 
 
+# Rows of one notation that share one growing of paths or sets, on average at most.
+GROUP = 4096
+
+
+def alike(df: DataFrame, key: str, col: str, size: int = GROUP) -> tuple[DataFrame, bool]:
+    """``(group, notation, ids)``, and whether a key has several rows: rows of equal notations in groups.
+
+    What follows from the notation alone is found once for each group and handed to its rows by :func:`members`. A notation
+    of very many rows has several groups, so no list of ids grows with the table.
+    """
+    rows = stage(df.select(F.col(key).alias("graph_id"), F.col(col).alias("notation")), "notations")
+    part = F.pmod(F.xxhash64("graph_id"), F.lit(1 + rows.count() // size))
+    groups = rows.groupBy("notation", part.alias("__part")).agg(F.collect_list(F.struct("graph_id")).alias("ids"))
+    groups = stage(groups.select(F.monotonically_increasing_id().alias("group"), "notation", "ids"), "alike")
+    repeated = rows.groupBy("graph_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    return groups, not repeated.isEmpty()
+
+
+def members(found: DataFrame, groups: DataFrame) -> DataFrame:
+    """``found`` of :func:`alike` groups (their number is ``graph_id``) as rows of the keys in them."""
+    ids = groups.select(F.col("group").alias("graph_id"), "ids")
+    rest = [c for c in found.columns if c != "graph_id"]
+    return found.join(dealt(ids), "graph_id").select(F.inline("ids"), *rest)
+
+
 def notation_to_graph(
     df: DataFrame, key: str, col: str, staged: bool = True
 ) -> tuple[DataFrame, DataFrame, DataFrame]:

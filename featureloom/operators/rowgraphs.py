@@ -11,9 +11,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import notation as N
-from ..session import stage
-from .fingerprints import fold_bits, path_fingerprint
-from .graph import graph_tables
+from ..session import spread, stage
+from .fingerprints import fold_bits, member_words, path_fingerprint
+from .graph import alike, graph_tables, members
 
 # Walks a row may have before its graph is handed to the joins. A state takes some hundred
 # bytes, so this keeps a row within tens of megabytes.
@@ -103,9 +103,10 @@ def notation_paths(
     """``(fingerprints, errors)`` of the notations in ``col``.
 
     The same bits as :func:`path_fingerprint` over the tables of
-    :func:`notation_to_graph`, whichever way a row takes.
+    :func:`notation_to_graph`, whichever way a row takes. Paths are grown once for each group of rows of one notation.
     """
-    rows = df.select(F.col(key).alias("graph_id"), F.col(col).alias("notation"))
+    groups, repeated = alike(df, key, col)
+    rows = spread(groups).select(F.col("group").alias("graph_id"), "notation")
     label = lambda x: N.atom_fields(x)["label"]
     parsed = (
         N.with_graph(rows, "notation")
@@ -117,19 +118,18 @@ def notation_paths(
         .drop("links", "sources")
     )
     parsed = stage(parsed, "rowgraphs")
-    errors = parsed.filter("error IS NOT NULL").select(
-        F.col("graph_id").alias("name"), "notation", "error"
-    )
+    bad = parsed.filter("error IS NOT NULL").select("graph_id", "notation", "error")
+    errors = members(bad, groups).withColumnRenamed("graph_id", "name")
     paths = _paths(F.col("labels"), F.col("adjacency"), min_len, max_len)
     small = parsed.filter(F.col("walks") <= max_walks).select("graph_id", paths.alias("paths"))
     # A graph of single atoms has no path; its row stays, with a zero vector.
     exploded = small.select("graph_id", F.explode_outer("paths").alias("path"))
-    found = fold_bits(exploded, "graph_id", "path", n_bits, bits_per_path, dense)
+    found = fold_bits(exploded, "graph_id", "path", n_bits, bits_per_path, dense=False)
     large = parsed.filter(F.col("walks") > max_walks)
     if not large.isEmpty():
         nodes, edges = graph_tables(large)
         joined = path_fingerprint(
-            nodes, edges, min_len, max_len, n_bits, bits_per_path, typed=typed, dense=dense
+            nodes, edges, min_len, max_len, n_bits, bits_per_path, typed=typed, dense=False
         )
         found = found.unionByName(joined)
-    return found, errors
+    return member_words(found, groups, repeated, n_bits, dense), errors

@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 
 from ..functions import notation as N
 from ..functions.hashing import hex_number
-from ..session import dealt, stage
-from .fingerprints import fold_bits
-from .graph import circular_signatures, graph_tables
+from ..session import dealt, spread, stage
+from .fingerprints import fold_bits, member_words
+from .graph import alike, circular_signatures, graph_tables, members
 
 # Rows with more bonds, or more walks over them, are handed to the joins.
 MAX_BONDS = 200
@@ -173,12 +173,37 @@ def notation_branched_keys(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """``(keys, names, errors)``: :func:`branched_keys` of the notations in ``col``, ``graph_id`` of all valid ones, and why others are not.
 
-    The two bounds decide between growing in the row and by joins; the keys are the same either way.
+    The two bounds decide between growing in the row and by joins; the keys are the same either way. Sets are grown
+    once for each group of rows of one notation.
     """
+    groups, repeated = alike(df, key, col)
+    keys, valid, errors = _group_keys(groups, min_len, max_len, typed, max_bonds, max_walks)
+    keys = members(keys, groups)
+    if repeated:
+        keys = keys.groupBy("graph_id", "code").agg(F.sum("n").alias("n"))
+    return keys, members(valid, groups), errors
+
+
+def notation_branched_fingerprint(
+    df: DataFrame, key: str, col: str, min_len: int = 1, max_len: int = 7, typed: bool = True,
+    n_bits: int = 2048, bits_per_code: int = 2, max_bonds: int = MAX_BONDS, max_walks: int = MAX_WALKS, dense: bool = True,
+) -> tuple[DataFrame, DataFrame]:
+    """``(fingerprints, errors)``: :func:`branched_fingerprint` of the notations in ``col``; bits are set once for each group of equal ones."""
+    groups, repeated = alike(df, key, col)
+    keys, valid, errors = _group_keys(groups, min_len, max_len, typed, max_bonds, max_walks)
+    words = branched_fingerprint(keys, valid, n_bits, bits_per_code, dense=False)
+    return member_words(words, groups, repeated, n_bits, dense), errors
+
+
+def _group_keys(
+    groups: DataFrame, min_len: int, max_len: int, typed: bool, max_bonds: int, max_walks: int,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``(keys, names)`` by the number of a group, and the errors by the keys in it."""
     _lengths(min_len, max_len)
-    rows = df.select(F.col(key).alias("graph_id"), F.col(col).alias("notation"))
+    rows = spread(groups).select(F.col("group").alias("graph_id"), "notation")
     parsed = stage(N.with_graph(rows, "notation"), "subgraphs")
-    errors = parsed.filter("error IS NOT NULL").select(F.col("graph_id").alias("name"), "notation", "error")
+    bad = parsed.filter("error IS NOT NULL").select("graph_id", "notation", "error")
+    errors = members(bad, groups).withColumnRenamed("graph_id", "name")
     valid = parsed.filter("error IS NULL")
     labels = F.transform("atoms", lambda x: N.atom_fields(x)["label"])
     short = valid.filter(F.size("bonds") <= max_bonds).withColumn("labels", labels)

@@ -12,7 +12,7 @@ from ..functions.buckets import preset
 from ..operators.graph import circular_signatures, expand_implicit, notation_to_graph
 from ..operators.quality import graph_metrics, graph_rules, observed, observed_summary, warnings
 from ..operators.rowgraphs import notation_paths
-from ..operators.subgraphs import branched_fingerprint, notation_branched_keys
+from ..operators.subgraphs import notation_branched_fingerprint
 from ..session import dealt, spread, stage
 from ..sinks.tables import append_log, matrix_path, write_matrix, write_verified
 from .matrices import (
@@ -73,8 +73,7 @@ def build_matrix(
     found = {}
     if mode == "FP":
         if branched:
-            keys, valid, errors = notation_branched_keys(records, "name", "notation")
-            words = branched_fingerprint(keys, valid, n_bits, dense=False)
+            words, errors = notation_branched_fingerprint(records, "name", "notation", n_bits=n_bits, dense=False)
         else:
             words, errors = notation_paths(records, "name", "notation", n_bits=n_bits, dense=False)
         errors, failed = observed(errors, "errors", {"rows": count})

@@ -138,3 +138,47 @@ def test_environments_do_not_depend_on_node_numbers(spark):
     assert found[0] == found[1]
     only = circular_environments(nodes, edges, 0)
     assert sum(r.n for r in only.collect()) == 7
+
+
+def test_equal_notations_are_grown_once(spark, monkeypatch):
+    """Rows of one notation share the work, in groups of bounded size; each key keeps its row, also a null or repeated one."""
+    from featureloom.operators import graph, rowgraphs, subgraphs
+    from featureloom.operators.rowgraphs import notation_paths
+    from featureloom.operators.subgraphs import notation_branched_fingerprint
+
+    parsed = []
+    for module in (rowgraphs, subgraphs):
+        keep = module.stage
+        monkeypatch.setattr(module, "stage", lambda df, purpose, keep=keep: parsed.append((purpose, df.count())) or keep(df, purpose))
+    notations = ["CC(O)C", "c1ccccc1", "C", "C1CC"]
+    rows = [(i, notations[i % 4]) for i in range(400)] + [(None, "CO"), (7, "CN"), (0, "CC(O)C"), (401, None)]
+    df = spark.createDataFrame(rows, "k int, s string")
+    monkeypatch.setattr(graph.alike, "__defaults__", (500,))
+    keys, names, errors = notation_branched_keys(df, "k", "s", 1, 3)
+    bits, _ = notation_branched_fingerprint(df, "k", "s", 1, 3)
+    paths, _ = notation_paths(df, "k", "s", 1, 3)
+    assert max(n for purpose, n in parsed if purpose in ("subgraphs", "rowgraphs")) == 7
+    assert sorted((r.name, r.notation) for r in errors.collect() if r.name != 401) == sorted(x for x in rows if x[1] == "C1CC")
+    assert [r.error for r in errors.where("name = 401").collect()] == ["empty notation"]
+    assert names.count() == 303 and names.where("graph_id is null").count() == 1
+    got = {(r.graph_id, r.code): r.n for r in keys.collect()}
+    assert len(got) == keys.count()
+    alone = {s: {r.code: r.n for r in branched_keys(*notation_to_graph(spark.createDataFrame([(1, s)], "k int, s string"), "k", "s")[:2], 1, 3).collect()}
+             for s in ("CC(O)C", "c1ccccc1", "CN", "CO")}
+    expected = {}
+    for k, s in rows:
+        for code, n in alone.get(s, {}).items():
+            expected[k, code] = expected.get((k, code), 0) + n
+    assert got == expected
+    for table in (bits, paths):
+        found = {r.graph_id: r.features for r in table.collect()}
+        assert len(found) == table.count() == 302 and sum(found[2]) == 0 and found[4] == found[8] == found[0] != found[1]
+        assert found[None] != found[0]
+
+
+def test_groups_of_a_common_notation_are_bounded(spark):
+    from featureloom.operators.graph import alike
+
+    groups, repeated = alike(spark.range(3000).selectExpr("id", "'CCO' AS s"), "id", "s", size=100)
+    sizes = [r.n for r in groups.selectExpr("size(ids) AS n").collect()]
+    assert not repeated and sum(sizes) == 3000 and max(sizes) < 200
