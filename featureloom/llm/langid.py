@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from featureloom.llm.shared import hash_share
+from featureloom.llm.shared import fitted, hash_share
 from featureloom.llm.text import LETTER, blocks, char_classes, code_points, cut_text
 
 DIM = 4096
@@ -143,7 +143,7 @@ def fit_languages(
     A text is accepted from ``near`` times the 0.01 quantile of cosines and, unless it is short, ``ahead`` times the
     0.05 quantile of their distances to those of the next language. Pieces of the texts tell these quantiles of short texts.
     Rows with a null text or language or without a letter do not take part. Texts are counted on the
-    executors; only their at most ``DIM`` counts come to the driver. None if no row is left.
+    executors, and the fit of their at most ``DIM`` counts is one task there. None if no row is left.
     """
     usable = labelled.select(F.col(id_col).alias("i"), F.col(text_col).alias("t"), F.col(lang_col).alias("lang"))
     usable = usable.where("lang is not null and t is not null")
@@ -178,29 +178,30 @@ def fit_languages(
 
     every = usable.where(chosen).mapInPandas(count, "i string, lang string, cut int, at binary, n binary")
     most = 2 * per_language * len(sizes)
-    every = every.orderBy("cut", "lang", "i", "at").limit(most * (1 + len(CUTS))).toArrow()
-    if not len(every):
-        return None
-    # The rows stay as they came, a few bytes for each count; dense ones are made for one language, or for 500 rows.
-    whole = every.filter(pc.equal(every["cut"], 0)).slice(0, most)
-    languages = sorted(pc.unique(whole["lang"]).to_pylist())
-    seen = np.zeros(DIM, np.int64)
-    for at in whole["at"]:
-        seen[np.frombuffer(at.as_buffer(), "<u2")] += 1
-    idf = (np.log((1 + len(whole)) / (1 + seen)) + 1).astype(np.float32)
-    model = LanguageModel(languages, idf, np.zeros((0, DIM), np.float32), np.zeros(0, int), np.zeros((0, len(KNOTS))), np.zeros((0, len(KNOTS))))
-    centres = [cluster(model.vectors(dense(whole.filter(pc.equal(whole["lang"], lang)))), clusters) for lang in languages]
-    model.centroids = np.concatenate(centres).astype(np.float32)
-    model.owner = np.repeat(np.arange(len(languages)), [len(c) for c in centres])
-    floor, apart = [], []
-    for k, lang in enumerate(languages):
-        own = every.filter(pc.equal(every["lang"], lang))
-        told = [(model.nearest(c), lengths(c)) for c in (dense(own.slice(lo, 500)) for lo in range(0, len(own), 500))]
-        best, length = (np.concatenate(v) for v in zip(*told))
-        floor.append(near * bound(best[:, k], length, 0.01))
-        apart.append(np.where(KNOTS < SURE, -1, ahead * bound(best[:, k] - over_others(best, np.full(len(best), k)), length, 0.05)))
-    model.floor, model.apart = np.array(floor), np.array(apart)
-    return model
+
+    def fit(every: pa.Table) -> LanguageModel:
+        # The rows stay as they came, a few bytes for each count; dense ones are made for one language, or for 500 rows.
+        whole = every.filter(pc.equal(every["cut"], 0)).slice(0, most)
+        languages = sorted(pc.unique(whole["lang"]).to_pylist())
+        seen = np.zeros(DIM, np.int64)
+        for at in whole["at"]:
+            seen[np.frombuffer(at.as_buffer(), "<u2")] += 1
+        idf = (np.log((1 + len(whole)) / (1 + seen)) + 1).astype(np.float32)
+        model = LanguageModel(languages, idf, np.zeros((0, DIM), np.float32), np.zeros(0, int), np.zeros((0, len(KNOTS))), np.zeros((0, len(KNOTS))))
+        centres = [cluster(model.vectors(dense(whole.filter(pc.equal(whole["lang"], lang)))), clusters) for lang in languages]
+        model.centroids = np.concatenate(centres).astype(np.float32)
+        model.owner = np.repeat(np.arange(len(languages)), [len(c) for c in centres])
+        floor, apart = [], []
+        for k, lang in enumerate(languages):
+            own = every.filter(pc.equal(every["lang"], lang))
+            told = [(model.nearest(c), lengths(c)) for c in (dense(own.slice(lo, 500)) for lo in range(0, len(own), 500))]
+            best, length = (np.concatenate(v) for v in zip(*told))
+            floor.append(near * bound(best[:, k], length, 0.01))
+            apart.append(np.where(KNOTS < SURE, -1, ahead * bound(best[:, k] - over_others(best, np.full(len(best), k)), length, 0.05)))
+        model.floor, model.apart = np.array(floor), np.array(apart)
+        return model
+
+    return fitted(every.orderBy("cut", "lang", "i", "at").limit(most * (1 + len(CUTS))), fit)
 
 
 def predict_languages(docs: DataFrame, model: LanguageModel | None, text_col: str = "text") -> DataFrame:

@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from featureloom.llm.shared import hash_share, whole_text
+from featureloom.llm.shared import fitted, hash_share, whole_text
 from featureloom.llm.text import EDGE, SPACE, blocks, char_classes, code_points, cut_text, mix, prefix_hashes, span_hashes
 
 BUCKET_BITS = 16
@@ -70,7 +70,7 @@ def train(
     """Gradient descent, one document at a time.
 
     ``buckets`` (two bytes each) and ``shares`` (four bytes) of a document are a value of a binary column; only those of the
-    document at hand are widened, so the driver holds six bytes for each feature of the sample.
+    document at hand are widened, so the task holds six bytes for each feature of the sample.
     """
     rng = np.random.default_rng(seed)
     vectors = rng.uniform(-1 / dim, 1 / dim, (1 << BUCKET_BITS, dim))
@@ -107,7 +107,7 @@ def fit_quality(
     """Fit on about ``sample`` whole labelled texts, drawn by hash; the bound of the fit.
 
     Null labels do not take part; null texts are empty. The bags of the texts are made on the
-    executors and hold at most one number for each bucket. Without rows every score is 0.5.
+    executors and hold at most one number for each bucket; the fit is one task there. Without rows every score is 0.5.
     """
     usable = labelled.select(F.col(id_col).alias("i"), whole_text(text_col).alias("t"), F.col(label_col).cast("int").alias("y")).where("y is not null")
 
@@ -121,12 +121,13 @@ def fit_quality(
             yield pd.DataFrame({"i": part["i"].astype("string"), "y": part["y"], "at": [r[0] for r in rows], "n": [r[1] for r in rows]})
 
     rows = usable.where(hash_share(usable.count(), sample, "i")).mapInPandas(bag, "i string, y int, at binary, n binary")
-    bags = rows.limit(2 * sample).toArrow()
-    bags = bags.sort_by([("i", "ascending"), ("y", "ascending"), ("at", "ascending")]).combine_chunks()
-    bags = bags.filter(pc.greater(pc.binary_length(bags["at"]), 0))
-    if not len(bags):
-        return QualityModel(np.zeros(1 << BUCKET_BITS), 0.0)
-    return train(bags["at"], bags["n"], (bags["y"].to_numpy() > 0).astype(int))
+
+    def fit(bags: pa.Table) -> QualityModel | None:
+        bags = bags.sort_by([("i", "ascending"), ("y", "ascending"), ("at", "ascending")]).combine_chunks()
+        bags = bags.filter(pc.greater(pc.binary_length(bags["at"]), 0))
+        return train(bags["at"], bags["n"], (bags["y"].to_numpy() > 0).astype(int)) if len(bags) else None
+
+    return fitted(rows.limit(2 * sample), fit) or QualityModel(np.zeros(1 << BUCKET_BITS), 0.0)
 
 
 def score_quality(docs: DataFrame, model: QualityModel, text_col: str = "text") -> DataFrame:

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import pickle
+from collections.abc import Callable, Iterator
+from typing import Any
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +22,18 @@ def staged(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fitted(rows: DataFrame, fit: Callable[[pa.Table], Any]) -> Any:
+    """What ``fit`` makes of the bounded sample ``rows``, in one task: the driver gets the model, not the sample (None without rows)."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got = [b for b in batches if b.num_rows]
+        if got:
+            yield pa.RecordBatch.from_pydict({"model": pa.array([pickle.dumps(fit(pa.Table.from_batches(got)))], pa.binary())})
+
+    found = rows.coalesce(1).mapInArrow(task, "model binary").collect()
+    return pickle.loads(found[0]["model"]) if found else None
+
+
 def partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 

@@ -253,3 +253,13 @@ GOLD = {
 @pytest.mark.parametrize("source", GOLD)
 def test_pages_written_by_hand(forest, source):
     assert htmltext.main_text(source, forest).split("\n") == GOLD[source]
+
+
+def test_samples_of_the_fits_stay_off_the_driver(spark, monkeypatch):
+    """Both fits run in a task; the driver collects the model and counts."""
+    monkeypatch.setattr(type(spark.range(1)), "toArrow", lambda self: pytest.fail("a sample came to the driver"))
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    model = langid.fit_languages(docs, per_language=20)
+    assert model.languages == sorted(r.lang for r in docs.where("lang is not null").select("lang").distinct().collect())
+    scorer = quality.fit_quality(docs.selectExpr("doc_id", "text", "cast(doc_id % 2 as int) AS quality"), sample=50)
+    assert scorer.weight.any()
