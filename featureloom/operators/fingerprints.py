@@ -121,6 +121,32 @@ def _thin(states: DataFrame, room: int) -> DataFrame:
     return local.repartition(*group).sortWithinPartitions(*group).mapInPandas(task, rows.schema)
 
 
+def _without_like_leaves(nodes: DataFrame, edges: DataFrame, text: Column, sep: Column) -> DataFrame:
+    """``edges`` without those of leaves that no path text needs.
+
+    A leaf has one link, there and back, so it is an end of every simple path it lies on. A path has two ends:
+    two leaves of one label at a node stand for all leaves of that label there, however many there are.
+    """
+    ids = ["graph_id", "node_id"]
+    ways = edges.select("graph_id", F.inline(F.array(*[
+        F.struct(F.col(a).alias("node_id"), F.col(b).alias("near"), sep.alias("kind"), F.lit(out).alias("out"))
+        for a, b, out in (("src", "dst", True), ("dst", "src", False))
+    ])))
+    of = lambda out, value: F.min(F.when(F.col("out") == out, F.col(value)))
+    leaves = ways.groupBy(*ids).agg(
+        F.count_if("out").alias("outs"), F.count_if(~F.col("out")).alias("ins"),
+        *[of(out, value).alias(f"{value}_{out}") for value in ("near", "kind") for out in (True, False)],
+    ).filter("outs = 1 AND ins = 1 AND near_True = near_False")
+    leaves = leaves.join(dealt(nodes.select(*ids, text.alias("text"))), ids)
+    held = leaves.groupBy("graph_id", "near_True", "kind_True", "kind_False", "text").agg(
+        F.min("node_id").alias("one"), F.max("node_id").alias("other")
+    ).select("graph_id", F.explode(F.array("one", "other")).alias("node_id"))
+    spare = stage(leaves.select(*ids).join(dealt(held), ids, "left_anti").distinct(), "spare")
+    for end in ("src", "dst"):
+        edges = edges.join(dealt(spare.withColumnRenamed("node_id", end)), ["graph_id", end], "left_anti")
+    return stage(edges, "links")
+
+
 def _path_rows(
     nodes: DataFrame, edges: DataFrame, min_len: int, max_len: int, label: str, typed: bool,
     hub_degree: int,
@@ -129,10 +155,15 @@ def _path_rows(
     ids = ["graph_id", "node_id"]
     sep = F.col("kind") if typed else F.lit(">")
     text = F.coalesce(F.col(label).cast("string"), F.lit(""))
-    degrees = edges.groupBy("graph_id", F.col("src").alias("dst")).agg(
-        F.count(F.lit(1)).alias("degree")
-    )
-    has_hubs = (degrees.agg(F.max("degree")).first()[0] or 0) > hub_degree
+
+    def counted(edges):
+        degrees = edges.groupBy("graph_id", F.col("src").alias("dst")).agg(F.count(F.lit(1)).alias("degree"))
+        return degrees, (degrees.agg(F.max("degree")).first()[0] or 0) > hub_degree
+
+    degrees, has_hubs = counted(edges)
+    if has_hubs:
+        edges = _without_like_leaves(nodes, edges, text, sep)
+        degrees, has_hubs = counted(edges)
     ends = nodes.select("graph_id", F.col("node_id").alias("dst"), text.alias("__l"))
     if has_hubs:
         hub = (F.col("degree") > hub_degree).alias("hub")
@@ -186,7 +217,8 @@ def path_keys(
     In graphs without hubs the number of states is bounded by the degree. At nodes with more
     than ``hub_degree`` edges the number of paths through the node would grow with its
     square; there the states with the same end and text are thinned to a family of bounded
-    size that allows exactly the same continuations, so no path text is lost. A hub with ``n``
+    size that allows exactly the same continuations, so no path text is lost. Before that, leaves of one label at one node
+    are cut to two, so the states do not grow with the leaves of a hub. A hub with ``n``
     different labels still has about ``n * n / 2`` different texts, all of which are returned.
     """
     return _path_rows(nodes, edges, min_len, max_len, label, typed, hub_degree).distinct()

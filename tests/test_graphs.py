@@ -210,3 +210,22 @@ def test_exploded_tables_are_not_broadcast(spark):
     sent = [name for name, df in built.items() if "Broadcast" in str(df._jdf.queryExecution().executedPlan().toString())]
     assert sent == []
     assert built["metrics"].select("heavy_atoms").distinct().collect() == [(10,)]
+
+
+def test_like_leaves_of_a_hub_are_two(spark):
+    """Two leaves of one label at a node give all path texts: paths do not grow with the leaves of a hub."""
+    from featureloom.operators import fingerprints as FP
+
+    # Two hubs with 40 leaves each, linked through 2; 90 is a leaf of 2, 91 is linked twice, 92 has a leaf of its own, 94 is no node.
+    leaves = [(h, 100 * h + k, ["x", "y", "z", None][k % 4]) for h in (1, 3) for k in range(40)]
+    nodes = spark.createDataFrame([(1, n, v) for n, v in [(1, "h"), (2, "m"), (3, "h"), (90, "x"), (91, "x"), (92, "u"), (93, "u"), *[(n, v) for _, n, v in leaves]]],
+                                  "graph_id int, node_id int, label string")
+    links = [(1, 2, "-"), (2, 3, "-"), (2, 90, "="), (1, 91, "-"), (1, 91, "="), (3, 92, "-"), (92, 93, "-"), (1, 94, "-"),
+             *[(h, n, "=" if n % 4 == 1 else "-") for h, n, _ in leaves]]
+    edges = both_directions(spark.createDataFrame([(1, a, b, k) for a, b, k in links], "graph_id int, a int, b int, kind string"))
+    for typed in (False, True):
+        found = [{r.path for r in path_keys(nodes, edges, 0, 6, typed=typed, hub_degree=h).collect()} for h in (8, 10_000)]
+        assert found[0] == found[1]
+    kept = FP._without_like_leaves(nodes, edges, F.coalesce("label", F.lit("")), F.lit(">"))
+    assert kept.filter("src = 1").count() <= 2 * 4 + 5
+    assert kept.count() == kept.selectExpr("graph_id", "dst AS src", "src AS dst", "kind").intersectAll(kept.select("graph_id", "src", "dst", "kind")).count()
