@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.families import thin_task
 from ..functions.hashing import bit_position
+from ..functions.runs import run_bits
 from ..functions.vectors import words_to_vector
 from ..session import dealt, stage
 from .graph import circular_signatures, members
@@ -102,9 +103,19 @@ def ngram_fingerprint(
     df: DataFrame, key: str, tokens: str, min_n: int = 1, max_n: int = 7,
     n_bits: int = 2048, bits_per_signature: int = 1, dense: bool = True,
 ) -> DataFrame:
-    """Fingerprint of the token runs of each key; works on any text or token column."""
-    grams = df.select(key, F.explode_outer(ngrams(tokens, min_n, max_n)).alias("gram"))
-    return fold_bits(grams, key, "gram", n_bits, bits_per_signature, dense)
+    """Fingerprint of the token runs of each key; works on any text or token column.
+
+    The bits are those of :func:`fold_bits` over :func:`ngrams`. Runs overlap, so no row and no text is made for
+    each: a task reads them as pieces of the tokens of a row and hands on the words of the row.
+    """
+    if not 1 <= min_n <= max_n:
+        raise ValueError("a run has at least one token: 1 <= min_n <= max_n")
+    if not 1 <= bits_per_signature <= 4:
+        raise ValueError("an md5 holds four 8-digit groups, so a run sets 1..4 bits")
+    bits = F.arrow_udf(run_bits(min_n, max_n, n_bits, bits_per_signature, " "), "array<bigint>")
+    rows = df.select(key, bits(F.col(tokens).cast("array<string>")).alias("words"))
+    words = or_words(rows, key, n_bits)
+    return words if not dense else words.select(key, words_to_vector("words", n_bits).alias("features"))
 
 
 def _thin(states: DataFrame, room: int) -> DataFrame:

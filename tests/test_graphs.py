@@ -150,6 +150,25 @@ def test_ngrams(spark):
     assert got == {1: 6, 2: 0, 3: 1}
 
 
+@pytest.mark.parametrize("n_bits, per, low, high", [(2048, 1, 1, 7), (100, 3, 2, 4), (5000, 4, 1, 2)])
+def test_token_runs_without_a_row_for_each(spark, n_bits, per, low, high):
+    """The bits of every run as a row with a text of its own, and none of these rows."""
+    from featureloom.operators.fingerprints import fold_bits, ngrams
+
+    odd = [
+        ["a", "b", "c", "d", "e", "f", "g", "h"], [], None, [None], [None, "a", None, "", "b", None, None], ["", "", ""], ["é ß", "x" * 55, "y" * 56, "z" * 700],
+        ["w"] * 63 + ["", None, "q"], ["a b", "c"], ["b", "c"],
+    ]
+    many = [[f"w{i * j % 97}" for j in range(i)] for i in range(1, 60)]
+    df = spark.createDataFrame([(i % 60, t) for i, t in enumerate([*odd, *many, *odd])], "k int, t array<string>").repartition(3)
+    rows = df.select("k", F.explode_outer(ngrams("t", low, high)).alias("gram"))
+    want = {r.k: list(r.words) for r in fold_bits(rows, "k", "gram", n_bits, per, dense=False).collect()}
+    got = ngram_fingerprint(df, "k", "t", low, high, n_bits, per, dense=False)
+    assert {r.k: list(r.words) for r in got.collect()} == want and len(want) == 60
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert n_bits > 4096 or "Generate" not in plan
+
+
 def test_backoff(spark):
     train = spark.createDataFrame(
         [("a", "x", 1.0), ("a", "x", 3.0), ("a", "y", 8.0), ("b", None, 5.0), ("b", "", 7.0), ("c", "x", None)],
