@@ -274,8 +274,8 @@ SELECT g AS graph_id, radius::INTEGER AS radius, sig, count(*) AS n FROM kept GR
 """)
 def circular_environments(spark, d):
     """Surroundings up to radius 2; those over the same bonds are counted once."""
-    nodes, edges, _ = _part_graphs(spark, d)
-    return SG.circular_environments(nodes, edges, 2)
+    found, _ = SG.notation_circular_environments(_parts(spark, d, _NOTATION), "p_partkey", "notation", 2)
+    return found
 
 
 @query("""

@@ -17,7 +17,7 @@ from ..functions import notation as N
 from ..functions.hashing import hex_number
 from ..session import dealt, spread, stage
 from .fingerprints import fold_bits, member_words
-from .graph import alike, circular_signatures, graph_tables, members
+from .graph import alike, circular_signatures, graph_tables, members, notation_to_graph
 
 # Rows with more bonds, or more walks over them, are handed to the joins.
 MAX_BONDS = 200
@@ -273,3 +273,17 @@ def circular_environments(
         least = rows.groupBy("graph_id", "set").agg(F.min(F.struct("radius", "sig")).alias("s"))
         kept = kept.unionByName(least.select("graph_id", "s.radius", "s.sig"))
     return kept.groupBy("graph_id", "radius", "sig").agg(F.count(F.lit(1)).alias("n"))
+
+
+def notation_circular_environments(
+    df: DataFrame, key: str, col: str, radius: int = 2, typed: bool = False,
+) -> tuple[DataFrame, DataFrame]:
+    """``(environments, errors)``: :func:`circular_environments` of the notations in ``col``, found once for each group of equal ones."""
+    groups, repeated = alike(df, key, col)
+    rows = spread(groups).select(F.col("group").alias("graph_id"), "notation")
+    nodes, edges, bad = notation_to_graph(rows, "graph_id", "notation")
+    found = members(circular_environments(nodes, edges, radius, typed=typed), groups)
+    if repeated:
+        found = found.groupBy("graph_id", "radius", "sig").agg(F.sum("n").alias("n"))
+    errors = members(bad.withColumnRenamed("name", "graph_id"), groups).withColumnRenamed("graph_id", "name")
+    return found, errors

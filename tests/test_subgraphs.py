@@ -182,3 +182,23 @@ def test_groups_of_a_common_notation_are_bounded(spark):
     groups, repeated = alike(spark.range(3000).selectExpr("id", "'CCO' AS s"), "id", "s", size=100)
     sizes = [r.n for r in groups.selectExpr("size(ids) AS n").collect()]
     assert not repeated and sum(sizes) == 3000 and max(sizes) < 200
+
+
+def test_environments_of_equal_notations_are_found_once(spark, monkeypatch):
+    """Groups of rows of one notation give the rows that every graph of its own gives, and there are far fewer of them."""
+    from featureloom.operators import subgraphs as SG
+    from featureloom.operators.graph import notation_to_graph
+
+    kinds = ["CC(O)Cc1ccccc1", "C", "C1CC", "CCO", "OCC", "C.C=C"]
+    df = spark.createDataFrame([(f"k{i}", kinds[i % len(kinds)]) for i in range(120)], "k string, s string")
+    nodes, edges, bad = notation_to_graph(df, "k", "s")
+    seen, whole = [], SG.circular_environments
+    monkeypatch.setattr(SG, "circular_environments", lambda n, e, *a, **b: seen.append(n.select("graph_id").distinct().count()) or whole(n, e, *a, **b))
+    for typed in (False, True):
+        found, errors = SG.notation_circular_environments(df, "k", "s", 2, typed)
+        assert sorted(map(tuple, found.collect())) == sorted(map(tuple, whole(nodes, edges, 2, typed=typed).collect()))
+        assert sorted(map(tuple, errors.collect())) == sorted(map(tuple, bad.collect())) and errors.count() == 20
+    assert seen == [5, 5]
+    twice, _ = SG.notation_circular_environments(df.limit(1).union(df.limit(1)), "k", "s", 1)
+    once, _ = SG.notation_circular_environments(df.limit(1), "k", "s", 1)
+    assert {(r.radius, r.sig): r.n for r in twice.collect()} == {(r.radius, r.sig): 2 * r.n for r in once.collect()}
