@@ -33,7 +33,7 @@ from .operators.quality import (
 )
 from .operators.rowgraphs import notation_paths
 from .operators.subgraphs import (
-    branched_fingerprint, branched_keys, circular_environments, notation_branched_fingerprint, notation_branched_keys, subgraph_code,
+    branched_fingerprint, branched_keys, circular_environments, notation_branched_fingerprint, notation_branched_keys, notation_circular_environments, subgraph_code,
 )
 from .plans.matrices import (
     distinct_records, fingerprint_matrix, hybrid_matrix, predict_values, signature_levels,
