@@ -66,13 +66,13 @@ def field_count(raw, sep: str) -> Column:
 
 def read_delimited(
     spark: SparkSession, path: str, sep: str | None = None, names: list[str] | None = None,
-    multi_line: bool | str = False,
+    multi_line: bool | str = False, starts: DataFrame | None = None,
 ) -> DataFrame:
     """All records as strings, plus ``_bad`` (raw text of records of another width) and ``ord``.
 
     ``ord`` orders the records as in the input: file, start of the split, position in it.
     Quoted fields with line breaks need ``multi_line``: ``True`` keeps a file in one task, ``"split"`` finds the
-    records over the splits of a file, see :func:`logical_records`. Every
+    records over the splits of a file, see :func:`logical_records`, with the ``starts`` of :func:`record_starts` if these are known. Every
     file must have the header of the first one (unless ``names`` are given): the scan fails where
     columns stand in another order.
     """
@@ -83,7 +83,7 @@ def read_delimited(
         raise ValueError(f"repeated column names in the header: {names}")
     schema = T.StructType([T.StructField(n, T.StringType()) for n in (*names, BAD)])
     if multi_line == "split":
-        return _parse_records(logical_records(spark, path, sep), schema, sep, names if same_header else None)
+        return _parse_records(logical_records(spark, path, sep, starts), schema, sep, names if same_header else None)
     rows = (
         spark.read.schema(schema)
         .options(sep=sep, header=True, mode="PERMISSIVE", quote='"', escape='"',

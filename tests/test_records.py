@@ -68,3 +68,53 @@ def test_record_numbers_run_on_over_files_of_bounded_rows(small_splits, monkeypa
     equal, message, _ = compare(small_splits, oracle_connection(sf), sf, QUERIES["quoted_one_file"], ORACLES["quoted_one_file"])
     assert equal, message
     assert len(small_splits.read.text(written[0]).inputFiles()) > 3
+
+
+def test_returns_in_fields_stay_and_end_records_outside(small_splits, tmp_path):
+    """Line ends of all kinds: inside a field they are text, outside they end a record; the reader of whole files gives the same fields."""
+    rng = random.Random(9)
+    cells = ["a", "x y", '"two\rparts"', '"with\r\nboth"', '"\r"', '"ends\r\n"', '"plain ""q""\n\r\n"']
+    rows = [",".join(rng.choice(cells) for _ in range(3)) for _ in range(400)]
+    (tmp_path / "in.csv").write_bytes(("h1,h2,h3\n" + "\n".join(rows) + "\n").encode())
+    split = sorted(read_delimited(small_splits, str(tmp_path), multi_line="split").collect(), key=lambda r: r.ord.id)
+    whole = sorted(read_delimited(small_splits, str(tmp_path), multi_line=True).collect(), key=lambda r: r.ord.id)
+    assert [tuple(r)[:-1] for r in split] == [tuple(r)[:-1] for r in whole] and len(split) == 400
+    for end in ("\r\n", "\r"):
+        other = tmp_path / f"ends{len(end)}"
+        other.mkdir()
+        (other / "in.csv").write_bytes(end.join(["n,s", '1,"a\nb"', "2,c", "", '3,"d\re"', ""]).encode())
+        got = sorted(read_delimited(small_splits, str(other), ",", multi_line="split").collect(), key=lambda r: r.ord.id)
+        assert [(r.ord.id, r.n, r.s) for r in got] == [(2, "1", "a\nb"), (3, "2", "c"), (4, "3", "d\re")]
+
+
+def test_records_are_read_without_a_shuffle_of_their_text(small_splits, tmp_path):
+    """Only lines at the edges of splits are exchanged; scans that no longer agree on the splits fail instead of losing rows."""
+    from featureloom.sources.records import logical_records, record_starts
+
+    path = put(tmp_path, 5)
+    starts = record_starts(small_splits, path, ",")
+    records = logical_records(small_splits, path, ",", starts)
+    plan = records._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and plan.count("Exchange hashpartitioning") <= 2
+    assert sum(r.records for r in starts.select("file", "records").distinct().collect()) == records.count()
+    small_splits.conf.set("spark.sql.files.maxPartitionBytes", "900")
+    with pytest.raises(Exception, match="splits have changed"):
+        logical_records(small_splits, path, ",", starts).collect()
+
+
+def test_quoted_one_file_on_odd_rows(small_splits, tmp_path, monkeypatch):
+    """Empty texts, returns inside texts, rows without an id or a language, negative ids."""
+    from compare import compare, oracle_connection
+
+    from featureloom.catalog import ORACLES, QUERIES, modes
+
+    rows = [(i, t, g) for i, (t, g) in enumerate([("", "en"), ("a\r\nb\rc", "de"), ("x\n\ny", None), (None, "fr"), ('"q"\r', "en"), ("\r\n", "es"), ("\n", "en")] * 5, -9)]
+    rows = [*rows, (None, "no id\r\nat all", "en")]
+    small_splits.createDataFrame(rows, "doc_id bigint, text string, lang string").coalesce(1).write.parquet(str(tmp_path / "t"))
+    next((tmp_path / "t").glob("part-*.parquet")).rename(tmp_path / "documents.parquet")
+    monkeypatch.setattr(modes, "_FILE_ROWS", 11)
+    small_splits.conf.set("spark.sql.files.maxPartitionBytes", "60")
+    for name in ("quoted_one_file", "quoted_records"):
+        equal, message, n = compare(small_splits, oracle_connection(str(tmp_path)), str(tmp_path), QUERIES[name], ORACLES[name])
+        assert equal, message
+        assert n == (31 if name == "quoted_one_file" else 5)
