@@ -21,28 +21,31 @@ _STATS = ("min", "mean", "max", "n", "total")
 
 def fit_backoff(
     train: DataFrame, levels: list[list[str]], value: str, conditions: list[str] = (), mergeable: bool = False,
+    weight: str | None = None,
 ) -> DataFrame:
     """``(…conditions, level, key, min, mean, max, n)`` of the known values.
 
     ``levels`` goes from the coarsest (level 1) to the finest. All levels are counted in one
     pass; the aggregate is partial, so a key shared by many rows costs one row per map task.
     A decimal value gives a mean that does not depend on the order of summation. ``mergeable`` adds ``total``, the
-    sum behind the mean, with which :func:`merge_backoff` can take in later rows.
+    sum behind the mean, with which :func:`merge_backoff` can take in later rows. ``weight`` is a count of equal rows that stand as one.
     """
     keys = F.array(*[
         F.struct(F.lit(i).alias("level"), level_key(cols).alias("key"))
         for i, cols in enumerate(levels, 1)
     ])
     known = train.filter(F.col(value).isNotNull())
-    rows = known.select(*conditions, F.col(value).alias("__v"), F.inline(keys))
+    copies = F.lit(1) if weight is None else F.col(weight)
+    rows = known.select(*conditions, F.col(value).alias("__v"), copies.cast("bigint").alias("__w"), F.inline(keys))
     kind = train.schema[value].dataType
-    total = F.sum("__v").cast("double") if isinstance(kind, T.DecimalType) else F.sum("__v")
+    summed = F.sum("__v") if weight is None else F.sum(F.col("__v") * (F.col("__w").cast("decimal(18,0)") if isinstance(kind, T.DecimalType) else F.col("__w")))
+    total = summed.cast("double") if isinstance(kind, T.DecimalType) else summed
     return rows.groupBy(*conditions, "level", "key").agg(
         F.min("__v").cast("double").alias("min"),
-        (total / F.count("__v")).alias("mean"),
+        (total / F.sum("__w")).alias("mean"),
         F.max("__v").cast("double").alias("max"),
-        F.count("__v").alias("n"),
-        *([F.sum("__v").alias("total")] if mergeable else []),
+        F.sum("__w").alias("n"),
+        *([summed.alias("total")] if mergeable else []),
     )
 
 

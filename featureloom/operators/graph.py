@@ -25,16 +25,20 @@ NO_LABEL = "\\N"
 GROUP = 4096
 
 
-def alike(df: DataFrame, key: str, col: str, size: int = GROUP) -> tuple[DataFrame, bool]:
+def alike(df: DataFrame, key: str, col: str, size: int = GROUP, unique: bool = False) -> tuple[DataFrame, bool]:
     """``(group, notation, ids)``, and whether a key has several rows: rows of equal notations in groups.
 
     What follows from the notation alone is found once for each group and handed to its rows by :func:`members`. A notation
-    of very many rows has several groups, so no list of ids grows with the table.
+    of very many rows has several groups, so no list of ids grows with the table. ``unique`` tells that ``df`` is a staged table
+    in which no key has several rows.
     """
-    rows = stage(df.select(F.col(key).alias("graph_id"), F.col(col).alias("notation")), "notations")
+    rows = df.select(F.col(key).alias("graph_id"), F.col(col).alias("notation"))
+    rows = rows if unique else stage(rows, "notations")
     part = F.pmod(F.xxhash64("graph_id"), F.lit(1 + rows.count() // size))
     groups = rows.groupBy("notation", part.alias("__part")).agg(F.collect_list(F.struct("graph_id")).alias("ids"))
     groups = stage(groups.select(F.monotonically_increasing_id().alias("group"), "notation", "ids"), "alike")
+    if unique:
+        return groups, False
     repeated = rows.groupBy("graph_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     return groups, not repeated.isEmpty()
 
@@ -46,6 +50,20 @@ def members(found: DataFrame, groups: DataFrame) -> DataFrame:
     return found.join(dealt(ids), "graph_id").select(F.inline("ids"), *rest)
 
 
+def notation_kinds(groups: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(graph_id, notation)``, the distinct notations of :func:`alike` groups, and ``(graph_id, group)``, the groups of each."""
+    kinds = stage(groups.select("notation").distinct().select(F.monotonically_increasing_id().alias("graph_id"), "notation"), "kinds")
+    same = F.col("g.notation").eqNullSafe(F.col("k.notation"))
+    homes = groups.select("group", "notation").alias("g").join(dealt(kinds).alias("k"), same).select("graph_id", "group")
+    return kinds, stage(homes, "homes")
+
+
+def kind_members(found: DataFrame, homes: DataFrame, groups: DataFrame) -> DataFrame:
+    """``found`` of :func:`notation_kinds` as rows of the keys in their groups; lists of ids are dealt by group, never by notation."""
+    rest = [c for c in found.columns if c != "graph_id"]
+    return members(found.join(dealt(homes), "graph_id").select(F.col("group").alias("graph_id"), *rest), groups)
+
+
 def notation_to_graph(
     df: DataFrame, key: str, col: str, staged: bool = True
 ) -> tuple[DataFrame, DataFrame, DataFrame]:

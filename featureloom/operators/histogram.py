@@ -27,18 +27,18 @@ def sparse_histogram(
     return rows.groupBy(key, "bucket").agg(F.count("bucket").alias("n"))
 
 
+def entries(counts: DataFrame, key: str, into: str = "entries") -> DataFrame:
+    """The buckets of a key that are not empty, as a sorted array of ``(pos, n)``: a vector before it is made dense."""
+    entry = F.when(F.col("bucket").isNotNull(), F.struct(F.col("bucket").alias("pos"), "n"))
+    return counts.groupBy(key).agg(F.collect_list(entry).alias(into)).withColumn(into, F.sort_array(into))
+
+
 def densify(counts: DataFrame, key: str, n: int, into: str = "features") -> DataFrame:
     """One dense ``array<bigint>`` per key from ``(key, bucket, n)`` rows.
 
     The grouped list holds at most ``n`` entries, one per bucket.
     """
-    entry = F.when(F.col("bucket").isNotNull(), F.struct(F.col("bucket").alias("pos"), "n"))
-    return (
-        counts.groupBy(key)
-        .agg(F.collect_list(entry).alias("__e"))
-        .withColumn("__e", F.sort_array("__e"))
-        .select(key, dense_from_sorted("__e", n).alias(into))
-    )
+    return entries(counts, key, "__e").select(key, dense_from_sorted("__e", n).alias(into))
 
 
 def bucketize(

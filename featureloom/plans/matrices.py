@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from ..operators.cleaning import (
     clean_keys, drop_incomplete, drop_null_features, fix_decimal_commas, null_tokens, take_columns,
 )
 from ..operators.graph import label_signature
-from ..operators.histogram import bucketize
+from ..operators.histogram import bucketize, entries, sparse_histogram
 from ..operators.quality import dedup_keep_first
 from ..sources.delimited import detect_delimiter, read_delimited, split_malformed
 from ..sources.dialects import file_dialects, read_dialects
@@ -144,6 +145,16 @@ def spectral_vectors(
     return bucketize(values, "name", "value", lo, hi, n, keys=names.select("name"))
 
 
+def spectral_entries(values: dict[str, DataFrame], names: DataFrame) -> DataFrame:
+    """``(name, entries)``: the vectors of the spectral modes in ``values`` one behind the other, see :func:`entries`."""
+    offset, tables = 0, []
+    for mode, table in values.items():
+        lo, hi, n = preset(mode)
+        tables.append(sparse_histogram(table, "name", "value", lo, hi, n, keys=names.select("name")).withColumn("bucket", F.col("bucket") + offset))
+        offset += n
+    return entries(reduce(DataFrame.unionByName, tables), "name")
+
+
 def spectral_matrix(
     values: DataFrame, names: DataFrame, labels: DataFrame,
     axis: str | tuple[float, float, int], *, label: str = "label",
@@ -188,6 +199,14 @@ def hybrid_matrix(
     and counting each label, with ``copies = k * k``.
     """
     fused = fuse(first, second, on=["name"], unique=True).drop("copies")
+    return count_labels(fused, labels, label=label, keep_unlabelled=keep_unlabelled, keys=keys, labels_mode=labels_mode, order=order)
+
+
+def count_labels(
+    fused: DataFrame, labels: DataFrame, *, label: str = "label", keep_unlabelled: bool = False, keys: DataFrame | None = None,
+    labels_mode: str = "all", order: list[str] | None = None,
+) -> DataFrame:
+    """``(name, label, …rest of fused, copies)`` of fused vectors, each label of a name once with its ``copies``."""
     if labels_mode == "first":
         if not order:
             raise ValueError("labels_mode='first' needs the order columns")
@@ -206,6 +225,6 @@ def hybrid_matrix(
     return joined.select(
         "name",
         F.col("label")["label"].alias("label"),
-        "features",
+        *[c for c in fused.columns if c != "name"],
         F.coalesce(F.col("label")["k"] * F.col("label")["k"], one).alias("copies"),
     )

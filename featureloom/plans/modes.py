@@ -9,15 +9,16 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.buckets import preset
-from ..operators.graph import circular_signatures, expand_implicit, notation_to_graph
-from ..operators.quality import graph_metrics, graph_rules, observed, observed_summary, warnings
+from ..functions.vectors import dense_from_sorted
+from ..operators.assembly import attach_labels
+from ..operators.graph import alike, circular_signatures, expand_implicit, kind_members, notation_kinds, notation_to_graph
+from ..operators.quality import graph_metrics, graph_rules, observed, observed_summary, route, warnings
 from ..operators.rowgraphs import notation_paths
 from ..operators.subgraphs import notation_branched_fingerprint
 from ..session import dealt, spread, stage
 from ..sinks.tables import append_log, matrix_path, write_matrix, write_verified
 from .matrices import (
-    answer_nodes, distinct_records, dropped_values, fingerprint_matrix, hybrid_matrix, spectral_matrix,
-    spectral_vectors, verify_table,
+    answer_nodes, count_labels, distinct_records, dropped_values, fingerprint_matrix, spectral_entries, verify_table,
 )
 
 # The element whose atoms give the values of a spectral mode.
@@ -37,6 +38,7 @@ class ModeResult:
     summary: DataFrame = field(repr=False, default=None)
     verified: DataFrame = field(repr=False, default=None)  # name, notation, label, ord
     dropped: DataFrame = field(repr=False, default=None)   # mode, name, reason, values
+    compact: DataFrame = field(repr=False, default=None)   # the matrix with its vectors as entries (spectral modes only)
 
 
 def build_matrix(
@@ -69,7 +71,7 @@ def build_matrix(
     records = spread(first)
     labels = rows.select("name", "label", "ord")
     choice = {"labels_mode": labels_mode, "order": ["ord"], "keep_unlabelled": keep_unlabelled}
-    notes = dropped = None
+    notes = dropped = compact = None
     found = {}
     if mode == "FP":
         if branched:
@@ -81,14 +83,16 @@ def build_matrix(
         matrix = fingerprint_matrix(words, labels, n_bits, keys=valid, **choice)
         width = n_bits
     else:
-        nodes, edges, errors = notation_to_graph(records, "name", "notation")
-        errors, failed = observed(errors, "errors", {"rows": count})
-        names = stage(nodes.filter("node_id = 0").select(F.col("graph_id").alias("name")), "names")
-        metrics = graph_metrics(nodes, edges).join(
-            dealt(records.select(F.col("name").alias("graph_id"), "notation")), "graph_id"
-        )
-        notes = warnings(graph_rules(metrics, F.col("notation").contains(".")), "graph_id")
-        notes, warned = observed(notes.withColumnRenamed("graph_id", "name"), "warnings", {"rows": count})
+        # What follows from a notation alone is found once for it and handed to the names that have it.
+        groups, _ = alike(first, "name", "notation", unique=True)
+        kinds, homes = notation_kinds(groups)
+        handed = lambda found: kind_members(found, homes, groups).withColumnRenamed("graph_id", "name")
+        nodes, edges, bad = notation_to_graph(spread(kinds), "graph_id", "notation")
+        errors, failed = observed(handed(bad.withColumnRenamed("name", "graph_id")), "errors", {"rows": count})
+        valid = stage(nodes.filter("node_id = 0").select(F.col("graph_id").alias("name")), "names")
+        metrics = graph_metrics(nodes, edges).join(dealt(kinds), "graph_id")
+        _, routed = route(graph_rules(metrics, F.col("notation").contains(".")))
+        notes, warned = observed(warnings(handed(routed.select("graph_id", "reasons")), "name"), "warnings", {"rows": count})
         # Every round of the signatures reads both tables: they are expanded once, not once for each use.
         nodes, edges = (stage(t, "expanded") for t in expand_implicit(nodes, edges))
         signatures = stage(circular_signatures(nodes, edges, radius, typed=True), "signatures")
@@ -98,25 +102,32 @@ def build_matrix(
             for m in spectral
         }
         of = lambda reason: F.sum(F.when(F.col("reason") == reason, F.col("values")))
+        missing = reduce(DataFrame.unionByName, [dropped_values(answers[m], m) for m in spectral])
         dropped, missed = observed(
-            reduce(DataFrame.unionByName, [dropped_values(answers[m], m) for m in spectral]), "dropped",
+            handed(missing.withColumnRenamed("name", "graph_id")).select("mode", "name", "reason", "values"), "dropped",
             {"outside_axis": of("outside axis"), "without_answer": of("without answer")},
         )
         found = {"warnings": warned.get, "dropped": missed.get}
-        values = {m: answers[m].filter("value IS NOT NULL") for m in spectral}
         width = sum(preset(m)[2] for m in spectral)
+        vectors = spectral_entries({m: answers[m].filter("value IS NOT NULL") for m in spectral}, valid)
+        vectors = handed(stage(vectors.withColumnRenamed("name", "graph_id"), "vectors"))
+        if keep_unlabelled:
+            choice["keys"] = handed(valid.withColumnRenamed("name", "graph_id"))
         if mode == "hybrid":
-            sides = [spectral_vectors(values[m], names, m) for m in spectral]
-            matrix = hybrid_matrix(*sides, labels, keys=names, **choice)
+            compact = count_labels(vectors, labels, **choice)
         else:
-            matrix = spectral_matrix(
-                values[mode], names, labels, mode, **choice
-            )
+            compact = attach_labels(vectors, labels, "name", "label", **choice)
+        matrix = _dense(compact, width)
     found = {
         "verified": seen.get, "rejects": rejected.get, "duplicates": {"removed": seen.get["rows"] - kept.get["rows"]},
         "errors": failed.get, "nulls": {"cells": sum(nulls.get.values())}, **found,
     }
-    return ModeResult(matrix, width, rejects, errors, notes, observed_summary(spark, found), rows, dropped)
+    return ModeResult(matrix, width, rejects, errors, notes, observed_summary(spark, found), rows, dropped, compact)
+
+
+def _dense(compact: DataFrame, width: int) -> DataFrame:
+    """Rows with the ``features`` that their ``entries`` stand for."""
+    return compact.select(*[dense_from_sorted("entries", width).alias("features") if c == "entries" else c for c in compact.columns])
 
 
 def run_mode(
@@ -130,9 +141,9 @@ def run_mode(
     """
     result = build_matrix(spark, path, mode, label, **options)
     tag = "HYBRID" if mode == "hybrid" else mode
-    out = write_matrix(
-        result.matrix, matrix_path(folder, path, tag), result.width, fmt, ordered, write_mode
-    )
+    # Rows are sorted before their vectors are made dense.
+    rows, finish = (result.matrix, None) if result.compact is None else (result.compact, lambda df: _dense(df, result.width))
+    out = write_matrix(rows, matrix_path(folder, path, tag), result.width, fmt, ordered, write_mode, finish=finish)
     stem = out.removesuffix("_ML_input.csv")
     write_verified(result.verified, f"{stem}_verified", fmt, write_mode)
     for name, rows in (("rejects", result.rejects), ("dropped", result.dropped), ("summary", result.summary)):

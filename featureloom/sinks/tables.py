@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import posixpath
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -47,15 +48,17 @@ def write_verified(df: DataFrame, path: str, fmt: str = "csv", mode: str = "erro
 
 def write_matrix(
     df: DataFrame, path: str, n: int, fmt: str = "csv", ordered: bool = False,
-    mode: str = "errorifexists", key: str = "name",
+    mode: str = "errorifexists", key: str = "name", finish: Callable[[DataFrame], DataFrame] | None = None,
 ) -> str:
     """``MOLECULE_NAME, LABEL, FEATURE_1..n`` as csv, or the array form as parquet.
 
-    Rows counted in ``copies`` are written out. ``ordered`` sorts by file name order.
+    Rows counted in ``copies`` are written out. ``ordered`` sorts by file name order. ``finish`` makes the vectors of
+    compact rows, after they are sorted.
     """
     rows = expand_copies(df) if "copies" in df.columns else df
     if ordered:
         rows = order_like_files(rows, key)
+    rows = rows if finish is None else finish(rows)
     return _write(name_features(rows, n, key) if fmt == "csv" else rows, path, fmt, mode)
 
 

@@ -145,3 +145,51 @@ def test_fingerprint_mode_with_branches(spark, tmp_path):
     rows = {r.name: tuple(r.features) for r in result.matrix.collect()}
     assert set(rows) == {"a", "b", "c"} and rows["a"] == rows["b"] != rows["c"]
     assert [r.name for r in result.errors.collect()] == ["d"]
+
+
+@pytest.mark.parametrize("mode", ["13C", "hybrid"])
+def test_a_notation_is_worked_on_once_for_its_names(spark, shifts, tmp_path, monkeypatch, mode):
+    """Names of one notation, more than a group holds, share one graph; each has its own rows, errors and warnings."""
+    from featureloom.operators import graph
+    from featureloom.plans import modes
+
+    notations = ["CCO", "C1CC", "[Na+].[Cl-]", "c1ccccc1O"]
+    rows = [f"m{i:03},{notations[i % 4]},{i}" for i in range(80)] + ["m000,CCC,-1", "m000,CCO,0"]
+    path = put(tmp_path, "n,s,l\n" + "\n".join(rows) + "\n")
+    seen, parse, group = [], modes.notation_to_graph, graph.alike
+    monkeypatch.setattr(modes, "notation_to_graph", lambda df, *a, **b: seen.append(df.count()) or parse(df, *a, **b))
+    monkeypatch.setattr(modes, "alike", lambda *a, **b: group(*a, **b, size=7))
+    out = run_mode(spark, path, mode, str(tmp_path / "out"), shifts=shifts, fmt="parquet")
+    assert seen == [4]
+    got = spark.read.parquet(out).collect()
+    names = [f"m{i:03}" for i in range(80) if i % 4 != 1]
+    # A label that a name has twice counts once for each pair in the fused matrix.
+    copies = 4 if mode == "hybrid" else 2
+    assert sorted((r.name, r.label) for r in got) == sorted([(n, float(n[1:])) for n in names] + [("m000", -1.0)] + [("m000", 0.0)] * (copies - 1))
+    by = {r.name: tuple(r.features) for r in got}
+    assert len({by[n] for n in names}) == 3 and all(by[f"m{i:03}"] == by[f"m{i % 4:03}"] for i in range(80) if i % 4 != 1)
+    log = lambda name: sorted(r.name for r in spark.read.parquet(str(tmp_path / "out" / name)).collect())
+    assert log("errors") == [n for n in (f"m{i:03}" for i in range(80)) if int(n[1:]) % 4 == 1]
+    assert log("warnings") == [n for n in names if int(n[1:]) % 4 == 2]
+
+
+def test_rows_are_sorted_before_vectors_are_dense(spark, shifts, tmp_path, monkeypatch):
+    """The sort moves the few buckets of a row that are not empty, not the vector."""
+    from featureloom.sinks import tables
+
+    plans, write = [], tables._write
+    monkeypatch.setattr(tables, "_write", lambda df, *a: plans.append(df._jdf.queryExecution().analyzed().toString()) or write(df, *a))
+    path = put(tmp_path, "n,s,l\nb,CCO,1\na,CCC,2\n")
+    run_mode(spark, path, "1H", str(tmp_path / "out"), shifts=shifts, fmt="parquet")
+    assert "entries" in plans[0].split("Sort [")[1].split("\n")[1] and "features" not in plans[0].split("Sort [")[1]
+    kept = build_matrix(spark, path, "1H", shifts=shifts, keep_unlabelled=True).matrix.collect()
+    assert sorted((r.name, r.label, len(r.features)) for r in kept) == [("a", 2.0, 200), ("b", 1.0, 200)]
+
+
+@pytest.mark.parametrize("kind", ["double", "decimal(12,2)"])
+def test_a_weighted_fit_is_that_of_the_repeated_rows(spark, kind):
+    rows = spark.createDataFrame([("x", "a", 1.25, 3), ("x", "b", 2.5, 2), ("y", "a", 4.0, 1), ("y", "b", None, 5)], "p string, q string, v double, n int")
+    rows = rows.withColumn("v", F.col("v").cast(kind))
+    each = rows.withColumn("i", F.explode(F.sequence(F.lit(1), "n")))
+    fit = lambda df, **b: sorted(map(tuple, fit_backoff(df, [["p"], ["p", "q"]], "v", mergeable=True, **b).collect()))
+    assert fit(rows, weight="n") == fit(each)
