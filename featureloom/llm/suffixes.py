@@ -8,8 +8,9 @@ windows with one anchor is a chunk: its bytes go to the anchor's bucket, and tha
 occurs in two documents at least. In a bucket the suffixes at the windows are sorted by
 mergesort; two suffixes are compared through the prefix polynomial hashes of the bucket's text,
 with a binary search for their common extension, and neighbours that seem equal are compared
-byte by byte. Windows at different distances from their anchor differ, so each
-(anchor, distance) is a list of its own and all lists are sorted side by side in numpy.
+byte by byte. Windows at different distances from their anchor differ, and so do windows with other first or last bytes,
+so each (anchor, distance, first and last eight bytes) is a list of its own; all lists are sorted side by side in numpy, and those whose
+neighbours are all equal are in order as they are.
 
 Copies do not pile up: a task sends an anchor that it has seen in several documents once, and of
 equal chunks those of the smallest document; the others are settled where they are.
@@ -27,10 +28,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from featureloom.llm.shared import LAST, partitions, whole_text
-from featureloom.llm.text import mix, prefix_hashes, span_hashes
+from featureloom.llm.text import mix, power_tables, prefix_hashes, span_hashes
 
 SEED = 20
-PART = 1 << 20  # bytes hashed at once
+PART = 1 << 16  # bytes hashed or sorted at once: their numbers stay in the cache of a core
 FLUSH, ROWS = 24 << 20, 1 << 16  # bytes and texts that a task looks at before it sends
 KEY = np.uint64((1 << 48) - 1)  # of an anchor's hash travels; more bits only spare false candidates
 
@@ -47,7 +48,7 @@ def chunks_of(data: np.ndarray, row: np.ndarray, width: int) -> tuple[np.ndarray
     span = width - SEED + 1
     prefix = prefix_hashes(data)
     at = np.arange(len(data) - SEED + 1)
-    h = mix(span_hashes(prefix, at, at + SEED))
+    h = mix((prefix[SEED:] - prefix[:-SEED]) * power_tables(len(prefix))[1][: len(at)])  # span_hashes of every place
     low = np.uint64((1 << 24) - 1)
     least = (h & ~low) | at.astype(np.uint64)
     reach = 1
@@ -295,6 +296,10 @@ class SuffixOrder:
     def __init__(self, data: np.ndarray, width: int):
         self.data, self.width, self.prefix = data, width, prefix_hashes(data)
 
+    def equal(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Whether the first ``width`` bytes of each pair have one hash."""
+        return span_hashes(self.prefix, a, a + self.width) == span_hashes(self.prefix, b, b + self.width)
+
     def common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Length of the common extension of each pair, by binary search."""
         low, high = np.zeros(len(a), np.int64), np.full(len(a), self.width)
@@ -311,6 +316,13 @@ class SuffixOrder:
         return ~end & (self.data[a + i] < self.data[b + i])
 
 
+def _words(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place as one number."""
+    if len(data) < 8:
+        return np.zeros(0, np.uint64)
+    return np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(data, 8)).view(np.uint64).ravel()
+
+
 def merge_sort(order: SuffixOrder, at: np.ndarray, group: np.ndarray) -> np.ndarray:
     """Suffixes ``at`` sorted within each group; ``group`` is ascending. Stable.
 
@@ -359,26 +371,38 @@ def repeated_windows(texts: list[bytes], anchor: np.ndarray, place: np.ndarray,
     windows = size - width + 1
     chunk = np.repeat(np.arange(len(texts)), windows)
     j = np.arange(len(chunk)) - np.repeat(np.cumsum(windows) - windows, windows)
-    group = anchor[chunk] * width + place[chunk] - j  # the anchor lies within the window
-    by = np.argsort(group, kind="stable")
-    ranked = group[by]
+    suffix = offset[chunk] + j
+    word = _words(data)
+    # The anchor lies within the window. A key that two lists share by chance makes one list of them, which is sorted all the same.
+    key = mix((anchor[chunk] * width + place[chunk] - j).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ mix(word[suffix] * np.uint64(0xC2B2AE3D27D4EB4F)))
+    key = mix(key ^ word[suffix + width - 8] * np.uint64(0x165667B19E3779F9))
+    by = np.argsort(key, kind="stable")
+    ranked = key[by]
     start, end = _runs(ranked)
     alone = np.repeat(end - start == 1, end - start)
     by, ranked = by[~alone], ranked[~alone]
     out = np.zeros(len(chunk), bool)
     if len(by):
         order = SuffixOrder(data, width)
-        suffix = offset[chunk] + j
         of = np.zeros(len(data) + 1, np.int64)
         of[suffix[by]] = by
-        sorted_ = merge_sort(order, suffix[by], ranked)
-        equal = np.zeros(len(by), bool)
+        sorted_ = suffix[by]
         pair = np.flatnonzero(ranked[1:] == ranked[:-1]) + 1
-        like = pair[order.common(sorted_[pair - 1], sorted_[pair]) == width]
+        same = order.equal(sorted_[pair - 1], sorted_[pair])
+        start, end = _runs(ranked)
+        lists = np.repeat(np.arange(len(start)), end - start)
+        mixed = np.zeros(len(start), bool)
+        mixed[lists[pair[~same]]] = True
+        mixed = mixed[lists]
+        if mixed.any():
+            sorted_[mixed] = merge_sort(order, sorted_[mixed], ranked[mixed])
+            same = order.equal(sorted_[pair - 1], sorted_[pair])
+        equal = np.zeros(len(by), bool)
+        like = pair[same]
         for lo in range(0, len(like), 1 << 16):
             some = like[lo : lo + (1 << 16)]
-            steps = np.arange(width)
-            true = (data[sorted_[some - 1][:, None] + steps] == data[sorted_[some][:, None] + steps]).all(axis=1)
+            steps = np.append(np.arange(0, width - 8, 8), width - 8)
+            true = (word[sorted_[some - 1][:, None] + steps] == word[sorted_[some][:, None] + steps]).all(axis=1)
             if not true.all():  # two strings with one hash: sort by the bytes themselves
                 sorted_ = np.array([p for _, _, p in sorted((g, data[p : p + width].tobytes(), p) for g, p in zip(ranked.tolist(), sorted_.tolist()))])
                 equal[:] = False
@@ -409,6 +433,19 @@ def _join_spans(spans: np.ndarray) -> np.ndarray:
     return np.stack([spans[new, 0], reach[last]], axis=1)
 
 
+def _join_owned(owner: np.ndarray, spans: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """``(owner, joined spans)`` of every owner, by one pass over all spans."""
+    if not len(owner):
+        return
+    names, of = np.unique(owner, return_inverse=True)
+    room = int(spans[:, 1].max()) + 2  # spans of two owners never touch
+    joined = _join_spans(spans + (of * room)[:, None])
+    of = joined[:, 0] // room
+    joined = joined - (of * room)[:, None]
+    for name, lo, hi in zip(names.tolist(), *(x.tolist() for x in _runs(of))):
+        yield name, joined[lo:hi]
+
+
 def _settle(parts: Iterator[pd.DataFrame], width: int, buckets: int) -> Iterator[pd.DataFrame]:
     """The spans that go, by document, from the chunks of whole buckets."""
     unpack = zstandard.ZstdDecompressor()
@@ -440,11 +477,12 @@ def _settle(parts: Iterator[pd.DataFrame], width: int, buckets: int) -> Iterator
             group = np.argsort(anchor, kind="stable")
             edges = np.append(np.flatnonzero(np.diff(anchor[group])) + 1, len(group))
             weight = np.concatenate([[0], np.cumsum(size[group])])
+            reach = weight[edges]
             runs: list[tuple[np.ndarray, ...]] = []
             lo = 0
             while lo < len(group):  # whole anchors, about PART bytes at a time
-                fit = edges[(edges > lo) & (weight[edges] - weight[lo] <= PART)]
-                hi = int(fit[-1]) if len(fit) else int(edges[edges > lo][0])
+                fit = np.searchsorted(reach, weight[lo] + PART, side="right") - 1
+                hi = int(edges[max(fit, np.searchsorted(edges, lo, side="right"))])
                 some = group[lo:hi]
                 c, first, last = repeated_windows([pure[i] for i in some], anchor[some], place[some], least[some], width)
                 runs.append((some[c], first, last + width))
@@ -462,12 +500,8 @@ def _settle(parts: Iterator[pd.DataFrame], width: int, buckets: int) -> Iterator
             late = np.flatnonzero(late)
             owner = np.concatenate([doc[late], doc[here]])
             spans = np.stack([np.concatenate([start[late], start[here] + first[which]]), np.concatenate([start[late] + size[number[late]], start[here] + end[which]])], axis=1)
-            order = np.argsort(owner, kind="stable")
-            owner, spans = owner[order], spans[order]
-            if len(owner):
-                for lo, hi in zip(*_runs(owner)):
-                    o, h = table[:, owner[lo]]
-                    out.append((int(o), int(h), _join_spans(spans[lo:hi]).astype("<i8").tobytes()))
+            for at, some in _join_owned(owner, spans):
+                out.append((int(table[0, at]), int(table[1, at]), some.astype("<i8").tobytes()))
         yield _deal(out, buckets)
 
 

@@ -108,6 +108,33 @@ def test_equal_hashes_are_told_apart_by_bytes(monkeypatch):
     assert [x.tolist() for x in suffixes.repeated_windows(*args)] == want
 
 
+def test_windows_that_occur_once_or_are_all_equal_are_not_sorted(monkeypatch):
+    """One line in many surroundings: its windows are compared with their neighbours, not merged level by level."""
+    rng = random.Random(4)
+    line = bytes(rng.randrange(97, 123) for _ in range(64))
+    chunks = [bytes(rng.randrange(97, 123) for _ in range(20)) + line + bytes(rng.randrange(97, 123) for _ in range(16)) for _ in range(300)]
+    looked, hashes = [], suffixes.span_hashes
+    monkeypatch.setattr(suffixes, "span_hashes", lambda prefix, a, b: looked.append(len(a)) or hashes(prefix, a, b))
+    least = np.arange(300)[::-1].copy()
+    # The anchor stands at place 40, in the middle of the line; windows reach from 10 bytes before it.
+    got = suffixes.repeated_windows([c[10:90] for c in chunks], np.zeros(300, int), np.full(300, 30), least, 50)
+    text = [c[10:90] for c in chunks]
+    first = {}
+    for i, t in enumerate(text):
+        for p in range(31):
+            first.setdefault(t[p : p + 50], []).append(i)
+    want = sorted((i, p) for i, t in enumerate(text) for p in range(31) if least[i] > min(least[k] for k in first[t[p : p + 50]]))
+    assert sorted((int(c), w) for c, a, z in zip(*got) for w in range(a, z + 1)) == want and len(want) > 299
+    assert sum(looked) <= 2 * 300 * 31
+
+
+def test_spans_of_all_owners_are_joined_at_once():
+    owner = np.array([5, 2, 5, 2, 5, 9])
+    spans = np.array([[0, 60], [10, 70], [60, 110], [100, 150], [200, 250], [0, 50]])
+    got = {o: x.tolist() for o, x in suffixes._join_owned(owner, spans)}
+    assert got == {2: [[10, 70], [100, 150]], 5: [[0, 110], [200, 250]], 9: [[0, 50]]}
+
+
 def test_mergesort_sorts_suffixes_in_groups():
     rng = np.random.default_rng(1)
     data = rng.integers(97, 99, 400).astype(np.uint8)
