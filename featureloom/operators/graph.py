@@ -25,7 +25,7 @@ NO_LABEL = "\\N"
 GROUP = 4096
 
 
-def alike(df: DataFrame, key: str, col: str, size: int = GROUP, unique: bool = False) -> tuple[DataFrame, bool]:
+def alike(df: DataFrame, key: str, col: str, size: int = GROUP, *, unique: bool = False) -> tuple[DataFrame, bool]:
     """``(group, notation, ids)``, and whether a key has several rows: rows of equal notations in groups.
 
     What follows from the notation alone is found once for each group and handed to its rows by :func:`members`. A notation
